@@ -60,8 +60,12 @@ def _with_meta(df: DataFrame, key: str) -> DataFrame:
         .withColumn("dbt_valid_from", F.col("updated_at"))
 
 
-def bulk_history(raw: DataFrame, entity: str) -> DataFrame:
-    """All versions from every slice in ``raw`` (I7)."""
+def bulk_history(raw: DataFrame, entity: str, with_close_day: bool = False) -> DataFrame:
+    """All versions from every slice in ``raw`` (I7).
+
+    ``with_close_day`` adds ``_close_day``: the extract day whose row closed
+    the version (null while open), i.e. the daily run that would close it.
+    """
     key, attrs = _slice_columns(entity)
     rows = source_rows(raw, entity)
     by_day = Window.partitionBy(key).orderBy("_extract_date")
@@ -71,7 +75,11 @@ def bulk_history(raw: DataFrame, entity: str) -> DataFrame:
     # Kept rows are increasing in updated_at along extract dates, so the same
     # window (same partitioning and order, no new exchange) gives the successor.
     versions = kept.withColumn("dbt_valid_to", F.lead("updated_at").over(by_day))
-    return _with_meta(versions, key).select(key, *attrs, "updated_at", *META)
+    extra = []
+    if with_close_day:
+        versions = versions.withColumn("_close_day", F.lead("_extract_date").over(by_day))
+        extra = ["_close_day"]
+    return _with_meta(versions, key).select(key, *attrs, "updated_at", *META, *extra)
 
 
 def assert_unique_keys(slice_rows: DataFrame, key: str) -> None:

@@ -273,3 +273,155 @@ def base_parts(seeded: bool = False) -> list[str]:
 
 def model_sql(body: str, seeded: bool = False, extra: list[str] | None = None) -> str:
     return with_ctes(base_parts(seeded) + (extra or []), body)
+
+
+# ------------------------------------------------------------ raw layer
+LANDING_ORDER_COLS = ("order_id, customer_id, restaurant_id, order_ts, status, items_count, gross_amount, "
+                      "discount_amount, delivery_fee, payment_method, delivered_ts, updated_at, _extract_date")
+
+RAW_COUNTS = """
+SELECT entity, extract_date, file_rows, loaded_rows, true AS ok FROM (
+  SELECT 'orders' AS entity, _extract_date AS extract_date, count(*) AS file_rows, count(*) AS loaded_rows
+  FROM raw_orders GROUP BY 2
+  UNION ALL
+  SELECT 'customers', _extract_date, count(*), count(*) FROM raw_customers GROUP BY 2
+  UNION ALL
+  SELECT 'restaurants', _extract_date, count(*), count(*) FROM raw_restaurants GROUP BY 2
+)"""
+
+LOOKBACK_SLICE = f"""
+SELECT * FROM stg_orders
+WHERE updated_at >= (SELECT max(updated_at) - INTERVAL {LOOKBACK_DAYS} DAY FROM fct_orders)"""
+
+FRESHNESS_NOW = "2024-02-03 06:00:00"
+FRESHNESS = f"""
+SELECT source, max_loaded_at,
+       date_diff('second', max_loaded_at, TIMESTAMP '{FRESHNESS_NOW}') / 3600.0 AS age_hours,
+       CASE WHEN max_loaded_at IS NULL
+              OR date_diff('second', max_loaded_at, TIMESTAMP '{FRESHNESS_NOW}') / 3600.0 > 50 THEN 'error'
+            WHEN date_diff('second', max_loaded_at, TIMESTAMP '{FRESHNESS_NOW}') / 3600.0 > 26 THEN 'warn'
+            ELSE 'pass' END AS status
+FROM (
+  SELECT 'orders' AS source, max(_loaded_at) AS max_loaded_at FROM raw_orders
+  UNION ALL SELECT 'customers', max(_loaded_at) FROM raw_customers
+  UNION ALL SELECT 'restaurants', max(_loaded_at) FROM raw_restaurants
+)"""
+
+# ------------------------------------------------------------- checks
+SCD2_VERSIONS = """
+scd2_versions AS (
+  SELECT 'customer' AS dim, customer_id AS natural_key, valid_from, valid_to
+  FROM dim_customer WHERE customer_key <> '-1'
+  UNION ALL
+  SELECT 'restaurant', restaurant_id, valid_from, valid_to
+  FROM dim_restaurant WHERE restaurant_key <> '-1'
+)"""
+
+# One row per version that starts strictly inside an earlier version of its key.
+SCD2_OVERLAPS = """
+SELECT dim, natural_key, a_from AS valid_from, valid_from AS overlapping_from
+FROM (
+  SELECT b.dim, b.natural_key, b.valid_from,
+         (SELECT arg_max(a.valid_from, a.valid_to) FROM scd2_versions a
+          WHERE a.dim = b.dim AND a.natural_key = b.natural_key AND a.valid_from < b.valid_from) AS a_from,
+         (SELECT max(a.valid_to) FROM scd2_versions a
+          WHERE a.dim = b.dim AND a.natural_key = b.natural_key AND a.valid_from < b.valid_from) AS a_to
+  FROM scd2_versions b
+) WHERE a_to > valid_from"""
+
+RECONCILE = """
+SELECT stg_rows, fct_rows, CAST(stg_gross AS DECIMAL(18,2)) AS stg_gross, CAST(fct_gross AS DECIMAL(18,2)) AS fct_gross
+FROM (SELECT count(*) AS stg_rows, sum(gross_amount) AS stg_gross FROM stg_orders)
+CROSS JOIN (SELECT count(*) AS fct_rows, sum(gross_amount) AS fct_gross FROM fct_orders)
+WHERE stg_rows IS DISTINCT FROM fct_rows OR stg_gross IS DISTINCT FROM fct_gross"""
+
+UNRESOLVED = f"""
+SELECT order_id, order_date, restaurant_id FROM fct_orders
+WHERE restaurant_key = '-1'
+  AND order_date < (SELECT CAST(max(order_date) - INTERVAL {LOOKBACK_DAYS} DAY AS DATE) FROM fct_orders)"""
+
+
+def _dq_rows() -> list[tuple[str, str]]:
+    nn = "SELECT 1 FROM {t} WHERE {c} IS NULL"
+    uq = "SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1"
+    rel = ("SELECT 1 FROM {t} c WHERE c.{c} IS NOT NULL AND NOT EXISTS "
+           "(SELECT 1 FROM {p} p WHERE p.{f} = c.{c})")
+    return [
+        ("source_not_null_orders_order_id", nn.format(t="raw_orders", c="order_id")),
+        ("source_not_null_orders_updated_at", nn.format(t="raw_orders", c="updated_at")),
+        ("source_not_null_customers_customer_id", nn.format(t="raw_customers", c="customer_id")),
+        ("source_not_null_restaurants_restaurant_id", nn.format(t="raw_restaurants", c="restaurant_id")),
+        ("unique_stg_orders_order_id", uq.format(t="stg_orders", c="order_id")),
+        ("not_null_stg_orders_order_id", nn.format(t="stg_orders", c="order_id")),
+        ("accepted_values_stg_orders_status",
+         "SELECT status FROM stg_orders WHERE status NOT IN "
+         "('PLACED','OUT_FOR_DELIVERY','DELIVERED','CANCELLED','REFUNDED') GROUP BY 1"),
+        ("expression_is_true_stg_orders_net_amount", "SELECT 1 FROM stg_orders WHERE NOT (net_amount >= 0)"),
+        ("unique_dim_customer_customer_key", uq.format(t="dim_customer", c="customer_key")),
+        ("not_null_dim_customer_customer_key", nn.format(t="dim_customer", c="customer_key")),
+        ("not_null_dim_customer_customer_id", nn.format(t="dim_customer", c="customer_id")),
+        ("accepted_values_dim_customer_loyalty_tier",
+         "SELECT loyalty_tier FROM dim_customer WHERE loyalty_tier NOT IN "
+         "('BRONZE','SILVER','GOLD','PLATINUM','UNKNOWN') GROUP BY 1"),
+        ("unique_dim_restaurant_restaurant_key", uq.format(t="dim_restaurant", c="restaurant_key")),
+        ("not_null_dim_restaurant_restaurant_key", nn.format(t="dim_restaurant", c="restaurant_key")),
+        ("accepted_range_dim_restaurant_commission_pct",
+         "SELECT 1 FROM dim_restaurant WHERE commission_pct < 0 OR commission_pct > 50"),
+        ("unique_dim_date_date_key", uq.format(t="dim_date", c="date_key")),
+        ("not_null_dim_date_date_key", nn.format(t="dim_date", c="date_key")),
+        ("unique_fct_orders_order_id", uq.format(t="fct_orders", c="order_id")),
+        ("not_null_fct_orders_order_id", nn.format(t="fct_orders", c="order_id")),
+        ("relationships_fct_orders_date_key", rel.format(t="fct_orders", c="date_key", p="dim_date", f="date_key")),
+        ("not_null_fct_orders_customer_key", nn.format(t="fct_orders", c="customer_key")),
+        ("relationships_fct_orders_customer_key",
+         rel.format(t="fct_orders", c="customer_key", p="dim_customer", f="customer_key")),
+        ("not_null_fct_orders_restaurant_key", nn.format(t="fct_orders", c="restaurant_key")),
+        ("relationships_fct_orders_restaurant_key",
+         rel.format(t="fct_orders", c="restaurant_key", p="dim_restaurant", f="restaurant_key")),
+        ("expression_is_true_fct_orders_net_amount", "SELECT 1 FROM fct_orders WHERE NOT (net_amount >= 0)"),
+        ("unique_combination_agg_daily_zone_metrics",
+         "SELECT order_date, zone FROM agg_daily_zone_metrics GROUP BY 1, 2 HAVING count(*) > 1"),
+        ("accepted_range_agg_daily_zone_metrics_sla_hit_rate",
+         "SELECT 1 FROM agg_daily_zone_metrics WHERE sla_hit_rate < 0 OR sla_hit_rate > 1"),
+        ("unique_combination_agg_monthly_revenue_by_tier",
+         "SELECT month, loyalty_tier FROM agg_monthly_revenue_by_tier GROUP BY 1, 2 HAVING count(*) > 1"),
+        ("assert_fact_reconciles_with_staging", RECONCILE),
+        ("assert_late_arriving_restaurants_are_resolved", UNRESOLVED),
+        ("assert_scd2_versions_do_not_overlap", SCD2_OVERLAPS),
+    ]
+
+
+def dq_summary_sql(severities: dict[str, str] | None = None) -> str:
+    sev = severities or {}
+    parts = [f"SELECT '{n}' AS check_name, '{sev.get(n, 'error')}' AS severity, "
+             f"(SELECT count(*) FROM ({q})) AS failures" for n, q in _dq_rows()]
+    body = "\nUNION ALL\n".join(parts)
+    return model_sql(body, extra=[DIM_DATE, DAILY, MONTHLY, SCD2_VERSIONS])
+
+
+# ----------------------------------------------------------- reports
+REPORTS = {
+    "gmv_latest_day": """
+SELECT CAST(sum(net_amount) AS DECIMAL(18,2)) AS gmv FROM fct_orders
+WHERE order_date = (SELECT max(order_date) FROM fct_orders) AND status = 'DELIVERED'""",
+    "orders_last7_one_restaurant": """
+SELECT order_date, count(*) AS orders FROM fct_orders
+WHERE order_date >= (SELECT CAST(max(order_date) - INTERVAL 7 DAY AS DATE) FROM fct_orders)
+  AND restaurant_id = '7'
+GROUP BY order_date""",
+    "net_full_scan": "SELECT CAST(sum(net_amount) AS DECIMAL(18,2)) AS net_amount FROM fct_orders",
+    "multi_version_customer": """
+SELECT customer_id, loyalty_tier, zone, valid_from, valid_to, is_current FROM dim_customer
+WHERE customer_id IN (SELECT customer_id FROM dim_customer GROUP BY 1 HAVING count(*) > 1
+                      ORDER BY customer_id LIMIT 1)""",
+    "top_zone_days": """
+SELECT * FROM agg_daily_zone_metrics ORDER BY order_date DESC, gmv DESC, zone LIMIT 10""",
+    "revenue_by_tier_sorted": "SELECT * FROM agg_monthly_revenue_by_tier ORDER BY month, loyalty_tier",
+    "unknown_orders_by_day": """
+SELECT order_date, count(*) AS orders FROM fct_orders WHERE restaurant_key = '-1' GROUP BY 1""",
+    "latest_orders": "SELECT * FROM fct_orders ORDER BY order_date DESC, order_id DESC LIMIT 10",
+}
+
+
+def report_sql(name: str) -> str:
+    return model_sql(REPORTS[name], extra=[DAILY, MONTHLY])
