@@ -1,8 +1,9 @@
 """Data-quality checks: each check is a DataFrame of violating rows.
 
 A check passes when it has no rows. ``summary`` counts every check of a suite
-in one Spark job; ``gate`` raises when an error-level check fails, before
-anything downstream is published.
+(row checks of one table in one scan, independent counts concurrently);
+``gate`` raises when an error-level check fails, before anything downstream
+is published.
 
 The SCD2 overlap check flags each version that starts inside an earlier
 version of the same key with a running maximum of ``valid_to`` - one window
@@ -25,9 +26,38 @@ class DataQualityError(RuntimeError):
 
 @dataclass(frozen=True)
 class Check:
+    """A named check. ``violations`` lists the failing rows. Row-level checks
+    also carry ``table`` + ``measure`` (an aggregate counting failures), so
+    all row checks of one table are counted in a single scan."""
+
     name: str
     violations: DataFrame
     severity: str = "error"
+    table: DataFrame | None = None
+    measure: Column | None = None
+
+
+def _count_if(cond: Column) -> Column:
+    return F.sum(F.when(cond, 1).otherwise(0))
+
+
+def row_check(name: str, table: DataFrame, kind: str, column: str, arg=None) -> tuple:
+    """(name, violations, table, measure) for not_null / accepted_values /
+    accepted_range / expression_is_true on one column."""
+    c = F.col(column)
+    if kind == "not_null":
+        return name, not_null(table, column), table, _count_if(c.isNull())
+    if kind == "accepted_values":
+        # Failures = distinct values outside the list (nulls pass), as the grouped test.
+        return name, accepted_values(table, column, arg), table, \
+            F.count_distinct(F.when(~c.isin(*arg), c))
+    if kind == "accepted_range":
+        lo, hi = arg
+        return name, accepted_range(table, column, lo, hi), table, \
+            _count_if((c < F.lit(lo)) | (c > F.lit(hi)))
+    if kind == "expression_is_true":
+        return name, expression_is_true(table, arg), table, _count_if(~arg)
+    raise ValueError(kind)
 
 
 # ------------------------------------------------------------------ generic
@@ -124,66 +154,97 @@ def standard_suite(raw: dict[str, DataFrame], stg: DataFrame, dim_customer: Data
                    ) -> list[Check]:
     """The reference's 31 data tests (28 generic + 3 singular)."""
     sev = severities or {}
-    checks = [
-        ("source_not_null_orders_order_id", not_null(raw["orders"], "order_id")),
-        ("source_not_null_orders_updated_at", not_null(raw["orders"], "updated_at")),
-        ("source_not_null_customers_customer_id", not_null(raw["customers"], "customer_id")),
-        ("source_not_null_restaurants_restaurant_id", not_null(raw["restaurants"], "restaurant_id")),
-        ("unique_stg_orders_order_id", unique(stg, "order_id")),
-        ("not_null_stg_orders_order_id", not_null(stg, "order_id")),
-        ("accepted_values_stg_orders_status", accepted_values(stg, "status", ORDER_STATUSES)),
-        ("expression_is_true_stg_orders_net_amount", expression_is_true(stg, F.col("net_amount") >= 0)),
-        ("unique_dim_customer_customer_key", unique(dim_customer, "customer_key")),
-        ("not_null_dim_customer_customer_key", not_null(dim_customer, "customer_key")),
-        ("not_null_dim_customer_customer_id", not_null(dim_customer, "customer_id")),
-        ("accepted_values_dim_customer_loyalty_tier",
-         accepted_values(dim_customer, "loyalty_tier", LOYALTY_TIERS + [UNKNOWN])),
-        ("unique_dim_restaurant_restaurant_key", unique(dim_restaurant, "restaurant_key")),
-        ("not_null_dim_restaurant_restaurant_key", not_null(dim_restaurant, "restaurant_key")),
-        ("accepted_range_dim_restaurant_commission_pct",
-         accepted_range(dim_restaurant, "commission_pct", 0, 50)),
-        ("unique_dim_date_date_key", unique(dim_date, "date_key")),
-        ("not_null_dim_date_date_key", not_null(dim_date, "date_key")),
-        ("unique_fct_orders_order_id", unique(fct, "order_id")),
-        ("not_null_fct_orders_order_id", not_null(fct, "order_id")),
-        ("relationships_fct_orders_date_key", relationships(fct, "date_key", dim_date, "date_key")),
-        ("not_null_fct_orders_customer_key", not_null(fct, "customer_key")),
+    net_ok_stg = F.col("net_amount") >= 0
+    rows = [
+        row_check("source_not_null_orders_order_id", raw["orders"], "not_null", "order_id"),
+        row_check("source_not_null_orders_updated_at", raw["orders"], "not_null", "updated_at"),
+        row_check("source_not_null_customers_customer_id", raw["customers"], "not_null", "customer_id"),
+        row_check("source_not_null_restaurants_restaurant_id", raw["restaurants"], "not_null",
+                  "restaurant_id"),
+        ("unique_stg_orders_order_id", unique(stg, "order_id"), None, None),
+        row_check("not_null_stg_orders_order_id", stg, "not_null", "order_id"),
+        row_check("accepted_values_stg_orders_status", stg, "accepted_values", "status", ORDER_STATUSES),
+        row_check("expression_is_true_stg_orders_net_amount", stg, "expression_is_true", "net_amount",
+                  net_ok_stg),
+        ("unique_dim_customer_customer_key", unique(dim_customer, "customer_key"), None, None),
+        row_check("not_null_dim_customer_customer_key", dim_customer, "not_null", "customer_key"),
+        row_check("not_null_dim_customer_customer_id", dim_customer, "not_null", "customer_id"),
+        row_check("accepted_values_dim_customer_loyalty_tier", dim_customer, "accepted_values",
+                  "loyalty_tier", LOYALTY_TIERS + [UNKNOWN]),
+        ("unique_dim_restaurant_restaurant_key", unique(dim_restaurant, "restaurant_key"), None, None),
+        row_check("not_null_dim_restaurant_restaurant_key", dim_restaurant, "not_null", "restaurant_key"),
+        row_check("accepted_range_dim_restaurant_commission_pct", dim_restaurant, "accepted_range",
+                  "commission_pct", (0, 50)),
+        ("unique_dim_date_date_key", unique(dim_date, "date_key"), None, None),
+        row_check("not_null_dim_date_date_key", dim_date, "not_null", "date_key"),
+        ("unique_fct_orders_order_id", unique(fct, "order_id"), None, None),
+        row_check("not_null_fct_orders_order_id", fct, "not_null", "order_id"),
+        ("relationships_fct_orders_date_key", relationships(fct, "date_key", dim_date, "date_key"),
+         None, None),
+        row_check("not_null_fct_orders_customer_key", fct, "not_null", "customer_key"),
         ("relationships_fct_orders_customer_key",
-         relationships(fct, "customer_key", dim_customer, "customer_key")),
-        ("not_null_fct_orders_restaurant_key", not_null(fct, "restaurant_key")),
+         relationships(fct, "customer_key", dim_customer, "customer_key"), None, None),
+        row_check("not_null_fct_orders_restaurant_key", fct, "not_null", "restaurant_key"),
         ("relationships_fct_orders_restaurant_key",
-         relationships(fct, "restaurant_key", dim_restaurant, "restaurant_key")),
-        ("expression_is_true_fct_orders_net_amount", expression_is_true(fct, F.col("net_amount") >= 0)),
+         relationships(fct, "restaurant_key", dim_restaurant, "restaurant_key"), None, None),
+        row_check("expression_is_true_fct_orders_net_amount", fct, "expression_is_true", "net_amount",
+                  F.col("net_amount") >= 0),
     ]
     if daily is not None:
-        checks += [
+        rows += [
             ("unique_combination_agg_daily_zone_metrics",
-             unique_combination(daily, ["order_date", "zone"])),
-            ("accepted_range_agg_daily_zone_metrics_sla_hit_rate",
-             accepted_range(daily, "sla_hit_rate", 0, 1)),
+             unique_combination(daily, ["order_date", "zone"]), None, None),
+            row_check("accepted_range_agg_daily_zone_metrics_sla_hit_rate", daily, "accepted_range",
+                      "sla_hit_rate", (0, 1)),
         ]
     if monthly is not None:
-        checks.append(("unique_combination_agg_monthly_revenue_by_tier",
-                       unique_combination(monthly, ["month", "loyalty_tier"])))
-    checks += [
-        ("assert_fact_reconciles_with_staging", fact_reconciles_with_staging(stg, fct)),
+        rows.append(("unique_combination_agg_monthly_revenue_by_tier",
+                     unique_combination(monthly, ["month", "loyalty_tier"]), None, None))
+    rows += [
+        ("assert_fact_reconciles_with_staging", fact_reconciles_with_staging(stg, fct), None, None),
         ("assert_late_arriving_restaurants_are_resolved",
-         late_restaurants_unresolved(fct, late_arrival_days)),
+         late_restaurants_unresolved(fct, late_arrival_days), None, None),
         ("assert_scd2_versions_do_not_overlap",
-         scd2_overlaps(scd2_versions(dim_customer, dim_restaurant))),
+         scd2_overlaps(scd2_versions(dim_customer, dim_restaurant)), None, None),
     ]
-    return [Check(n, v, sev.get(n, "error")) for n, v in checks]
-
-
-def summary(checks: list[Check]) -> DataFrame:
-    """(check_name, severity, failures) for every check, counted in one job."""
-    parts = [c.violations.agg(F.count(F.lit(1)).alias("failures"))
-             .select(F.lit(c.name).alias("check_name"), F.lit(c.severity).alias("severity"),
-                     "failures") for c in checks]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    return [Check(n, v, sev.get(n, "error"), t, m) for n, v, t, m in rows]
+
+
+def _counters(checks: list[Check]) -> list[tuple[list[Check], DataFrame]]:
+    """One small aggregation per table of row checks, one per other check."""
+    jobs: list[tuple[list[Check], DataFrame]] = []
+    grouped: dict[int, list[Check]] = {}
+    for c in checks:
+        if c.measure is not None:
+            grouped.setdefault(id(c.table), []).append(c)
+        else:
+            jobs.append(([c], c.violations.agg(F.count(F.lit(1)).cast("bigint").alias("m0"))))
+    for group in grouped.values():
+        jobs.append((group, group[0].table.agg(
+            *[c.measure.cast("bigint").alias(f"m{i}") for i, c in enumerate(group)])))
+    return jobs
+
+
+def summary(checks: list[Check], parallelism: int = 8) -> DataFrame:
+    """(check_name, severity, failures) for every check.
+
+    Row-level checks of the same table share one scan. The counting jobs are
+    independent, so they are submitted concurrently; only one count per
+    check comes back to the driver.
+    """
+    from tidemark.plans.concurrency import run_all
+
+    jobs = _counters(checks)
+    counted = run_all({str(i): (lambda df=df: df.first()) for i, (_, df) in enumerate(jobs)},
+                      max_workers=parallelism)
+    failures = {}
+    for i, (group, _) in enumerate(jobs):
+        row = counted[str(i)]
+        for j, c in enumerate(group):
+            failures[c.name] = int(row[f"m{j}"] or 0)
+    spark = checks[0].violations.sparkSession
+    return spark.createDataFrame([(c.name, c.severity, failures[c.name]) for c in checks],
+                                 "check_name string, severity string, failures bigint")
 
 
 def gate(result: DataFrame) -> list[dict]:

@@ -37,17 +37,32 @@ class SchemaChangeError(RuntimeError):
     """The rows to write do not have the stored table's schema."""
 
 
+def join_strategies(dim_customer: DataFrame, dim_restaurant: DataFrame,
+                    max_bytes: int) -> dict[str, str]:
+    """Size-check both dimensions concurrently: broadcast only when proven small."""
+    from tidemark.operators.pit_join import fits_broadcast
+    from tidemark.plans.concurrency import run_all
+    fits = run_all({"customers": lambda: fits_broadcast(dim_customer, max_bytes),
+                    "restaurants": lambda: fits_broadcast(dim_restaurant, max_bytes)})
+    return {k: "broadcast" if v else "bucketed" for k, v in fits.items()}
+
+
 def fact_rows(orders: DataFrame, dim_customer: DataFrame, dim_restaurant: DataFrame,
-              strategy: str = "auto", max_bytes: int = 64 * 1024 * 1024) -> DataFrame:
+              strategy: str | dict[str, str] = "auto", max_bytes: int = 64 * 1024 * 1024) -> DataFrame:
+    """``strategy``: "auto", "broadcast", "bucketed", or one per dimension
+    (``{"customers": .., "restaurants": ..}``)."""
+    if strategy == "auto":
+        strategy = join_strategies(dim_customer, dim_restaurant, max_bytes)
+    per_dim = strategy if isinstance(strategy, dict) else {"customers": strategy, "restaurants": strategy}
     customers = dim_customer.where(F.col("customer_key") != UNKNOWN_KEY)
     restaurants = dim_restaurant.where(F.col("restaurant_key") != UNKNOWN_KEY)
     o = point_in_time_join(orders, customers, "customer_id", "order_ts",
                            {"_c_key": "customer_key", "customer_tier": "loyalty_tier"},
-                           strategy=strategy, max_bytes=max_bytes)
+                           strategy=per_dim["customers"], max_bytes=max_bytes)
     o = point_in_time_join(o, restaurants, "restaurant_id", "order_ts",
                            {"_r_key": "restaurant_key", "restaurant_zone": "zone",
                             "commission_pct": "commission_pct"},
-                           strategy=strategy, max_bytes=max_bytes)
+                           strategy=per_dim["restaurants"], max_bytes=max_bytes)
     # net * pct * 0.01 keeps exact decimal arithmetic; round() is HALF_UP.
     commission = F.round(F.col("net_amount") * F.col("commission_pct") * F.lit(Decimal("0.01")), 2)
     return o.select(

@@ -134,7 +134,10 @@ def state_dates(spark: SparkSession, cfg: WarehouseConfig, entity: str) -> list[
 
 def snapshot_day(spark: SparkSession, cfg: WarehouseConfig, entity: str, d: dt.date,
                  raw: DataFrame, allow_rerun: bool = False) -> dict[str, int]:
-    """Run the history step for day ``d`` from the raw slice ``_extract_date = d``.
+    """Run the history step for day ``d`` from the raw rows with ``_extract_date = d``.
+
+    ``raw`` may hold more days (only day ``d`` is used); passing just that
+    partition avoids listing the whole raw table.
 
     Refuses to run when state for a later day exists (unless ``allow_rerun``)
     or when the previous day's state is missing after history has started.
@@ -163,14 +166,14 @@ def snapshot_day(spark: SparkSession, cfg: WarehouseConfig, entity: str, d: dt.d
         .option("partitionOverwriteMode", "dynamic").partitionBy("run") \
         .parquet(_closed_root(cfg, entity))
     opened.write.mode("overwrite").parquet(_open_path(cfg, entity, d))
-    return {"open": spark.read.parquet(_open_path(cfg, entity, d)).count()}
+    return {"day": d}
 
 
 def read_history(spark: SparkSession, cfg: WarehouseConfig, entity: str, as_of: dt.date) -> DataFrame:
     """Every version known after day ``as_of``: closed up to it plus the open set."""
     opened = spark.read.parquet(_open_path(cfg, entity, as_of))
     root = _closed_root(cfg, entity)
-    if not storage.exists(spark, root):
+    if not storage.glob(spark, f"{root}/run=*"):  # nothing closed yet
         return opened
     closed = spark.read.parquet(root).where(F.col("run") <= F.lit(as_of)).drop("run")
     return closed.unionByName(opened)

@@ -41,7 +41,11 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         SparkSession.builder.master(master)
         .appName(app_name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+        # One machine: list partition folders in the driver instead of
+        # launching a listing job per read (a cluster keeps Spark's default).
+        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "4096")
         .config("spark.driver.memory", "8g")
     )
     for key, value in RUNTIME_CONF.items():
