@@ -1,0 +1,9 @@
+"""Streaming: nothing to build for parity.
+
+The reference warehouse is batch only - no streaming source, watermark,
+window or stateful operator exists in it (its real-time half is a separate
+project). Late data is handled in batch by the look-back upsert
+(``tidemark.operators.facts``) and the unknown-member healing it implies.
+The landing-zone sensor (wait for ``_SUCCESS``) is the completeness gate in
+``tidemark.sources.landing``; a scheduler calls ``plans.pipeline.run_day``.
+"""
