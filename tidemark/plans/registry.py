@@ -239,14 +239,14 @@ def facts_columns():
 @register("fct_lookback_slice", O.model_sql(O.LOOKBACK_SLICE))
 def fct_lookback_slice(spark, sf_dir):
     from tidemark.operators import facts
-    m = Models(spark, sf_dir)
+    m = Models(spark, sf_dir, materialize=True)
     wm = m.fct_orders.agg(F.max("updated_at")).first()[0]  # the target's watermark
     return facts.incremental_source(m.raw_orders, facts.lookback_cutoff(wm, O.LOOKBACK_DAYS))
 
 
 # ----------------------------------------------------------------- checks
 def _suite(spark, sf_dir):
-    m = Models(spark, sf_dir)
+    m = Models(spark, sf_dir, materialize=True)
     return checks.standard_suite(m.raw, m.stg_orders, m.dim_customer, m.dim_restaurant, m.dim_date,
                                  m.fct_orders, m.agg_daily_zone_metrics, m.agg_monthly_revenue_by_tier,
                                  O.LOOKBACK_DAYS)
@@ -285,12 +285,12 @@ def source_freshness(spark, sf_dir):
 # ---------------------------------------------------------------- reports
 @register("gmv_latest_day", O.report_sql("gmv_latest_day"))
 def gmv_latest_day(spark, sf_dir):
-    return reports.gmv_latest_day(Models(spark, sf_dir).fct_orders)
+    return reports.gmv_latest_day(Models(spark, sf_dir, materialize=True).fct_orders)
 
 
 @register("orders_last7_one_restaurant", O.report_sql("orders_last7_one_restaurant"))
 def orders_last7_one_restaurant(spark, sf_dir):
-    return reports.orders_last7_one_restaurant(Models(spark, sf_dir).fct_orders, "7")
+    return reports.orders_last7_one_restaurant(Models(spark, sf_dir, materialize=True).fct_orders, "7")
 
 
 @register("net_full_scan", O.report_sql("net_full_scan"))
