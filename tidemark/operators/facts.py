@@ -149,7 +149,7 @@ def full_refresh(spark: SparkSession, cfg: WarehouseConfig, rows: DataFrame) ->
     return {"mode": "full", "max_updated_at": wm}
 
 
-def upsert(spark: SparkSession, cfg: WarehouseConfig, changes: DataFrame) -> dict:
+def upsert(spark: SparkSession, cfg: WarehouseConfig, changes: DataFrame, watermark=None) -> dict:
     """Delete+insert ``changes`` on ``order_id`` into the stored fact.
 
     An order's ``order_date`` never changes, so the rows to replace live in the
@@ -169,12 +169,12 @@ def upsert(spark: SparkSession, cfg: WarehouseConfig, changes: DataFrame) -> dic
                       F.max("updated_at").alias("wm")).first()
     dates = sorted(agg["dates"] or [])
     if not dates:
-        return {"mode": "upsert", "partitions": 0}
+        return {"mode": "upsert", "partitions": 0, "dates": []}
     kept = stored.where(F.col("order_date").isin(dates)).join(
         changes.select("order_id"), "order_id", "left_anti")
     merged = kept.unionByName(changes.select(*stored.columns))
     _write(merged, path, cfg, dynamic=True)
-    prev = read_watermark(spark, cfg)
+    prev = watermark if watermark is not None else read_watermark(spark, cfg)
     wm = max(x for x in (prev, agg["wm"]) if x is not None)
     _save_watermark(spark, cfg, wm)
-    return {"mode": "upsert", "partitions": len(dates), "max_updated_at": wm}
+    return {"mode": "upsert", "partitions": len(dates), "dates": dates, "max_updated_at": wm}
