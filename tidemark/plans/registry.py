@@ -93,8 +93,9 @@ from tidemark.session import work_dir  # noqa: E402
 from tidemark.sources import fixtures, landing, raw, storage  # noqa: E402
 from tidemark.sources.schemas import HISTORY  # noqa: E402
 
-# Warehouses already materialised in this process, by (kind, sf_dir).
-_BUILT: dict[tuple[str, str], tuple[WarehouseConfig, object]] = {}
+# Warehouses already materialised in this process, by (kind, sf_dir): several
+# registered queries read the same stored tables.
+_BUILT: dict[tuple[str, str], WarehouseConfig] = {}
 
 LATE_CHECK = "assert_late_arriving_restaurants_are_resolved"
 # The fixtures keep one restaurant that is never listed, so the late-arrival
@@ -122,20 +123,15 @@ def land_fixtures(spark, sf_dir: str, seeded: bool, name: str) -> WarehouseConfi
     return cfg
 
 
-def _memo(kind: str, sf_dir: str, build):
+def _memo(spark, kind: str, sf_dir: str, build) -> WarehouseConfig:
     key = (kind, sf_dir)
-    hit = _BUILT.get(key)
-    if hit is not None and storage.exists(spark_of(hit), hit[0].root):
-        return hit
-    _BUILT[key] = build()
-    return _BUILT[key]
-
-
-def spark_of(hit):
-    return hit[1]
+    cfg = _BUILT.get(key)
+    if cfg is None or not storage.exists(spark, cfg.root):
+        cfg = _BUILT[key] = build()
+    return cfg
 
 
-def loaded_raw(spark, sf_dir: str) -> tuple[WarehouseConfig, object]:
+def loaded_raw(spark, sf_dir: str) -> WarehouseConfig:
     """Plain fixtures landed, loaded into raw, then loaded again (idempotent replace)."""
     def build():
         cfg = land_fixtures(spark, sf_dir, seeded=False, name="raw-load")
@@ -144,13 +140,13 @@ def loaded_raw(spark, sf_dir: str) -> tuple[WarehouseConfig, object]:
         counts = raw.reconcile(raw.load_days(spark, cfg, days))  # re-run: same partitions replaced
         path = f"{cfg.root}/_reports/load_counts"
         counts.write.mode("overwrite").parquet(path)
-        return cfg, spark
-    return _memo("raw", sf_dir, build)
+        return cfg
+    return _memo(spark, "raw", sf_dir, build)
 
 
 @register("raw_partition_replace", O.model_sql(f"SELECT {O.LANDING_ORDER_COLS} FROM raw_orders"))
 def raw_partition_replace(spark, sf_dir):
-    cfg, _ = loaded_raw(spark, sf_dir)
+    cfg = loaded_raw(spark, sf_dir)
     return raw.read(spark, cfg, "orders").drop("_loaded_at") \
         .select(*[F.col(c) if c not in ("order_ts", "delivered_ts", "updated_at")
                   else F.col(c).cast("timestamp_ntz").alias(c)
@@ -159,7 +155,7 @@ def raw_partition_replace(spark, sf_dir):
 
 @register("raw_partition_counts", O.model_sql(O.RAW_COUNTS))
 def raw_partition_counts(spark, sf_dir):
-    cfg, _ = loaded_raw(spark, sf_dir)
+    cfg = loaded_raw(spark, sf_dir)
     counts = spark.read.parquet(f"{cfg.root}/_reports/load_counts")
     # Landed days without rows are empty extracts; the oracle lists days with rows.
     return counts.where(F.col("file_rows") > 0)
@@ -195,39 +191,39 @@ def scd2_fold_dense_restaurants(spark, sf_dir):
     return fold_history(spark, sf_dir, "restaurants", dense=True)
 
 
-def incremental_warehouse(spark, sf_dir: str) -> tuple[WarehouseConfig, object]:
+def incremental_warehouse(spark, sf_dir: str) -> WarehouseConfig:
     """Seeded fixtures run day by day through the whole pipeline."""
     def build():
         cfg = land_fixtures(spark, sf_dir, seeded=True, name="daily")
         pipeline.run_range(spark, cfg, landing.complete_days(spark, cfg),
                            severities=SIMULATION_SEVERITIES)
-        return cfg, spark
-    return _memo("daily", sf_dir, build)
+        return cfg
+    return _memo(spark, "daily", sf_dir, build)
 
 
 @register("fct_orders_incremental", O.model_sql(_select("fct_orders"), seeded=True))
 def fct_orders_incremental(spark, sf_dir):
-    cfg, _ = incremental_warehouse(spark, sf_dir)
+    cfg = incremental_warehouse(spark, sf_dir)
     return spark.read.parquet(cfg.mart("fct_orders")).select(*facts_columns())
 
 
 @register("pipeline_daily_zone_metrics",
           O.model_sql(_select("agg_daily_zone_metrics"), seeded=True, extra=[O.DAILY]))
 def pipeline_daily_zone_metrics(spark, sf_dir):
-    cfg, _ = incremental_warehouse(spark, sf_dir)
+    cfg = incremental_warehouse(spark, sf_dir)
     return spark.read.parquet(cfg.mart("agg_daily_zone_metrics"))
 
 
 @register("pipeline_monthly_revenue_by_tier",
           O.model_sql(_select("agg_monthly_revenue_by_tier"), seeded=True, extra=[O.MONTHLY]))
 def pipeline_monthly_revenue_by_tier(spark, sf_dir):
-    cfg, _ = incremental_warehouse(spark, sf_dir)
+    cfg = incremental_warehouse(spark, sf_dir)
     return spark.read.parquet(cfg.mart("agg_monthly_revenue_by_tier"))
 
 
 @register("pipeline_dim_restaurant", O.model_sql(_select("dim_restaurant"), seeded=True))
 def pipeline_dim_restaurant(spark, sf_dir):
-    cfg, _ = incremental_warehouse(spark, sf_dir)
+    cfg = incremental_warehouse(spark, sf_dir)
     return spark.read.parquet(cfg.mart("dim_restaurant"))
 
 
