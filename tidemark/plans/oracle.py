@@ -425,3 +425,11 @@ SELECT order_date, count(*) AS orders FROM fct_orders WHERE restaurant_key = '-1
 
 def report_sql(name: str) -> str:
     return model_sql(REPORTS[name], extra=[DAILY, MONTHLY])
+
+
+RERUN = """
+SELECT state, fct_rows, gmv FROM (
+  SELECT count(*) AS fct_rows,
+         CAST(sum(CASE WHEN status = 'DELIVERED' THEN net_amount END) AS DECIMAL(18,2)) AS gmv
+  FROM fct_orders
+) CROSS JOIN (SELECT 'before' AS state UNION ALL SELECT 'after')"""

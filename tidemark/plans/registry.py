@@ -329,3 +329,14 @@ def pruning_report(spark, sf_dir):
     flat_path = cfg.mart("fct_orders_unpartitioned")
     part.write.mode("overwrite").parquet(flat_path)
     return reports.pruning_report(part, spark.read.parquet(flat_path))
+
+
+@register("rerun_idempotency", O.model_sql(O.RERUN, seeded=True))
+def rerun_idempotency(spark, sf_dir):
+    """Re-run the last day of the day-by-day warehouse: (rows, GMV) before == after."""
+    cfg = incremental_warehouse(spark, sf_dir)
+    last = landing.complete_days(spark, cfg)[-1]
+    r = pipeline.rerun_day(spark, cfg, last, severities=SIMULATION_SEVERITIES)
+    return spark.createDataFrame(
+        [("before", r["before"][0], r["before"][1]), ("after", r["after"][0], r["after"][1])],
+        "state string, fct_rows bigint, gmv decimal(18,2)")
