@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import WarehouseConfig
-from tidemark.functions.exprs import date_key, lookback, minute_boundaries
+from tidemark.functions.exprs import date_key, minute_boundaries
 from tidemark.operators import staging
 from tidemark.operators.pit_join import point_in_time_join
 from tidemark.sources import storage
