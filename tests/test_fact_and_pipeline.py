@@ -66,9 +66,12 @@ def test_incremental_days_equal_full_build_and_rerun_is_idempotent(spark):
         assert _rows(published, mcols) == _rows(full_mart, mcols), name
 
     before = stored.agg(F.count(F.lit(1)), F.sum("net_amount")).first()
-    pipeline.run_day(spark, cfg, days[-1], severities=sev, allow_rerun=True)
+    rerun = pipeline.run_day(spark, cfg, days[-1], severities=sev, allow_rerun=True, check_scope="touched")
     after = spark.read.parquet(cfg.mart("fct_orders")).agg(F.count(F.lit(1)), F.sum("net_amount")).first()
     assert tuple(before) == tuple(after)
+    assert len(rerun["checks"]) == 31
+    failing = {c["check_name"] for c in rerun["checks"] if c["failures"]}
+    assert failing <= {"assert_late_arriving_restaurants_are_resolved"}
 
 
 def test_schema_change_is_refused(spark, cfg):

@@ -150,9 +150,13 @@ def scd2_overlaps(versions: DataFrame) -> DataFrame:
 def standard_suite(raw: dict[str, DataFrame], stg: DataFrame, dim_customer: DataFrame,
                    dim_restaurant: DataFrame, dim_date: DataFrame, fct: DataFrame,
                    daily: DataFrame | None, monthly: DataFrame | None,
-                   late_arrival_days: int = 3, severities: dict[str, str] | None = None
-                   ) -> list[Check]:
-    """The reference's 31 data tests (28 generic + 3 singular)."""
+                   late_arrival_days: int = 3, severities: dict[str, str] | None = None,
+                   full_fct: DataFrame | None = None) -> list[Check]:
+    """The reference's 31 data tests (28 generic + 3 singular).
+
+    ``full_fct``: the whole fact for the late-arrival check when ``fct`` is
+    only the touched partitions (that check looks at old partitions).
+    """
     sev = severities or {}
     net_ok_stg = F.col("net_amount") >= 0
     rows = [
@@ -203,7 +207,8 @@ def standard_suite(raw: dict[str, DataFrame], stg: DataFrame, dim_customer: Data
     rows += [
         ("assert_fact_reconciles_with_staging", fact_reconciles_with_staging(stg, fct), None, None),
         ("assert_late_arriving_restaurants_are_resolved",
-         late_restaurants_unresolved(fct, late_arrival_days), None, None),
+         late_restaurants_unresolved(full_fct if full_fct is not None else fct, late_arrival_days),
+         None, None),
         ("assert_scd2_versions_do_not_overlap",
          scd2_overlaps(scd2_versions(dim_customer, dim_restaurant)), None, None),
     ]
