@@ -2,12 +2,21 @@
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.config import WarehouseConfig
+from tidemark.operators import checks, facts, history, reports
+from tidemark.operators.facts import FACT_COLUMNS
 from tidemark.plans import oracle as O
+from tidemark.plans import pipeline
 from tidemark.plans.catalog import Models
+from tidemark.session import work_dir
+from tidemark.sources import fixtures, landing, raw, storage
+from tidemark.sources.schemas import HISTORY
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -82,16 +91,6 @@ def agg_monthly_revenue_by_tier(spark, sf_dir):
 
 
 # ------------------------------------------------------- stored warehouses
-import datetime as _dt  # noqa: E402
-
-from pyspark.sql import functions as F  # noqa: E402
-
-from tidemark.config import WarehouseConfig  # noqa: E402
-from tidemark.operators import checks, history, reports  # noqa: E402
-from tidemark.plans import pipeline  # noqa: E402
-from tidemark.session import work_dir  # noqa: E402
-from tidemark.sources import fixtures, landing, raw, storage  # noqa: E402
-from tidemark.sources.schemas import HISTORY  # noqa: E402
 
 # Warehouses already materialised in this process, by (kind, sf_dir): several
 # registered queries read the same stored tables.
@@ -204,7 +203,7 @@ def incremental_warehouse(spark, sf_dir: str) -> WarehouseConfig:
 @register("fct_orders_incremental", O.model_sql(_select("fct_orders"), seeded=True))
 def fct_orders_incremental(spark, sf_dir):
     cfg = incremental_warehouse(spark, sf_dir)
-    return spark.read.parquet(cfg.mart("fct_orders")).select(*facts_columns())
+    return spark.read.parquet(cfg.mart("fct_orders")).select(*FACT_COLUMNS)
 
 
 @register("pipeline_daily_zone_metrics",
@@ -227,14 +226,8 @@ def pipeline_dim_restaurant(spark, sf_dir):
     return spark.read.parquet(cfg.mart("dim_restaurant"))
 
 
-def facts_columns():
-    from tidemark.operators.facts import FACT_COLUMNS
-    return FACT_COLUMNS
-
-
 @register("fct_lookback_slice", O.model_sql(O.LOOKBACK_SLICE))
 def fct_lookback_slice(spark, sf_dir):
-    from tidemark.operators import facts
     m = Models(spark, sf_dir, materialize=True)
     wm = m.fct_orders.agg(F.max("updated_at")).first()[0]  # the target's watermark
     return facts.incremental_source(m.raw_orders, facts.lookback_cutoff(wm, O.LOOKBACK_DAYS))
@@ -322,7 +315,6 @@ def latest_orders(spark, sf_dir):
 @register("pruning_report")
 def pruning_report(spark, sf_dir):
     """Bytes a scan must open, flat copy vs date-partitioned fact (no oracle: file sizes)."""
-    from tidemark.operators import facts
     cfg = WarehouseConfig(root=work_dir(spark, "pruning"))
     facts.full_refresh(spark, cfg, Models(spark, sf_dir).fct_orders)
     part = spark.read.parquet(cfg.mart("fct_orders"))
