@@ -91,3 +91,23 @@ def test_lookback_prefilter_matches_filter_on_full_staging(spark):
     assert _rows(fast, ["order_id", "updated_at"]) == _rows(slow, ["order_id", "updated_at"])
     plan = fast._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan or "_extract_date" in plan
+
+
+def test_touched_scope_checks_catch_a_duplicate_in_a_touched_partition(spark):
+    cfg = registry.land_fixtures(spark, SF_SMALL, seeded=True, name="test-scope")
+    days = landing.complete_days(spark, cfg)
+    sev = registry.SIMULATION_SEVERITIES
+    pipeline.bootstrap(spark, cfg, days[-2], severities=sev)
+    run = pipeline.run_day(spark, cfg, days[-1], severities=sev, check_scope="touched")
+    touched = run["fact"]["dates"]
+    assert touched
+    changed = spark.read.parquet(cfg.state("fct_orders_changes")).select("order_id").limit(1)
+    fct = spark.read.parquet(cfg.mart("fct_orders"))
+    dup = fct.join(changed, "order_id", "left_semi").cache()
+    d = dup.first()["order_date"]
+    # seed the violation: the same order twice in its partition
+    dup.drop("order_date").write.mode("append").parquet(f"{cfg.mart('fct_orders')}/order_date={d.isoformat()}")
+    result = {r["check_name"]: r["failures"] for r in pipeline.run_checks(
+        spark, cfg, days[-1], None, None, sev, scope="touched", touched=touched).collect()}
+    assert result["unique_fct_orders_order_id"] == 1
+    assert result["assert_fact_reconciles_with_staging"] == 1
