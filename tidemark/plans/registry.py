@@ -14,7 +14,7 @@ from tidemark.operators.facts import FACT_COLUMNS
 from tidemark.plans import oracle as O
 from tidemark.plans import pipeline
 from tidemark.plans.catalog import Models
-from tidemark.session import work_dir
+from tidemark.session import shared_root, work_dir
 from tidemark.sources import fixtures, landing, raw, storage
 from tidemark.sources.schemas import HISTORY
 
@@ -122,11 +122,35 @@ def land_fixtures(spark, sf_dir: str, seeded: bool, name: str) -> WarehouseConfi
     return cfg
 
 
+def _code_digest() -> str:
+    """Digest of the package source: a stored build is reused only by the same code."""
+    import hashlib
+    import pathlib
+    root = pathlib.Path(__file__).resolve().parents[1]
+    h = hashlib.sha1()
+    for path in sorted(root.rglob("*.py")):
+        h.update(path.read_bytes())
+    return h.hexdigest()
+
+
 def _memo(spark, kind: str, sf_dir: str, build) -> WarehouseConfig:
+    """Reuse a completed warehouse of this (kind, input, code) in this process,
+    or one recorded by an earlier process in the shared checkpoint folder."""
+    import hashlib
     key = (kind, sf_dir)
     cfg = _BUILT.get(key)
-    if cfg is None or not storage.exists(spark, cfg.root):
-        cfg = _BUILT[key] = build()
+    if cfg is not None and storage.exists(spark, cfg.root):
+        return cfg
+    stamp = f"{kind}|{sf_dir}|{storage.size_bytes(spark, sf_dir + '/events.parquet')}|{_code_digest()}"
+    pointer = f"{shared_root(spark)}/tidemark/_built/{kind}-{hashlib.sha1(stamp.encode()).hexdigest()[:20]}"
+    if storage.exists(spark, f"{pointer}/_SUCCESS"):
+        root = spark.read.text(pointer).first()[0]
+        if storage.exists(spark, root):
+            cfg = _BUILT[key] = WarehouseConfig(root=root)
+            return cfg
+    cfg = _BUILT[key] = build()
+    # Written only after the build completed; the job's _SUCCESS marks it.
+    spark.createDataFrame([(cfg.root,)], "root string").coalesce(1).write.mode("overwrite").text(pointer)
     return cfg
 
 

@@ -68,6 +68,13 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def shared_root(spark: SparkSession) -> str:
+    """The folder named by ``spark.checkpoint.dir`` itself, common to every
+    application (Spark's own checkpoints go to a per-application subfolder)."""
+    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return conf.rstrip("/") if conf else checkpoint_root(spark)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root for one job's tables."""
     return f"{checkpoint_root(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
