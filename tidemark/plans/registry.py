@@ -214,6 +214,12 @@ def scd2_fold_dense_restaurants(spark, sf_dir):
     return fold_history(spark, sf_dir, "restaurants", dense=True)
 
 
+@register("scd2_fold_dense_customers", O.model_sql(_select("snap_customers")))
+def scd2_fold_dense_customers(spark, sf_dir):
+    """Full daily customer snapshots give the same history as the sparse log."""
+    return fold_history(spark, sf_dir, "customers", dense=True)
+
+
 def incremental_warehouse(spark, sf_dir: str) -> WarehouseConfig:
     """Seeded fixtures run day by day through the whole pipeline."""
     def build():
