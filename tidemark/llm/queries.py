@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bitplanes, bpe_transducer, chat, hilbert, outliers
+from tidemark.llm import bagminhash, bitplanes, bpe_transducer, chat, hilbert, outliers, suffix_dedup
 from tidemark.llm.tables import documents, prepare, stored
 from tidemark.session import work_dir
 
@@ -32,6 +32,11 @@ def op4_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bitplanes.read_digests(spark, path)
 
 
+def op6_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(documents(spark, sf_dir), []).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op7_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = outliers.quality_outliers(documents(spark, sf_dir), ["doc_id"])
     return judged.select("row.doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -42,6 +47,10 @@ def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_transducer.token_digests(documents(spark, sf_dir), _vocabulary("word_bpe_49k.json"))
 
 
+def op9_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bagminhash.classes(documents(spark, sf_dir))
+
+
 def op10_schema_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     said = "<|im_end|><|im_start|>assistant ok"
@@ -54,8 +63,10 @@ def op10_schema_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_hilbert_shards": op3_hilbert_shards,
     "op4_bit_planes": op4_bit_planes,
+    "op6_suffix_arrays": op6_suffix_arrays,
     "op7_robust_outliers": op7_robust_outliers,
     "op8_bpe_transducer": op8_bpe_transducer,
+    "op9_bagminhash": op9_bagminhash,
     "op10_schema_chat": op10_schema_chat,
 }
 

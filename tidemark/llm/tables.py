@@ -28,7 +28,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def planes(values: np.ndarray) -> bytes:
     """Compress fixed-size integers plane by plane (all first bytes, all second ...)."""
-    raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), -1)
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.dtype.itemsize)
     return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(raw.T).tobytes())
 
 
