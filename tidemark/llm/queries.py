@@ -7,19 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import bagminhash, bitplanes, bpe_transducer, chat, hilbert, outliers, suffix_dedup
+from tidemark.llm import (bagminhash, bitplanes, bpe_transducer, chat, decontaminate, deleted_interpolation, hilbert,
+                          licenses, outliers, suffix_dedup)
 from tidemark.llm.tables import documents, prepare, stored
 from tidemark.session import work_dir
 
 SHARDS = 40
 
 
-def _vocabulary(name: str) -> str:
+def vocabulary(name: str) -> str:
     import public_tokenizers
 
     return public_tokenizers.path(name)
 
 
+def op1_deleted_interpolation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return deleted_interpolation.score_documents(documents(spark, sf_dir))
+
+
+def op2_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminations(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = hilbert.shard_documents(documents(spark, sf_dir), SHARDS)
     return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
@@ -28,10 +37,14 @@ def op3_hilbert_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "ids")
-    bitplanes.write_ids(documents(spark, sf_dir), _vocabulary("byte_bpe_50k.json"), path)
+    bitplanes.write_ids(documents(spark, sf_dir), vocabulary("byte_bpe_50k.json"), path)
     return bitplanes.read_digests(spark, path)
 
 
+def op5_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
 def op6_suffix_arrays(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(documents(spark, sf_dir), []).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -44,7 +57,7 @@ def op7_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_transducer.token_digests(documents(spark, sf_dir), _vocabulary("word_bpe_49k.json"))
+    return bpe_transducer.token_digests(documents(spark, sf_dir), vocabulary("word_bpe_49k.json"))
 
 
 def op9_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -61,8 +74,11 @@ def op10_schema_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_deleted_interpolation": op1_deleted_interpolation,
+    "op2_cgk_decontamination": op2_cgk_decontamination,
     "op3_hilbert_shards": op3_hilbert_shards,
     "op4_bit_planes": op4_bit_planes,
+    "op5_license_windows": op5_license_windows,
     "op6_suffix_arrays": op6_suffix_arrays,
     "op7_robust_outliers": op7_robust_outliers,
     "op8_bpe_transducer": op8_bpe_transducer,
