@@ -110,11 +110,12 @@ def signatures(row: np.ndarray, shingle: np.ndarray, weight: np.ndarray, rows: i
 
 
 def band_hashes(best: np.ndarray) -> np.ndarray:
+    """One key for each row and band; bands do not share keys."""
     bits = np.ascontiguousarray(best).view(np.uint64).reshape(len(best), BANDS, ROWS)
     out = np.zeros((len(best), BANDS), np.uint64)
     for k in range(ROWS):
         out = out * _STEP + X.mix(bits[:, :, k])
-    return X.mix(out)
+    return X.mix(out + X.mix(np.arange(BANDS, dtype=np.uint64)))
 
 
 def element_set(shingle: np.ndarray, count: np.ndarray) -> np.ndarray:
@@ -238,47 +239,46 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     signed = stored(keyed.mapInArrow(_signed, "doc_id long, node binary, words long, bands array<long>, registers binary"), "signatures")
 
     # One row per distinct text with words, and the document that lends it.
-    texts = (signed.where("words > 0").groupBy("node")
-             .agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("registers").alias("registers")))
-    members = texts.select("node", "doc_id", "registers", F.posexplode("bands").alias("band", "hash"))
-    buckets = (members.groupBy("band", "hash").agg(F.count(F.lit(1)).alias("size"), F.min(F.struct("node", "registers")).alias("least"))
-               .where("size > 1"))
-    crowd = stored(members.join(buckets, ["band", "hash"]), "buckets")
-
-    star = (crowd.where(F.col("node") != F.col("least.node"))
-            .select(F.col("least.node").alias("u"), F.col("node").alias("v"), F.col("least.registers").alias("ru"), F.col("registers").alias("rv"))
-            .groupBy("u", "v").agg(F.first("ru").alias("ru"), F.first("rv").alias("rv"))
-            .where(_agreeing("ru", "rv") >= ESTIMATE).select("u", "v"))
-    wanted = crowd.groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    texts = stored(signed.where("words > 0").groupBy("node")
+                   .agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), F.first("registers").alias("registers")), "texts")
+    members = texts.select("node", F.explode("bands").alias("hash"))
+    buckets = members.groupBy("hash").agg(F.count(F.lit(1)).alias("size"), F.min("node").alias("least")).where("size > 1")
+    crowd = stored(members.join(buckets, "hash"), "buckets")
+
+    star = crowd.where("node != least").select(F.col("least").alias("u"), F.col("node").alias("v")).distinct()
+    wanted = texts.select("node", "doc_id").join(crowd.select("node").distinct(), "node")
     lent = keyed.join(wanted, (keyed["node"] == wanted["node"]) & keyed["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
     sets = stored(lent.select("node", "text").mapInArrow(_sets, "node binary, elements binary")
                   .groupBy("node").agg(F.first("elements").alias("elements")), "elements")
-    links = stored(_verified(star, sets), "links")
+    links = stored(_verified(_likely(star, texts), sets), "links")
 
     # Members of one bucket in different components, compared once more.
     label = components(links)
-    parted = (crowd.select("band", "hash", "size", "node", "registers").join(label, "node", "left")
-              .withColumn("label", F.coalesce("label", "node")))
-    split = (parted.groupBy("band", "hash").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-             .where("lo != hi").select("band", "hash"))
-    parted = stored(parted.join(split, ["band", "hash"], "left_semi"), "parted")
+    parted = crowd.select("hash", "size", "node").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    split = parted.groupBy("hash").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("hash")
+    parted = stored(parted.join(split, "hash", "left_semi"), "parted")
     few = parted.where(F.col("size") <= SMALL_BUCKET)
     a, b = few.alias("a"), few.alias("b")
-    pairs = (a.join(b, (F.col("a.band") == F.col("b.band")) & (F.col("a.hash") == F.col("b.hash")) & (F.col("a.label") < F.col("b.label")))
-             .select(F.col("a.node").alias("u"), F.col("b.node").alias("v"), F.col("a.registers").alias("ru"), F.col("b.registers").alias("rv"))
-             .groupBy("u", "v").agg(F.first("ru").alias("ru"), F.first("rv").alias("rv"))
-             .where(_agreeing("ru", "rv") >= ESTIMATE).select("u", "v"))
+    pairs = (a.join(b, (F.col("a.hash") == F.col("b.hash")) & (F.col("a.label") < F.col("b.label")))
+             .select(F.col("a.node").alias("u"), F.col("b.node").alias("v")).distinct())
     blocks = F.ceil(F.col("size") / BLOCK).cast("int")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     many = (parted.where(F.col("size") > SMALL_BUCKET).withColumn("blocks", blocks).withColumn("own", own)
             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("band", "hash", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "label")
+            .select("hash", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "node", "label")
             .join(sets, "node"))
-    across = many.groupBy("band", "hash", "i", "j").applyInPandas(_compare_block, "u binary, v binary")
-    more = _verified(pairs, sets).union(across)
+    across = many.groupBy("hash", "i", "j").applyInPandas(_compare_block, "u binary, v binary")
+    more = _verified(_likely(pairs, texts), sets).union(across)
     return signed.select("doc_id", "node", "words"), components(links.union(more))
 
 
+def _likely(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose registers agree often enough to be verified."""
+    return (pairs.join(texts.select(F.col("node").alias("v"), F.col("registers").alias("rv")), "v")
+            .join(texts.select(F.col("node").alias("u"), F.col("registers").alias("ru")), "u")
+            .where(_agreeing("ru", "rv") >= ESTIMATE).select("u", "v"))
+
+
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose exact multiset overlap reaches the threshold."""
     return (pairs.join(sets.select(F.col("node").alias("v"), F.col("elements").alias("v_elements")), "v")
