@@ -107,7 +107,7 @@ def test_scores_of_odd_rows(spark):
 
 
 def semi_global(item, text):
-    return D.best_distance(np.frombuffer(item, np.uint8), np.frombuffer(text, np.uint8))
+    return D.best_distances([np.frombuffer(item, np.uint8)], [np.frombuffer(text, np.uint8)])[0]
 
 
 def plain_distance(item, text):
@@ -121,11 +121,11 @@ def plain_distance(item, text):
     return min(row)
 
 
-def test_best_distance():
+def test_best_distances():
     rng = np.random.default_rng(0)
-    for _ in range(60):
-        item, text = (bytes(rng.integers(97, 100, rng.integers(1, 14)).astype(np.uint8)) for _ in range(2))
-        assert semi_global(item, text + b"ab") == plain_distance(item, text + b"ab")
+    pairs = [[rng.integers(97, 100, rng.integers(1, 14)).astype(np.uint8) for _ in range(2)] for _ in range(80)]
+    got = D.best_distances([a for a, _ in pairs], [b for _, b in pairs], at_once=7)
+    assert got == [plain_distance(a.tobytes(), b.tobytes()) for a, b in pairs]
 
 
 def found(df):

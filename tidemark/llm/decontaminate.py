@@ -4,9 +4,9 @@ A document is contaminated by an item if some stretch of it is within
 ``EDITS`` x item length edits of the item, both as lower-case words joined by
 single spaces, in UTF-8 bytes.
 
-1. Windows. An item is cut into two pieces more than its allowed edits, so at
-   least two survive in any match, on diagonals that differ by the allowed
-   edits at most. Places where two pieces so agree give item-sized windows.
+1. Windows. An item is cut into more pieces than its allowed edits, so in any
+   match the surplus pieces survive, on diagonals that differ by the allowed
+   edits at most. Places where so many pieces agree give item-sized windows.
 2. Embedding. Items and windows take the same random walk (CGK): a step copies
    the byte under the pointer, which then moves or stays as step and byte say.
    Few edits become few differences.
@@ -73,16 +73,30 @@ def embed(texts: np.ndarray, sizes: np.ndarray, steps: int) -> np.ndarray:
     return out.T
 
 
-def best_distance(item: np.ndarray, stretch: np.ndarray) -> int:
-    """Least edit distance of an item to any part of a stretch."""
-    n = len(stretch)
-    row, step = np.zeros(n + 1, np.int64), np.arange(n + 1)
-    for k, symbol in enumerate(item, 1):
-        new = row + 1
-        new[1:] = np.minimum(new[1:], row[:-1] + (stretch != symbol))
-        new[0] = k
-        row = np.minimum.accumulate(new - step) + step
-    return int(row.min())
+def best_distances(items: list[np.ndarray], stretches: list[np.ndarray], at_once: int = 256) -> list[int]:
+    """Least edit distance of each item to any part of its stretch."""
+    out = [0] * len(items)
+    by_size = sorted(range(len(items)), key=lambda k: (len(items[k]), len(stretches[k])))
+    for a in range(0, len(by_size), at_once):
+        block = by_size[a:a + at_once]
+        sizes = [len(items[k]) for k in block]
+        symbols = np.full((len(block), max(sizes)), -1, np.int16)
+        text = np.full((len(block), max(len(stretches[k]) for k in block)), -2, np.int16)  # never equal
+        for n, k in enumerate(block):
+            symbols[n, :sizes[n]], text[n, :len(stretches[k])] = items[k], stretches[k]
+        row = np.zeros((len(block), text.shape[1] + 1), np.int32)
+        step, done = np.arange(text.shape[1] + 1, dtype=np.int32), 0
+        for i in range(max(sizes)):
+            while sizes[done] == i:
+                out[block[done]] = int(row[done].min())
+                done += 1
+            new = row + 1
+            np.minimum(new[:, 1:], row[:, :-1] + (text != symbols[:, i, None]), out=new[:, 1:])
+            new -= step
+            row = np.minimum.accumulate(new, axis=1) + step
+        for n in range(done, len(block)):
+            out[block[n]] = int(row[n].min())
+    return out
 
 
 class Items:
@@ -98,14 +112,15 @@ class Items:
         # Pieces by width: value, item and place in the item.
         self.pieces: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = {}
         by_width: dict[int, list[tuple[int, int, int]]] = {}
+        self.survivors = np.full(len(kept), 2, np.int64)
         for k, t in enumerate(self.texts):
-            count = int(self.edits[k]) + 2
-            piece = len(t) // count
-            width = next((w for w in (8, 5, 3, 2) if w <= piece), 1)
-            for p in range(count if piece else 0):
-                value = int.from_bytes(t[p * piece:p * piece + width].tobytes(), "little")
-                by_width.setdefault(width, []).append((value, k, p * piece))
-            if not piece:  # one or two bytes: the item itself, twice
+            spare = lambda w, n=len(t), e=int(self.edits[k]): n // w - e
+            width = next((w for w in (8, 5, 3, 2) if spare(w) >= 2), 1)
+            if spare(width) >= 2:
+                self.survivors[k] = spare(width)
+                for at in range(0, len(t) - width + 1, width):
+                    by_width.setdefault(width, []).append((int.from_bytes(t[at:at + width].tobytes(), "little"), k, at))
+            else:  # one byte: the item itself, twice
                 by_width.setdefault(1, []).extend([(int(t[0]), k, 0), (int(t[-1]), k, len(t) - 1)])
         for width, found in by_width.items():
             value, item, place = (np.array(c, kind) for c, kind in zip(zip(*sorted(found), strict=True), (np.uint64, np.int64, np.int64), strict=True))
@@ -157,7 +172,7 @@ class Items:
         return X.mix(X.mix(out + X.mix(np.arange(self.repeats, dtype=np.uint64))[None, :]) + sizes.astype(np.uint64)[:, None])
 
     def windows(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(row, start, size) of item-sized windows with two agreeing pieces."""
+        """(row, start, size) of item-sized windows with enough agreeing pieces."""
         rows, items, starts = [], [], []
         padded = np.concatenate((data, np.zeros(8, np.uint8)))
         words = np.ndarray((len(data),), "<u8", padded.tobytes(), strides=(1,)).astype(np.uint64)
@@ -176,9 +191,14 @@ class Items:
             return row, start, row
         order = np.lexsort((start, item, row))
         row, item, start = row[order], item[order], start[order]
-        near = (row[1:] == row[:-1]) & (item[1:] == item[:-1]) & (start[1:] - start[:-1] <= self.edits[item[1:]])
-        two = np.concatenate((near, [False])) | np.concatenate(([False], near))
-        found = np.unique(np.stack((row[two], start[two], self.sizes[item[two]])), axis=1)
+        # Hits whose run of enough hits, from this one on, stays on near diagonals.
+        last = np.minimum(np.arange(len(row)) + self.survivors[item] - 1, len(row) - 1)
+        first = (np.arange(len(row)) + self.survivors[item] - 1 < len(row)) & (row[last] == row) & (item[last] == item) & (start[last] - start <= self.edits[item])
+        reach = np.zeros(len(row) + 1, np.int64)
+        np.add.at(reach, np.flatnonzero(first), 1)
+        np.add.at(reach, last[first] + 1, -1)
+        enough = np.cumsum(reach)[:-1] > 0
+        found = np.unique(np.stack((row[enough], start[enough], self.sizes[item[enough]])), axis=1)
         return found[0], found[1], found[2]
 
     def matches(self, data: np.ndarray, offsets: np.ndarray) -> list[dict[int, int]]:
@@ -187,6 +207,7 @@ class Items:
         if not self.ids or not len(data):
             return out
         row, start, size = self.windows(data, offsets)
+        found = []
         for a in range(0, len(row), 4096):
             r, s, n = row[a:a + 4096], start[a:a + 4096], size[a:a + 4096]
             begin, end = offsets[r], offsets[r + 1]
@@ -196,19 +217,32 @@ class Items:
             texts = np.where(inside, data[np.minimum(at, len(data) - 1)], 0)
             keys = self.keys(embed(texts, inside.sum(axis=1), self.walk), n)
             low, high = np.searchsorted(self.table, keys, "left"), np.searchsorted(self.table, keys, "right")
-            for w in np.flatnonzero((high > low).any(axis=1)).tolist():
-                hits = {int(k) for x, y in zip(low[w], high[w], strict=True) for k in self.table_item[x:y]}
-                for k in hits:
-                    allowed = int(self.edits[k])
-                    if out[r[w]].get(k, allowed + 1) == 0:
-                        continue
-                    stretch = data[max(begin[w], s[w] - allowed):min(end[w], s[w] + self.sizes[k] + allowed)]
-                    exact = data[s[w]:s[w] + self.sizes[k]].tobytes() == self.texts[k].tobytes()
-                    edits = 0 if exact else best_distance(self.texts[k], stretch)
-                    if edits <= allowed:
-                        out[r[w]][k] = min(edits, out[r[w]].get(k, edits))
+            window, table = np.nonzero(high > low)
+            n = (high - low)[window, table]
+            first = low[window, table]
+            item = self.table_item[np.repeat(first, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+            found.append(np.unique(np.stack((np.repeat(r[window], n), item, np.repeat(s[window], n))), axis=1))
+        self._decide(data, offsets, np.concatenate(found, axis=1) if found else np.zeros((3, 0), np.int64), out)
         return out
 
+    def _decide(self, data: np.ndarray, offsets: np.ndarray, found: np.ndarray, out: list[dict[int, int]]) -> None:
+        """Edit distances of (row, item, start) candidates; near starts share a stretch."""
+        pairs: list[tuple[int, int, int, int]] = []
+        for r, k, s in zip(*(c.tolist() for c in found), strict=True):
+            allowed, size = int(self.edits[k]), int(self.sizes[k])
+            begin, end = max(int(offsets[r]), s - allowed), min(int(offsets[r + 1]), s + size + allowed)
+            if pairs and pairs[-1][:2] == (r, k) and begin - pairs[-1][2] <= size and begin <= pairs[-1][3]:
+                pairs[-1] = (r, k, pairs[-1][2], max(end, pairs[-1][3]))
+            else:
+                pairs.append((r, k, begin, end))
+        for r, k, begin, end in pairs:
+            if data[begin:end].tobytes().find(self.texts[k].tobytes()) >= 0:
+                out[r][k] = 0
+        pairs = [p for p in pairs if p[1] not in out[p[0]]]
+        for (r, k, _, _), e in zip(pairs, best_distances([self.texts[p[1]] for p in pairs], [data[p[2]:p[3]] for p in pairs]), strict=True):
+            if e <= self.edits[k]:
+                out[r][k] = min(e, out[r].get(k, e))
+
 
 def _search(items: list[tuple[int | None, str | None]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
