@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import text as X
 from tidemark.llm.components import components
-from tidemark.llm.tables import pack_sorted, stored, unpack_sorted
+from tidemark.llm.tables import discard, pack_sorted, stored, unpack_sorted
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -269,7 +269,9 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
             .join(sets, "node"))
     across = many.groupBy("hash", "i", "j").applyInPandas(_compare_block, "u binary, v binary")
     more = _verified(_likely(pairs, texts), sets).union(across)
-    return signed.select("doc_id", "node", "words"), components(links.union(more))
+    every = stored(links.union(more), "links")
+    discard(texts, crowd, sets, links, parted)
+    return signed.select("doc_id", "node", "words"), components(every)
 
 
 def _likely(pairs: DataFrame, texts: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.tables import stored
+from tidemark.llm.tables import discard, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -34,7 +34,8 @@ def components(edges: DataFrame) -> DataFrame:
     """
     now, before = stored(edges.where("u != v").distinct(), "edges"), None
     while True:
-        now = stored(_star(_star(now, True), False), "edges")
+        last, now = now, stored(_star(_star(now, True), False), "edges")
+        discard(last)
         mark = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if mark == before:
             break

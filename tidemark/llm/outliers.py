@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import text as X
-from tidemark.llm.tables import stored
+from tidemark.llm.tables import discard, stored
 
 #: Characters counted as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -110,7 +110,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def statistics(docs: DataFrame, carry: list[str]) -> DataFrame:
     """``row`` (the carried columns), ``key``, the statistics and ``base_failed``."""
-    source = docs.select(F.struct(*(F.col(f"`{c}`") for c in carry)).alias("row"),
+    source = docs.select(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in carry)).alias("row"),
                          F.to_json(F.struct("lang", "source")).alias("key"), F.col("text").cast("string").alias("text"))
     schema = T.StructType([source.schema["row"], T.StructField("key", T.StringType())]
                           + [T.StructField(s, T.LongType()) for s in STATISTICS])
@@ -184,23 +184,33 @@ def fit(measured: DataFrame) -> DataFrame:
         bucket = F.least(F.greatest(F.floor(16 * F.log2(_distance() + F.lit(2.0 ** -20))), F.lit(-320)), F.lit(960))
         near = (rows.join(params, "key").withColumn("bucket", bucket.cast("int"))
                 .groupBy("key", "start", "bucket").agg(*_moments()))
-        params = stored(near.groupBy("key", "start").applyInPandas(_concentrate, _FIT), "mcd")
+        last, params = params, stored(near.groupBy("key", "start").applyInPandas(_concentrate, _FIT), "mcd")
+        discard(last)
     best = params.groupBy("key").agg(F.min(F.struct("logdet", *params.columns[1:2], *params.columns[3:])).alias("b"))
     return best.select("key", "b.*")
 
 
 def quality_outliers(docs: DataFrame, carry: list[str]) -> DataFrame:
-    """``row`` (the carried columns of each document), its statistics and ``kept``."""
-    measured = stored(statistics(docs, carry), "statistics")
+    """``row`` (the carried columns of each document), its statistics and ``kept``.
+
+    Where texts are carried, their statistics are measured a second time
+    instead of being stored and shuffled with them.
+    """
+    light = [c for c in carry if c != "text"]
+    measured = stored(statistics(docs, light), "statistics")
     sizes = measured.where("not base_failed").groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    small = sizes.where(F.col("size") < MIN_GROUP).select("key", F.lit(True).alias("pooled"))
-    grouped = (measured.join(small, "key", "left")
-               .withColumn("key", F.when(F.col("pooled"), F.lit("")).otherwise(F.col("key"))).drop("pooled"))
-    judged = grouped.join(fit(grouped), "key", "left")
+    pool = stored(sizes.select("key", F.when(F.col("size") < MIN_GROUP, F.lit("")).otherwise(F.col("key")).alias("group")), "groups")
+    grouped = measured.drop("row").join(pool, "key").drop("key").withColumnRenamed("group", "key")
+    # One row per group, read from files: Spark broadcasts it if these are small.
+    fitted = stored(pool.join(fit(grouped).withColumnRenamed("key", "group"), "group").drop("group"), "estimates")
+    if light != carry:
+        discard(measured)
+        measured = statistics(docs, carry)
+    judged = measured.join(fitted, "key", "left")
     kept = ~F.col("base_failed") & F.coalesce(_distance() <= CUTOFF, F.lit(True))
     return judged.withColumn("kept", kept).select("row", *STATISTICS, "base_failed", "kept")
 
 
 def keep_documents(docs: DataFrame) -> DataFrame:
     """The documents that the rules keep, with their own columns."""
-    return quality_outliers(docs, docs.columns).where("kept").select("row.*")
+    return quality_outliers(docs, docs.columns).where("kept").select(*(F.col("row")[c].alias(c) for c in docs.columns))

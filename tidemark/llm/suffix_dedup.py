@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm import text as X
 from tidemark.llm.chunks import NO_ID, bucket_bits, chunked, cuts, unpacked
-from tidemark.llm.tables import pack_sorted, planes, stored, unpack_sorted, unplaned
+from tidemark.llm.tables import discard, pack_sorted, planes, stored, unpack_sorted, unplaned
 
 LENGTH = 100
 ANCHOR = 24
@@ -350,6 +350,7 @@ def remove_repeats(docs: DataFrame, carry: list[str]) -> DataFrame:
     runs = stored(plain.join(answered(first), "batch", "left").mapInArrow(_sort_windows(bits), _RUN), "windows")
     flags = runs.where(F.col("kind") == FIRST).select("kind", "bucket", "batch", "n", F.col("keys").alias("bits"))
     second = stored(merged(runs.where(F.col("kind") == CLASS)).union(flags), "answers")
+    discard(runs)
     schema = T.StructType([T.StructField("row", chunks.schema["rows"].dataType.elementType), T.StructField("doc_id", T.LongType()),
                            *(T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")),
                            T.StructField("kept_sha256", T.StringType()), T.StructField("kept_text", T.StringType())])
