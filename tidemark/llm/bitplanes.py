@@ -17,6 +17,7 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -112,9 +113,15 @@ class PieceEncoder:
         return self._ids(head) + b"".join(map(self.memo.__getitem__, pieces))
 
 
+@lru_cache(maxsize=1)
+def piece_encoder(path: str) -> PieceEncoder:
+    """One encoder for each worker process, so that tasks share its memo."""
+    return PieceEncoder(path)
+
+
 def _writer(tokenizer_path: str, block: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = PieceEncoder(tokenizer_path), TaskContext.get().partitionId()
+        encode, part = piece_encoder(tokenizer_path), TaskContext.get().partitionId()
         end = np.array([END_ID], "<u4").tobytes()
         held: list[np.ndarray] = []  # ids of the open block
         docs: list[int | None] = []

@@ -21,6 +21,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import regex
@@ -221,9 +222,15 @@ class WordTokenizer:
         return ("".join(map(decoder.feed, ids)) + decoder.close()).rstrip(" ")
 
 
+@lru_cache(maxsize=1)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One tokenizer for each worker process, so that tasks share its memo."""
+    return WordTokenizer(path)
+
+
 def _digests(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(path)
+        tokenizer = word_tokenizer(path)
         for batch in batches:
             found = [tokenizer.digest(t.as_py() or "") for t in batch.column("text")]
             n, ids, decoded = zip(*found, strict=True) if found else ((), (), ())
