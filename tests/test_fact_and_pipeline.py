@@ -127,3 +127,17 @@ def test_touched_scope_checks_catch_a_duplicate_in_a_touched_partition(spark):
         spark, cfg, days[-1], None, None, sev, scope="touched", touched=touched).collect()}
     assert result["unique_fct_orders_order_id"] == 1
     assert result["assert_fact_reconciles_with_staging"] == 1
+
+
+def test_full_refresh_replaces_and_upsert_follows_moved_dates(spark, cfg):
+
+    rows = Models(spark, SF_SMALL).fct_orders.limit(40).checkpoint()
+    shifted = rows.withColumn("order_date", F.date_add("order_date", 400))
+    facts.full_refresh(spark, cfg, shifted)
+    facts.full_refresh(spark, cfg, rows)
+    path = cfg.mart("fct_orders")
+    assert spark.read.parquet(path).count() == 40
+    facts.upsert(spark, cfg, shifted.orderBy("order_id").limit(3))
+    stored = spark.read.parquet(path)
+    assert stored.count() == 40 and stored.select("order_id").distinct().count() == 40
+    assert stored.where("order_date > '2024-12-31'").count() == 3

@@ -13,7 +13,6 @@ Layers (each a sub-package):
                   ``write_*`` / ``*_day``.
 * ``plans``     – the daily run and back-fill, plus the catalogue of
                   registered queries and their DuckDB oracle SQL.
-* ``streaming`` – nothing to build for parity (the reference has no streams).
 """
 
 __all__ = ["__version__"]

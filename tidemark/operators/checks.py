@@ -76,9 +76,14 @@ def accepted_values(df: DataFrame, column: str, values: list[str]) -> DataFrame:
 
 
 def relationships(child: DataFrame, column: str, parent: DataFrame, field: str) -> DataFrame:
-    """Child keys (non-null) with no parent row."""
-    keys = child.where(F.col(column).isNotNull()).select(F.col(column).alias("_child_key"))
-    return keys.join(parent.select(F.col(field).alias("_child_key")), "_child_key", "left_anti")
+    """Child keys (non-null) with no parent row, one row per child row.
+
+    Child rows are counted per key before the join, so a hot key is one row.
+    """
+    keys = child.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("_child_key")) \
+        .agg(F.count(F.lit(1)).alias("_n"))
+    lost = keys.join(parent.select(F.col(field).alias("_child_key")), "_child_key", "left_anti")
+    return lost.select("_child_key", F.explode(F.sequence(F.lit(1), F.col("_n")))).select("_child_key")
 
 
 def accepted_range(df: DataFrame, column: str, min_value=None, max_value=None) -> DataFrame:
@@ -115,10 +120,9 @@ def fact_reconciles_with_staging(stg: DataFrame, fct: DataFrame) -> DataFrame:
 
 def late_restaurants_unresolved(fct: DataFrame, late_arrival_days: int) -> DataFrame:
     """Orders older than the look-back that still point at the unknown restaurant."""
-    cutoff = fct.agg(F.date_sub(F.max("order_date"), late_arrival_days).alias("_cutoff"))
-    return fct.where(F.col("restaurant_key") == UNKNOWN_KEY) \
-        .select("order_id", "order_date", "restaurant_id") \
-        .join(F.broadcast(cutoff), F.col("order_date") < F.col("_cutoff")).drop("_cutoff")
+    cutoff = F.date_sub(fct.select(F.max("order_date")).scalar(), late_arrival_days)
+    return fct.where((F.col("restaurant_key") == UNKNOWN_KEY) & (F.col("order_date") < cutoff)) \
+        .select("order_id", "order_date", "restaurant_id")
 
 
 def scd2_versions(dim_customer: DataFrame, dim_restaurant: DataFrame) -> DataFrame:

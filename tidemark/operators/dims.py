@@ -15,8 +15,8 @@ DIM_KEYS = {"customers": "customer_key", "restaurants": "restaurant_key"}
 def versions_to_dim(history: DataFrame, entity: str) -> DataFrame:
     """One row per version plus the unknown member ``-1``.
 
-    The first captured version is back-dated to 1900-01-01 (history before the
-    first snapshot is unknown, not absent); the surrogate key still hashes the
+    The first captured version is back-dated to 1900-01-01, so that orders from
+    before the first snapshot find it; the surrogate key still hashes the
     real start. Open versions end at 9999-12-31 23:59:59 and are current.
     """
     key, attrs = HISTORY[entity]

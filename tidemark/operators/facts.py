@@ -118,9 +118,9 @@ def _write(rows: DataFrame, path: str, cfg: WarehouseConfig, dynamic: bool) -> N
     out = rows.repartitionByRange(*cluster).sortWithinPartitions(*cluster)
     writer = out.write.mode("overwrite").partitionBy("order_date") \
         .option("maxRecordsPerFile", cfg.fact_max_records_per_file)
-    if dynamic:
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    writer.parquet(path)
+    # Explicit in both cases: the session's default is dynamic, and a full write
+    # must also remove the partitions that it does not hold.
+    writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(path)
 
 
 def _save_watermark(spark: SparkSession, cfg: WarehouseConfig, value) -> None:
@@ -131,7 +131,7 @@ def _save_watermark(spark: SparkSession, cfg: WarehouseConfig, value) -> None:
 def read_watermark(spark: SparkSession, cfg: WarehouseConfig):
     """max(updated_at) of the stored fact; kept beside it so a run does not scan the table."""
     path = cfg.state("fct_orders")
-    if storage.exists(spark, path):
+    if storage.exists(spark, f"{path}/_SUCCESS"):  # only a committed file counts
         return spark.read.parquet(path).first()["max_updated_at"]
     target = cfg.mart("fct_orders")
     if storage.exists(spark, target):  # recovery: rebuild the watermark from the table
@@ -152,8 +152,9 @@ def full_refresh(spark: SparkSession, cfg: WarehouseConfig, rows: DataFrame) ->
 def upsert(spark: SparkSession, cfg: WarehouseConfig, changes: DataFrame, watermark=None) -> dict:
     """Delete+insert ``changes`` on ``order_id`` into the stored fact.
 
-    An order's ``order_date`` never changes, so the rows to replace live in the
-    partitions of the changes; only those partitions are read and rewritten.
+    The partitions of the changes are read and rewritten, and those where a
+    changed order was stored under another date (two columns of the stored
+    fact are scanned to find them).
     """
     path = cfg.mart("fct_orders")
     if not storage.exists(spark, path):
@@ -170,10 +171,21 @@ def upsert(spark: SparkSession, cfg: WarehouseConfig, changes: DataFrame, waterm
     dates = sorted(agg["dates"] or [])
     if not dates:
         return {"mode": "upsert", "partitions": 0, "dates": []}
+    moved = stored.select("order_id", F.col("order_date").alias("_old")) \
+        .join(changes.select("order_id", "order_date"), "order_id") \
+        .where(F.col("_old") != F.col("order_date")).select("_old").distinct()
+    left = sorted({r["_old"] for r in moved.collect()} - set(dates))  # one row per date
+    dates = sorted({*dates, *left})
     kept = stored.where(F.col("order_date").isin(dates)).join(
         changes.select("order_id"), "order_id", "left_anti")
     merged = kept.unionByName(changes.select(*stored.columns))
+    emptied = []
+    if left:  # a date that only held moved orders has no rows to overwrite it
+        still = {r[0] for r in kept.where(F.col("order_date").isin(left)).select("order_date").distinct().collect()}
+        emptied = [d for d in left if d not in still]
     _write(merged, path, cfg, dynamic=True)
+    for d in emptied:
+        storage.delete(spark, f"{path}/order_date={d.isoformat()}")
     prev = watermark if watermark is not None else read_watermark(spark, cfg)
     wm = max(x for x in (prev, agg["wm"]) if x is not None)
     _save_watermark(spark, cfg, wm)

@@ -218,21 +218,21 @@ def _fct(name: str = "fct_orders", source: str = "stg_orders") -> str:
 
 FCT = _fct()
 
+# One group per date and zone over settled orders; each measure filters its statuses.
 DAILY = """
+settled AS (
+  SELECT *, coalesce(restaurant_zone, 'UNKNOWN') AS zone FROM fct_orders WHERE is_final),
 agg_daily_zone_metrics AS (
-  SELECT order_date, coalesce(restaurant_zone, 'UNKNOWN') AS zone,
-         count(*) AS orders,
-         CAST(sum(CASE WHEN status = 'DELIVERED' THEN 1 ELSE 0 END) AS BIGINT) AS delivered_orders,
-         CAST(sum(CASE WHEN status = 'CANCELLED' THEN 1 ELSE 0 END) AS BIGINT) AS cancelled_orders,
-         CAST(sum(CASE WHEN status = 'REFUNDED' THEN 1 ELSE 0 END) AS BIGINT) AS refunded_orders,
-         CAST(sum(CASE WHEN status = 'DELIVERED' THEN net_amount ELSE 0 END) AS DECIMAL(18,2)) AS gmv,
-         CAST(sum(CASE WHEN status = 'DELIVERED' THEN coalesce(commission_amount, 0) ELSE 0 END)
-              AS DECIMAL(18,2)) AS commission_revenue,
-         avg(CASE WHEN status IN ('DELIVERED', 'REFUNDED') THEN delivery_minutes END) AS avg_delivery_minutes,
-         avg(CASE WHEN status IN ('DELIVERED', 'REFUNDED')
-                  THEN CASE WHEN delivery_minutes <= 40 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END END) AS sla_hit_rate
-  FROM fct_orders WHERE is_final
-  GROUP BY 1, 2
+  SELECT order_date, zone, count(*) AS orders,
+         count(*) FILTER (status = 'DELIVERED') AS delivered_orders,
+         count(*) FILTER (status = 'CANCELLED') AS cancelled_orders,
+         count(*) FILTER (status = 'REFUNDED') AS refunded_orders,
+         CAST(coalesce(sum(net_amount) FILTER (status = 'DELIVERED'), 0) AS DECIMAL(18,2)) AS gmv,
+         CAST(coalesce(sum(commission_amount) FILTER (status = 'DELIVERED'), 0) AS DECIMAL(18,2)) AS commission_revenue,
+         avg(delivery_minutes) FILTER (status IN ('DELIVERED', 'REFUNDED')) AS avg_delivery_minutes,
+         count(*) FILTER (status IN ('DELIVERED', 'REFUNDED') AND delivery_minutes <= 40)
+           / nullif(count(*) FILTER (status IN ('DELIVERED', 'REFUNDED')), 0)::DOUBLE AS sla_hit_rate
+  FROM settled GROUP BY order_date, zone
 )"""
 
 MONTHLY = """
@@ -279,15 +279,19 @@ def model_sql(body: str, seeded: bool = False, extra: list[str] | None = None) -
 LANDING_ORDER_COLS = ("order_id, customer_id, restaurant_id, order_ts, status, items_count, gross_amount, "
                       "discount_amount, delivery_fee, payment_method, delivered_ts, updated_at, _extract_date")
 
+# Every entity lands on every day of the extract period, with or without rows.
 RAW_COUNTS = """
-SELECT entity, extract_date, file_rows, loaded_rows, true AS ok FROM (
-  SELECT 'orders' AS entity, _extract_date AS extract_date, count(*) AS file_rows, count(*) AS loaded_rows
-  FROM raw_orders GROUP BY 2
-  UNION ALL
-  SELECT 'customers', _extract_date, count(*), count(*) FROM raw_customers GROUP BY 2
-  UNION ALL
-  SELECT 'restaurants', _extract_date, count(*), count(*) FROM raw_restaurants GROUP BY 2
-)"""
+SELECT * FROM (WITH landed AS (
+  SELECT 'orders' AS entity, _extract_date AS extract_date FROM raw_orders
+  UNION ALL SELECT 'customers', _extract_date FROM raw_customers
+  UNION ALL SELECT 'restaurants', _extract_date FROM raw_restaurants),
+period AS (
+  SELECT CAST(unnest(generate_series(min(extract_date), max(extract_date), INTERVAL 1 DAY)) AS DATE) AS extract_date
+  FROM landed)
+SELECT e.entity, p.extract_date, count(l.entity) AS file_rows, count(l.entity) AS loaded_rows, true AS ok
+FROM period p CROSS JOIN (VALUES ('orders'), ('customers'), ('restaurants')) AS e(entity)
+LEFT JOIN landed l ON l.entity = e.entity AND l.extract_date = p.extract_date
+GROUP BY 1, 2)"""
 
 LOOKBACK_SLICE = f"""
 SELECT * FROM stg_orders

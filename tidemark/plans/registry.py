@@ -14,7 +14,7 @@ from tidemark.operators.facts import FACT_COLUMNS
 from tidemark.plans import oracle as O
 from tidemark.plans import pipeline
 from tidemark.plans.catalog import Models
-from tidemark.session import shared_root, work_dir
+from tidemark.session import work_dir
 from tidemark.sources import fixtures, landing, raw, storage
 from tidemark.sources.schemas import HISTORY
 
@@ -92,10 +92,6 @@ def agg_monthly_revenue_by_tier(spark, sf_dir):
 
 # ------------------------------------------------------- stored warehouses
 
-# Warehouses already materialised in this process, by (kind, sf_dir): several
-# registered queries read the same stored tables.
-_BUILT: dict[tuple[str, str], WarehouseConfig] = {}
-
 LATE_CHECK = "assert_late_arriving_restaurants_are_resolved"
 # The fixtures keep one restaurant that is never listed, so the late-arrival
 # check fails from day four on; the simulation records it instead of stopping.
@@ -122,49 +118,14 @@ def land_fixtures(spark, sf_dir: str, seeded: bool, name: str) -> WarehouseConfi
     return cfg
 
 
-def _code_digest() -> str:
-    """Digest of the package source: a stored build is reused only by the same code."""
-    import hashlib
-    import pathlib
-    root = pathlib.Path(__file__).resolve().parents[1]
-    h = hashlib.sha1()
-    for path in sorted(root.rglob("*.py")):
-        h.update(path.read_bytes())
-    return h.hexdigest()
-
-
-def _memo(spark, kind: str, sf_dir: str, build) -> WarehouseConfig:
-    """Reuse a completed warehouse of this (kind, input, code) in this process,
-    or one recorded by an earlier process in the shared checkpoint folder."""
-    import hashlib
-    key = (kind, sf_dir)
-    cfg = _BUILT.get(key)
-    if cfg is not None and storage.exists(spark, cfg.root):
-        return cfg
-    stamp = f"{kind}|{sf_dir}|{storage.size_bytes(spark, sf_dir + '/events.parquet')}|{_code_digest()}"
-    pointer = f"{shared_root(spark)}/tidemark/_built/{kind}-{hashlib.sha1(stamp.encode()).hexdigest()[:20]}"
-    if storage.exists(spark, f"{pointer}/_SUCCESS"):
-        root = spark.read.text(pointer).first()[0]
-        if storage.exists(spark, root):
-            cfg = _BUILT[key] = WarehouseConfig(root=root)
-            return cfg
-    cfg = _BUILT[key] = build()
-    # Written only after the build completed; the job's _SUCCESS marks it.
-    spark.createDataFrame([(cfg.root,)], "root string").coalesce(1).write.mode("overwrite").text(pointer)
-    return cfg
-
-
 def loaded_raw(spark, sf_dir: str) -> WarehouseConfig:
     """Plain fixtures landed, loaded into raw, then loaded again (idempotent replace)."""
-    def build():
-        cfg = land_fixtures(spark, sf_dir, seeded=False, name="raw-load")
-        days = landing.complete_days(spark, cfg)
-        raw.reconcile(raw.load_days(spark, cfg, days))
-        counts = raw.reconcile(raw.load_days(spark, cfg, days))  # re-run: same partitions replaced
-        path = f"{cfg.root}/_reports/load_counts"
-        counts.write.mode("overwrite").parquet(path)
-        return cfg
-    return _memo(spark, "raw", sf_dir, build)
+    cfg = land_fixtures(spark, sf_dir, seeded=False, name="raw-load")
+    days = landing.complete_days(spark, cfg)
+    raw.reconcile(raw.load_days(spark, cfg, days))
+    counts = raw.reconcile(raw.load_days(spark, cfg, days))  # re-run: same partitions replaced
+    counts.write.mode("overwrite").parquet(f"{cfg.root}/_reports/load_counts")
+    return cfg
 
 
 @register("raw_partition_replace", O.model_sql(f"SELECT {O.LANDING_ORDER_COLS} FROM raw_orders"))
@@ -179,9 +140,7 @@ def raw_partition_replace(spark, sf_dir):
 @register("raw_partition_counts", O.model_sql(O.RAW_COUNTS))
 def raw_partition_counts(spark, sf_dir):
     cfg = loaded_raw(spark, sf_dir)
-    counts = spark.read.parquet(f"{cfg.root}/_reports/load_counts")
-    # Landed days without rows are empty extracts; the oracle lists days with rows.
-    return counts.where(F.col("file_rows") > 0)
+    return spark.read.parquet(f"{cfg.root}/_reports/load_counts")
 
 
 def fold_history(spark, sf_dir: str, entity: str, dense: bool = False):
@@ -222,12 +181,9 @@ def scd2_fold_dense_customers(spark, sf_dir):
 
 def incremental_warehouse(spark, sf_dir: str) -> WarehouseConfig:
     """Seeded fixtures run day by day through the whole pipeline."""
-    def build():
-        cfg = land_fixtures(spark, sf_dir, seeded=True, name="daily")
-        pipeline.run_range(spark, cfg, landing.complete_days(spark, cfg),
-                           severities=SIMULATION_SEVERITIES)
-        return cfg
-    return _memo(spark, "daily", sf_dir, build)
+    cfg = land_fixtures(spark, sf_dir, seeded=True, name="daily")
+    pipeline.run_range(spark, cfg, landing.complete_days(spark, cfg), severities=SIMULATION_SEVERITIES)
+    return cfg
 
 
 @register("fct_orders_incremental", O.model_sql(_select("fct_orders"), seeded=True))
@@ -256,11 +212,27 @@ def pipeline_dim_restaurant(spark, sf_dir):
     return spark.read.parquet(cfg.mart("dim_restaurant"))
 
 
+def stored_fact(spark, sf_dir: str) -> WarehouseConfig:
+    """The whole fact, built once and stored partitioned by date."""
+    cfg = WarehouseConfig(root=work_dir(spark, "fact"))
+    facts.full_refresh(spark, cfg, Models(spark, sf_dir).fct_orders)
+    return cfg
+
+
 @register("fct_lookback_slice", O.model_sql(O.LOOKBACK_SLICE))
 def fct_lookback_slice(spark, sf_dir):
-    m = Models(spark, sf_dir, materialize=True)
-    wm = m.fct_orders.agg(F.max("updated_at")).first()[0]  # the target's watermark
-    return facts.incremental_source(m.raw_orders, facts.lookback_cutoff(wm, O.LOOKBACK_DAYS))
+    wm = facts.read_watermark(spark, stored_fact(spark, sf_dir))
+    return facts.incremental_source(Models(spark, sf_dir).raw_orders, facts.lookback_cutoff(wm, O.LOOKBACK_DAYS))
+
+
+@register("fct_full_refresh", O.model_sql(_select("fct_orders")))
+def fct_full_refresh(spark, sf_dir):
+    """A full refresh replaces a stored fact that also held other dates."""
+    cfg = WarehouseConfig(root=work_dir(spark, "refresh"))
+    rows = Models(spark, sf_dir).fct_orders
+    facts.full_refresh(spark, cfg, rows.withColumn("order_date", F.date_add("order_date", 400)))
+    facts.full_refresh(spark, cfg, rows)
+    return spark.read.parquet(cfg.mart("fct_orders")).select(*FACT_COLUMNS)
 
 
 # ----------------------------------------------------------------- checks
@@ -304,12 +276,12 @@ def source_freshness(spark, sf_dir):
 # ---------------------------------------------------------------- reports
 @register("gmv_latest_day", O.report_sql("gmv_latest_day"))
 def gmv_latest_day(spark, sf_dir):
-    return reports.gmv_latest_day(Models(spark, sf_dir, materialize=True).fct_orders)
+    return reports.gmv_latest_day(spark.read.parquet(stored_fact(spark, sf_dir).mart("fct_orders")))
 
 
 @register("orders_last7_one_restaurant", O.report_sql("orders_last7_one_restaurant"))
 def orders_last7_one_restaurant(spark, sf_dir):
-    return reports.orders_last7_one_restaurant(Models(spark, sf_dir, materialize=True).fct_orders, "7")
+    return reports.orders_last7_one_restaurant(spark.read.parquet(stored_fact(spark, sf_dir).mart("fct_orders")), "7")
 
 
 @register("net_full_scan", O.report_sql("net_full_scan"))

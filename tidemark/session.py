@@ -3,7 +3,7 @@
 Only runtime SQL settings are changed on an existing session, so the helpers
 work on a cluster session created elsewhere. ``work_dir`` resolves the shared
 folder named by ``spark.checkpoint.dir``; a private temporary folder is
-created only when that setting is absent (local tests).
+created only when that setting is absent and the session runs on one machine.
 """
 
 from __future__ import annotations
@@ -58,9 +58,15 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared folder of ``spark.checkpoint.dir``; a temp folder only if unset."""
+    """The shared folder of ``spark.checkpoint.dir``.
+
+    If that is unset, a session on one machine (``local[...]``) gets a temporary
+    folder, and any other raises: its executors would not see such a folder.
+    """
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    if not root and not sc.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not root:
         root = tempfile.mkdtemp(prefix="tidemark-checkpoints-")
         sc.setCheckpointDir(root)
@@ -68,13 +74,6 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir`` itself, common to every
-    application (Spark's own checkpoints go to a per-application subfolder)."""
-    conf = spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
-    return conf.rstrip("/") if conf else checkpoint_root(spark)
-
-
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root for one job's tables."""
     return f"{checkpoint_root(spark)}/tidemark/{name}-{uuid.uuid4().hex[:12]}"

@@ -76,7 +76,7 @@ def order_extracts(events: DataFrame, seeded: bool = False) -> DataFrame:
     payment = F.when(e % MISSING_PAYMENT[0] == MISSING_PAYMENT[1], F.lit(None).cast("string")) \
         .otherwise(_pick(PAYMENT_METHODS, e % 4))
 
-    base = _ev(events).where(F.col("e").isNotNull()).select(
+    base = _ev(events).select(
         e,
         e.cast("string").alias("order_id"),
         F.col("user_id").cast("string").alias("customer_id"),
