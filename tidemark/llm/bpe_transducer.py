@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 64
-MEMO = 300_000
+MEMO = 120_000
 LONGEST_MEMO = 64
 WORD_END = "</w>"
 
