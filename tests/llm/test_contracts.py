@@ -51,6 +51,20 @@ def rows_of(df, *names):
     return sorted((tuple(r[n] for n in names) for r in df.collect()), key=lambda r: tuple((v is None, v) for v in r))
 
 
+# --- token ids
+
+
+def test_piece_encoder_equals_the_library_on_any_text():
+    import random
+
+    encode, library = bitplanes.PieceEncoder(queries.vocabulary("byte_bpe_50k.json")), tokenizer("byte_bpe_50k.json")
+    draw = random.Random(1)
+    letters = "ab'st\u00e9 \u00f8\n.,1-\u0301\u00aa\u00b5\u0416\u00c0\u6f22\t\u00d7\r\0\u024f\u0250\u02bc   aae\n'"
+    for _ in range(20_000):
+        text = "".join(draw.choice(letters) for _ in range(draw.randrange(14)))
+        assert np.frombuffer(encode(text), "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 # --- sharding
 
 

@@ -15,7 +15,9 @@ by a hash of their text; an empty table gives empty tables.
 from __future__ import annotations
 
 import os
+import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -30,6 +32,9 @@ from pyspark.sql import functions as F
 BLOCK = 1 << 16
 END_ID = 0
 MEMO = 500_000
+_LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
+_LETTERS = re.compile(f"[{_LETTER}]+")
+_CUT = re.compile(rf"(?<=[{_LETTER}])(?=[\n!-@\[-`{{-~])|(?<=[!-~{_LETTER[6:]}]\n)(?=[{_LETTER}])")
 
 BLOCKS = ("part int, block int, first long, n_ids int, width int, doc_from long, doc_ids array<long>, "
           "lengths array<int>, plane_ends array<int>, payload binary")
@@ -66,6 +71,9 @@ class PieceEncoder:
     characters, and the space belongs to the word behind it. So a text is cut
     before such spaces and each distinct piece goes through the tokenizer
     once. Texts with other white space beside a space are encoded whole.
+    A pre-token ends where a letter meets a sign, digit or line feed, and
+    after a line feed between a visible character and a letter; pieces are cut
+    there too, and a part of Latin letters goes to the library's merges directly.
     """
 
     def __init__(self, path: str):
@@ -74,28 +82,36 @@ class PieceEncoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.space = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str(" ")[0][0]
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        self.space = level.pre_tokenize_str(" ")[0][0]
+        # The symbol of each byte of a letter (``_LETTER`` has one or two bytes a letter).
+        self.symbols: dict[int, str] = {}
+        for letter in filter(str.isalpha, map(chr, range(0x250))):
+            self.symbols |= zip(letter.encode(), level.pre_tokenize_str(letter)[0][0], strict=True)
         self.memo: dict[str, bytes] = {}
 
     def _ids(self, text: str) -> bytes:
-        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
-    def _word(self, piece: str) -> bytes:
-        """Ids of a space and a piece; a plain ASCII word is one pre-token."""
-        core, mark = (piece[:-1], piece[-1:]) if piece[-1:] in (".", ",") else (piece, "")
-        if not (core.isascii() and core.isalpha()):
-            return self._ids(" " + piece)
-        got = self.memo.get(core) if mark else None
+    def _part(self, part: str, space: str) -> bytes:
+        """Ids of one part of a piece; a run of letters is one pre-token."""
+        key = part if space else " " + part  # no piece has a space
+        got = self.memo.get(key)
         if got is None:
-            got = np.array([t.id for t in self.tokenizer.model.tokenize(self.space + core)], "<u4").tobytes()
-            if mark:
-                self.memo[core] = got
-        return got + (self._mark(mark) if mark else b"")
+            if _LETTERS.fullmatch(part):
+                symbols = self.space * len(space) + part.encode().decode("latin-1").translate(self.symbols)
+                got = array("I", [t.id for t in self.tokenizer.model.tokenize(symbols)]).tobytes()
+            else:
+                got = self._ids(space + part)
+            self.memo[key] = got
+        return got
 
-    def _mark(self, mark: str) -> bytes:
-        if "\0" + mark not in self.memo:
-            self.memo["\0" + mark] = self._ids(mark)
-        return self.memo["\0" + mark]
+    def _word(self, piece: str) -> bytes:
+        """Ids of a space and a piece."""
+        if piece.isascii() and piece.isalpha():
+            return self._part(piece, " ")
+        first, *more = _CUT.split(piece)
+        return self._part(first, " ") + b"".join([self._part(part, "") for part in more])
 
     def __call__(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
@@ -103,9 +119,9 @@ class PieceEncoder:
         if not pieces:
             return self._ids(text)
         new = {p for p in pieces if p not in self.memo}
-        if any(not p or p[0].isspace() or p[-1].isspace() or p[0] == "\0" for p in new) or head[-1:].isspace() or not head:
+        if any(not p or p[0].isspace() or p[-1].isspace() for p in new) or head[-1:].isspace() or not head:
             return self._ids(text)
-        if len(self.memo) + 2 * len(new) > MEMO:
+        if len(self.memo) + 3 * len(new) > MEMO:
             self.memo.clear()
             new = set(pieces)
         for p in new:
