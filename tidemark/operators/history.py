@@ -120,7 +120,7 @@ def empty_history(spark: SparkSession, raw_like: DataFrame, entity: str) -> Data
 
 
 # ----------------------------------------------------------------- stored state
-def _open_path(cfg: WarehouseConfig, entity: str, d: dt.date) -> str:
+def open_path(cfg: WarehouseConfig, entity: str, d: dt.date) -> str:
     return f"{cfg.snapshots}/{entity}/open/as_of={d.isoformat()}"
 
 
@@ -155,7 +155,7 @@ def snapshot_day(spark: SparkSession, cfg: WarehouseConfig, entity: str, d: dt.d
     slice_rows = source_rows(raw.where(F.col("_extract_date") == F.lit(d)), entity).drop("_extract_date")
     assert_unique_keys(slice_rows, key)
     if earlier:
-        open_prev = spark.read.parquet(_open_path(cfg, entity, prev))
+        open_prev = spark.read.parquet(open_path(cfg, entity, prev))
     else:
         open_prev = empty_history(spark, raw, entity)
     opened, closed = snapshot_step(open_prev, slice_rows, entity)
@@ -165,13 +165,13 @@ def snapshot_day(spark: SparkSession, cfg: WarehouseConfig, entity: str, d: dt.d
     closed.withColumn("run", F.lit(d)).write.mode("overwrite") \
         .option("partitionOverwriteMode", "dynamic").partitionBy("run") \
         .parquet(_closed_root(cfg, entity))
-    opened.write.mode("overwrite").parquet(_open_path(cfg, entity, d))
+    opened.write.mode("overwrite").parquet(open_path(cfg, entity, d))
     return {"day": d}
 
 
 def read_history(spark: SparkSession, cfg: WarehouseConfig, entity: str, as_of: dt.date) -> DataFrame:
     """Every version known after day ``as_of``: closed up to it plus the open set."""
-    opened = spark.read.parquet(_open_path(cfg, entity, as_of))
+    opened = spark.read.parquet(open_path(cfg, entity, as_of))
     root = _closed_root(cfg, entity)
     if not storage.glob(spark, f"{root}/run=*"):  # nothing closed yet
         return opened

@@ -5,8 +5,8 @@ Two physical plans with the same result on non-overlapping versions (which
 the SCD2 builder guarantees and the overlap check verifies):
 
 * ``broadcast`` - the versions are broadcast and matched on the key with the
-  interval as a residual condition. Used only when a bounded count proves the
-  versions fit under ``max_bytes``.
+  interval as a residual condition. Used only when the counted versions fit
+  under ``max_bytes``.
 * ``bucketed`` - for dimensions of any size. The time axis is cut into days;
   the candidates of a fact on day ``d`` are the versions that start on ``d``
   plus the one version open at the start of ``d`` (its "carry-in"). The join
@@ -34,10 +34,11 @@ def row_width(schema: T.StructType) -> int:
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int) -> bool:
-    """True when ``df`` provably fits in ``max_bytes``; reads at most the
-    first ``max_rows + 1`` rows of each partition, never the whole table."""
-    max_rows = max_bytes // row_width(df.schema)
-    return df.limit(max_rows + 1).count() <= max_rows
+    """True when ``df``, by its row count and assumed row width, fits in ``max_bytes``.
+
+    The count is partial per partition; no rows are gathered in one task.
+    """
+    return df.count() <= max_bytes // row_width(df.schema)
 
 
 def _candidates_by_day(fact_days: DataFrame, versions: DataFrame, key: str,
