@@ -83,9 +83,9 @@ def bulk_history(raw: DataFrame, entity: str, with_close_day: bool = False) -> D
 
 
 def assert_unique_keys(slice_rows: DataFrame, key: str) -> None:
-    dup = slice_rows.groupBy(key).count().where(F.col("count") > 1).limit(1).collect()
+    dup = slice_rows.groupBy(key).count().where(F.col("count") > 1).agg(F.min(F.struct(key, "count"))).first()[0]
     if dup:
-        raise DuplicateKeyError(f"slice holds {key}={dup[0][0]} {dup[0][1]} times")
+        raise DuplicateKeyError(f"slice holds {key}={dup[0]} {dup[1]} times")
 
 
 def snapshot_step(open_prev: DataFrame, slice_rows: DataFrame, entity: str
@@ -154,10 +154,9 @@ def snapshot_day(spark: SparkSession, cfg: WarehouseConfig, entity: str, d: dt.d
 
     slice_rows = source_rows(raw.where(F.col("_extract_date") == F.lit(d)), entity).drop("_extract_date")
     assert_unique_keys(slice_rows, key)
+    open_prev = empty_history(spark, raw, entity)
     if earlier:
-        open_prev = spark.read.parquet(open_path(cfg, entity, prev))
-    else:
-        open_prev = empty_history(spark, raw, entity)
+        open_prev = spark.read.schema(open_prev.schema).parquet(open_path(cfg, entity, prev))
     opened, closed = snapshot_step(open_prev, slice_rows, entity)
     # Closed versions first; the open set of day d is written last and marks
     # the day as done. A failed run leaves day d-1 intact and can be re-run.
