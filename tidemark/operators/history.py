@@ -83,7 +83,7 @@ def bulk_history(raw: DataFrame, entity: str, with_close_day: bool = False) -> D
 
 
 def assert_unique_keys(slice_rows: DataFrame, key: str) -> None:
-    dup = slice_rows.groupBy(key).count().where(F.col("count") > 1).agg(F.min(F.struct(key, "count"))).first()[0]
+    dup = slice_rows.groupBy(key).count().where(F.col("count") > 1).agg(F.min(F.struct(key, "count"))).collect()[0][0]
     if dup:
         raise DuplicateKeyError(f"slice holds {key}={dup[0]} {dup[1]} times")
 
