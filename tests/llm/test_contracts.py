@@ -104,6 +104,31 @@ def test_shard_files_hold_narrow_ranges(spark, texts):
     assert spread < docs.select("lang", "source").distinct().count() / 2
 
 
+def test_sources_with_a_long_common_prefix_are_told_apart(spark):
+    rng = np.random.default_rng(5)
+    name = lambda k: None if k == 7 else f"https://data.example.org/common_crawl/{k:02d}/" + "x" * 40 + str(k)
+    rows = [(k, "w " * int(rng.integers(1, 400)), f"language_{rng.integers(4)}", name(int(rng.integers(20)))) for k in range(4000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    path = work_dir(spark, "shards")
+    hilbert.write_shards(docs, path, 40)
+    back = spark.read.parquet(path).groupBy("_shard").agg(F.size(F.collect_set("lang")).alias("l"), F.size(F.collect_set(F.coalesce("source", F.lit("")))).alias("s"))
+    langs, sources = back.agg(F.avg("l"), F.avg("s")).first()
+    assert langs < 3 and sources < 10
+
+
+def test_ranked_bins_are_equal_deep_and_keep_common_values_apart(spark):
+    values = [None] * 50 + [""] * 50 + ["common_crawl_2023"] * 500 + ["common_crawl_2024"] * 300 + [f"common_crawl_2025_{k:03d}" for k in range(100)]
+    docs = spark.createDataFrame([(v,) for v in values], "v string").repartition(5)
+    least, bins = hilbert.ranked_bins(docs.select(hilbert.order_key("v").alias("k")), "k", 4)
+    key = lambda v: b"" if v is None else b"\1" + v.encode()
+    seen, want = 0, {}
+    for v in sorted(set(values), key=key):
+        want[v] = (2 * seen + values.count(v)) * 16 // (2 * len(values))
+        seen += values.count(v)
+    assert {v: int(bins[np.searchsorted(least, np.array([key(v), b""], object)[:1], "right")[0] - 1]) for v in want} == want
+    assert want["common_crawl_2023"] != want["common_crawl_2024"] and want[None] < want["common_crawl_2023"]
+
+
 # --- token output
 
 

@@ -1,7 +1,7 @@
 """Sharding along a Hilbert curve.
 
-Several metadata dimensions are quantised to equal-sized bins, a document's
-place is the Hilbert index of its bins, and runs of the sorted places become
+Several metadata dimensions are quantised to equal-sized bins (strings by the
+rank of the whole value, weighted by its rows), a document's place is the Hilbert index of its bins, and runs of the sorted places become
 shards. Documents that are alike in all dimensions share a shard, so ranges of
 each dimension per file are narrow and readers prune files by any of them.
 
@@ -16,10 +16,11 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tidemark.llm.tables import stored
+from tidemark.llm.tables import discard, stored
 
 BITS = 6
 OVERHEAD = 16
@@ -55,22 +56,58 @@ def hilbert_index(axes: np.ndarray, bits: int) -> np.ndarray:
 
 
 def order_key(name: str) -> Column:
-    """An order-preserving number of a string: its first seven bytes."""
-    return F.coalesce(F.conv(F.substring(F.hex(F.concat(F.encode(F.col(name), "UTF-8"), F.lit(b"\0" * 7))), 1, 14), 16, 10)
-                      .cast("long"), F.lit(-1))
+    """All bytes of a string behind a mark, so that null comes before the empty string."""
+    return F.coalesce(F.concat(F.lit(b"\1"), F.col(name).cast("binary")), F.lit(b""))
+
+
+def ranked_bins(named: DataFrame, name: str, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Least value and number of every used bin of a binary column.
+
+    A value's bin is the place of its middle row among all rows, so values with
+    a bin's worth of rows never share one.
+    """
+    run = stored(named.groupBy(F.col(name).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+                 .repartitionByRange("v").withColumn("_part", F.spark_partition_id()), "values")
+    # One row per range partition.
+    starts, total = [], 0
+    for r in run.groupBy("_part").agg(F.sum("n").alias("n")).orderBy("_part").collect():
+        starts.append((r["_part"], total))
+        total += r["n"]
+    before = F.sum("n").over(Window.partitionBy("_part").orderBy("v")) + F.col("_start")
+    starts = named.sparkSession.createDataFrame(starts, "_part int, _start long")
+    bins = (run.join(F.broadcast(starts), "_part").withColumn("upto", before)
+            .withColumn("bin", F.expr(f"int((2 * upto - n) * {1 << bits} div {max(2 * total, 1)})"))
+            .groupBy("bin").agg(F.min("v").alias("v")))
+    # At most 2**bits rows.
+    found = sorted((r["bin"], bytes(r["v"])) for r in bins.collect())
+    discard(run)
+    least = np.empty(len(found), object)
+    least[:] = [v for _, v in found]
+    return least, np.array([k for k, _ in found], np.int64)
 
 
 def place(docs: DataFrame, dimensions: dict[str, Column], bits: int = BITS) -> DataFrame:
-    """``docs`` with ``hilbert``, the index of the quantised dimensions."""
-    named = docs.withColumns({f"_d_{k}": v.cast("double") for k, v in dimensions.items()})
+    """``docs`` with ``hilbert``, the index of the quantised dimensions.
+
+    Binary dimensions are ranked over their whole values, others as doubles.
+    """
+    named = docs.withColumns({f"_d_{k}": v for k, v in dimensions.items()})
+    ranked = {k: isinstance(named.schema[f"_d_{k}"].dataType, T.BinaryType) for k in dimensions}
+    named = named.withColumns({f"_d_{k}": F.col(f"_d_{k}").cast("double") for k, by_rank in ranked.items() if not by_rank})
     cuts = [(k + 1) / (1 << bits) for k in range((1 << bits) - 1)]
     # The bin limits are 2**bits - 1 numbers for each dimension.
-    limits = named.agg(*(F.percentile_approx(f"_d_{k}", cuts, 10_000).alias(k) for k in dimensions)).first()
-    edges = [np.unique(limits[k]) if limits[k] else np.zeros(0) for k in dimensions]
+    limits = named.agg(F.lit(0), *(F.percentile_approx(f"_d_{k}", cuts, 10_000).alias(k) for k, by_rank in ranked.items() if not by_rank)).first()
+    edges = [ranked_bins(named, f"_d_{k}", bits) if by_rank else np.unique(limits[k]) if limits[k] else np.zeros(0) for k, by_rank in ranked.items()]
+
+    def bins_of(edge, axis: pd.Series) -> np.ndarray:
+        if not isinstance(edge, tuple):
+            return np.searchsorted(edge, axis.to_numpy(float))
+        least, bins = edge
+        return bins[np.searchsorted(least, axis.to_numpy(object), "right") - 1]
 
     @F.pandas_udf("long")
     def index(*axes: pd.Series) -> pd.Series:
-        bins = np.array([np.searchsorted(e, a.to_numpy(float)) for e, a in zip(edges, axes, strict=True)])
+        bins = np.array([bins_of(e, a) for e, a in zip(edges, axes, strict=True)])
         return pd.Series(hilbert_index(bins, bits))
 
     return named.withColumn("hilbert", index(*(f"_d_{k}" for k in dimensions))).drop(*(f"_d_{k}" for k in dimensions))
