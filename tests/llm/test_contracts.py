@@ -225,6 +225,30 @@ def test_outliers_leave_the_bulk_and_find_the_strays(spark):
     assert {k for k, v in got.items() if not v} == set(range(0, 600, 4))
 
 
+def test_each_vector_entry_alone_can_reject(spark):
+    rng = np.random.default_rng(9)
+    words = [f"{a}{b}{c}{d}" for a in "abcde" for b in "fghij" for c in "klmno" for d in "pqrstu"]
+    text = lambda n: [words[k] for k in rng.permutation(len(words))[:n]]
+    passage = text(168)
+    alone = {
+        "n_words": " ".join(text(40)),
+        "word_chars": " ".join(w * 4 for w in text(200)),
+        "n_symbols": " ".join(f"${w[1:]}" for w in text(200)),
+        "n_dup_lines": "\n".join(words[20 * (k % 2) + rng.integers(20)] for k in range(200)),
+        "n_repeat_words": " ".join([*passage, *passage[:29]]),
+        "n_run": " ".join([*text(99), *["abcd"] * 8, *text(93)]),
+    }
+    rows = [(k, " ".join(text(200)), "en", "src0", 0, "", "", "") for k in range(400)]
+    rows += [(1000 + k, t, "en", "src0", 0, "", "", "") for k, t in enumerate(alone.values())]
+    judged = {r["row"]["doc_id"]: r for r in outliers.quality_outliers(spark.createDataFrame(rows, DOCS), ["doc_id"]).collect()}
+    assert all(judged[k]["kept"] for k in range(400))
+    for k, name in enumerate(alone):
+        assert not judged[1000 + k]["base_failed"] and not judged[1000 + k]["kept"], name
+        for other in ("n_symbols", "n_dup_lines", "n_repeat_words"):
+            assert (judged[1000 + k][other] > 0) == (other == name), (name, other)
+    assert judged[1005]["n_run"] == 8
+
+
 # --- encoding and decoding
 
 
