@@ -249,6 +249,31 @@ def test_each_vector_entry_alone_can_reject(spark):
     assert judged[1005]["n_run"] == 8
 
 
+def test_small_groups_go_by_their_language_without_a_switch(spark):
+    rng = np.random.default_rng(4)
+    words = [f"{a}{b}{c}{d}" for a in "abcde" for b in "fghij" for c in "klmno" for d in "pqrstu"]
+    text = lambda width: " ".join(w * width for w in rng.permutation(words)[:100])
+    width = {"en": 1, "de": 4}
+    rows = [(k, text(width[lang]), lang, "big") for k, lang in enumerate(["en"] * 600 + ["de"] * 400)]
+    # Ten small sources of German, 20 rows each: like their language, unlike the small ones of all languages.
+    rows += [(1000 + k, text(4), "de", f"de{k % 10}") for k in range(200)] + [(2000 + k, text(1), "en", f"en{k % 30}") for k in range(600)]
+    # A stray source: its rows count more and more for themselves.
+    rows += [(3000 + k, text(4), "en", "few") for k in range(20)] + [(4000 + k, text(4), "en", "many") for k in range(500)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r["row"]["doc_id"]: r["kept"] for r in outliers.quality_outliers(docs, ["doc_id"]).collect()}
+    assert all(kept[k] for k in (*range(1200), *range(2000, 2600), *range(4000, 4500)))
+    assert not any(kept[k] for k in range(3000, 3020))
+
+
+def test_estimates_move_smoothly_with_the_rows_of_a_group(spark):
+    own = lambda key, n, at: (key, 0.0, float(n), *([at] * outliers.P), *(float(i == j) for i, j in outliers._PAIRS))
+    names = ["key", "logdet", "n", *(f"m{i}" for i in range(outliers.P)), *(f"p{i}{j}" for i, j in outliers._PAIRS)]
+    rows = [own("", 10 ** 9, 0.0), own("en", 10 ** 9, 0.0), *(own(f"en\n{n}", n, 1.0) for n in range(1, 200))]
+    at = {r["key"]: r["m0"] for r in outliers.shrunk(spark.createDataFrame(rows, names)).collect()}
+    steps = np.diff([at[f"en\n{n}"] for n in range(1, 200)])
+    assert len(at) == 199 and (steps > 0).all() and steps.max() < 0.02
+
+
 # --- encoding and decoding
 
 

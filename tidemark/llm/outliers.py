@@ -7,11 +7,13 @@ estimate, and vectors with a large Mahalanobis distance are rejected.
 The estimate runs as distributed concentration steps: one aggregation gives
 the moments of every (group, start, distance bucket), and each group's buckets
 (a bounded number) are cut at half its rows. No group is gathered in a task.
+Languages and the whole table are estimated in the same way. A group's centre
+and scatter are drawn towards its language's, and those towards the whole
+table's, with a weight that falls smoothly with the rows.
 
 Defined cases: a null text has no words and fails the base rules; null
-language or source is a group of its own; groups of fewer than ``MIN_GROUP``
-rows that pass the base rules share one pooled estimate; an empty table gives
-an empty result; repeated rows are judged one by one, alike.
+language or source is a group of its own; an empty table gives an empty
+result; repeated rows are judged one by one, alike.
 """
 
 from __future__ import annotations
@@ -33,7 +35,8 @@ SYMBOLS = b"#*$%&|<>"
 WINDOW = 8
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
-MIN_GROUP = 50
+#: Rows at which a group's own estimate and that of its language count alike.
+PRIOR_ROWS = 50
 STEPS = 5
 
 #: Vector entries, and the standard deviation added to each: the noise of one
@@ -123,7 +126,7 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def statistics(docs: DataFrame, carry: list[str]) -> DataFrame:
     """``row`` (the carried columns), ``key``, the statistics and ``base_failed``."""
     source = docs.select(F.struct(F.lit(0).alias("_"), *(F.col(f"`{c}`") for c in carry)).alias("row"),
-                         F.to_json(F.struct("lang", "source")).alias("key"), F.col("text").cast("string").alias("text"))
+                         F.concat_ws("\n", F.to_json(F.struct("lang")), F.to_json(F.struct("lang", "source"))).alias("key"), F.col("text").cast("string").alias("text"))
     schema = T.StructType([source.schema["row"], T.StructField("key", T.StringType())]
                           + [T.StructField(s, T.LongType()) for s in STATISTICS])
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
@@ -140,19 +143,19 @@ def _moments() -> list[Column]:
             + [F.sum(F.col(f"x{i}") * F.col(f"x{j}")).alias(f"q{i}{j}") for i, j in _PAIRS])
 
 
-_FIT = ", ".join(["key string", "start int", "logdet double"] + [f"m{i} double" for i in range(P)]
+_FIT = ", ".join(["key string", "start int", "logdet double", "n double"] + [f"m{i} double" for i in range(P)]
                  + [f"p{i}{j} double" for i, j in _PAIRS])
 
 
-def _estimate(key: str, start: int, n: float, s: np.ndarray, q: np.ndarray, factor: float) -> dict:
-    """Centre and precision of one group from its summed moments."""
+def _estimate(key: str, start: int, rows: float, n: float, s: np.ndarray, q: np.ndarray, factor: float) -> dict:
+    """Centre and precision of one group of ``rows`` from the summed moments of ``n`` of them."""
     centre = s / n
     scatter = np.zeros((P, P))
     for (i, j), v in zip(_PAIRS, q, strict=True):
         scatter[i, j] = scatter[j, i] = v / n - centre[i] * centre[j]
     scatter = factor * scatter + _FLOOR
     precision = np.linalg.inv(scatter)
-    return ({"key": key, "start": start, "logdet": np.linalg.slogdet(scatter)[1]}
+    return ({"key": key, "start": start, "logdet": np.linalg.slogdet(scatter)[1], "n": float(rows)}
             | {f"m{i}": centre[i] for i in range(P)} | {f"p{i}{j}": precision[i, j] for i, j in _PAIRS})
 
 
@@ -162,7 +165,7 @@ def _concentrate(buckets: pd.DataFrame) -> pd.DataFrame:
     total = buckets["n"].cumsum().to_numpy()
     inner = buckets.iloc[:int(np.searchsorted(total, (total[-1] + P + 1) // 2)) + 1]
     sums = inner.sum(numeric_only=True)
-    return pd.DataFrame([_estimate(buckets["key"].iloc[0], int(buckets["start"].iloc[0]), sums["n"],
+    return pd.DataFrame([_estimate(buckets["key"].iloc[0], int(buckets["start"].iloc[0]), total[-1], sums["n"],
                                    sums[[f"s{i}" for i in range(P)]].to_numpy(float),
                                    sums[[f"q{i}{j}" for i, j in _PAIRS]].to_numpy(float), CONSISTENCY)])
 
@@ -172,10 +175,10 @@ def _first(groups: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for frame in groups:
         out = []
         for _, g in frame.iterrows():
-            out.append(_estimate(g["key"], 1, g["n"], g[[f"s{i}" for i in range(P)]].to_numpy(float),
+            out.append(_estimate(g["key"], 1, g["n"], g["n"], g[[f"s{i}" for i in range(P)]].to_numpy(float),
                                  g[[f"q{i}{j}" for i, j in _PAIRS]].to_numpy(float), 1.0))
             spread = np.array([(1.4826 * (g[f"hi{i}"] - g[f"lo{i}"]) / 2) ** 2 for i in range(P)]) + np.diag(_FLOOR)
-            out.append({"key": g["key"], "start": 0, "logdet": float(np.log(spread).sum())}
+            out.append({"key": g["key"], "start": 0, "logdet": float(np.log(spread).sum()), "n": float(g["n"])}
                        | {f"m{i}": g[f"mid{i}"] for i in range(P)}
                        | {f"p{i}{j}": 1 / spread[i] if i == j else 0.0 for i, j in _PAIRS})
         if out:
@@ -187,9 +190,13 @@ def _distance() -> Column:
     return sum((F.lit(1.0 if i == j else 2.0) * F.col(f"p{i}{j}") * d[i] * d[j] for i, j in _PAIRS), F.lit(0.0))
 
 
+def _language() -> Column:
+    return F.substring_index("key", "\n", 1)
+
+
 def fit(measured: DataFrame) -> DataFrame:
-    """Best estimate of each group: one row per ``key``."""
-    rows = measured.where("not base_failed").select("key", *(f"x{i}" for i in range(P)))
+    """Best estimate of each group, each language and (key "") all rows: one row per ``key``."""
+    rows = measured.where("not base_failed").select(F.explode(F.array("key", _language(), F.lit(""))).alias("key"), *(f"x{i}" for i in range(P)))
     at = lambda i, q: F.percentile(F.round(F.col(f"x{i}"), 3), F.lit(q))  # noqa: E731  rounded: few distinct values
     spread = [e for i in range(P) for e in (at(i, 0.5).alias(f"mid{i}"), at(i, 0.25).alias(f"lo{i}"), at(i, 0.75).alias(f"hi{i}"))]
     params = stored(rows.groupBy("key").agg(*_moments(), *spread).mapInPandas(_first, _FIT), "mcd")
@@ -203,6 +210,36 @@ def fit(measured: DataFrame) -> DataFrame:
     return best.select("key", "b.*")
 
 
+def _shrink(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Groups with their language's (``l_``) and the whole table's (``a_``) estimates: weighted means of centre and scatter."""
+    def moments(g, level: str) -> tuple[np.ndarray, np.ndarray]:
+        precision = np.zeros((P, P))
+        for i, j in _PAIRS:
+            precision[i, j] = precision[j, i] = g[f"{level}p{i}{j}"]
+        return np.array([g[f"{level}m{i}"] for i in range(P)], float), np.linalg.inv(precision)
+
+    for frame in frames:
+        out = []
+        for _, g in frame.iterrows():
+            centre, scatter = moments(g, "a_")
+            for level in ("l_", ""):
+                own, weight = moments(g, level), g[f"{level}n"] / (g[f"{level}n"] + PRIOR_ROWS)
+                centre, scatter = centre + weight * (own[0] - centre), scatter + weight * (own[1] - scatter)
+            precision = np.linalg.inv(scatter)
+            out.append({"key": g["key"]} | {f"m{i}": centre[i] for i in range(P)} | {f"p{i}{j}": precision[i, j] for i, j in _PAIRS})
+        if out:
+            yield pd.DataFrame(out)
+
+
+def shrunk(fitted: DataFrame) -> DataFrame:
+    """Estimate of each group, drawn towards its language's and the whole table's: one row per group's ``key``."""
+    level = lambda name: fitted.select(*(F.col(c).alias(f"{name}{c}") for c in fitted.columns))
+    groups = fitted.where(F.col("key").contains("\n"))
+    wide = groups.join(level("l_"), _language() == F.col("l_key")).crossJoin(F.broadcast(level("a_").where("a_key = ''")))
+    schema = ", ".join(["key string"] + [f"m{i} double" for i in range(P)] + [f"p{i}{j} double" for i, j in _PAIRS])
+    return wide.mapInPandas(_shrink, schema)
+
+
 def quality_outliers(docs: DataFrame, carry: list[str]) -> DataFrame:
     """``row`` (the carried columns of each document), its statistics and ``kept``.
 
@@ -211,11 +248,8 @@ def quality_outliers(docs: DataFrame, carry: list[str]) -> DataFrame:
     """
     light = [c for c in carry if c != "text"]
     measured = stored(statistics(docs, light), "statistics")
-    sizes = measured.where("not base_failed").groupBy("key").agg(F.count(F.lit(1)).alias("size"))
-    pool = stored(sizes.select("key", F.when(F.col("size") < MIN_GROUP, F.lit("")).otherwise(F.col("key")).alias("group")), "groups")
-    grouped = measured.drop("row").join(pool, "key").drop("key").withColumnRenamed("group", "key")
     # One row per group, read from files: Spark broadcasts it if these are small.
-    fitted = stored(pool.join(fit(grouped).withColumnRenamed("key", "group"), "group").drop("group"), "estimates")
+    fitted = stored(shrunk(stored(fit(measured), "groups")), "estimates")
     if light != carry:
         discard(measured)
         measured = statistics(docs, carry)
