@@ -194,6 +194,13 @@ def _language() -> Column:
     return F.substring_index("key", "\n", 1)
 
 
+def _with_params(rows: DataFrame, params: DataFrame) -> DataFrame:
+    """Rows and their key's estimates. Languages and the whole table are few keys of many rows: those rows stay in place."""
+    grouped = F.col("key").contains("\n")
+    return (rows.where(grouped).join(params.where(grouped), "key")
+            .unionByName(rows.where(~grouped).join(F.broadcast(params.where(~grouped)), "key")))
+
+
 def fit(measured: DataFrame) -> DataFrame:
     """Best estimate of each group, each language and (key "") all rows: one row per ``key``."""
     rows = measured.where("not base_failed").select(F.explode(F.array("key", _language(), F.lit(""))).alias("key"), *(f"x{i}" for i in range(P)))
@@ -202,7 +209,7 @@ def fit(measured: DataFrame) -> DataFrame:
     params = stored(rows.groupBy("key").agg(*_moments(), *spread).mapInPandas(_first, _FIT), "mcd")
     for _ in range(STEPS):
         bucket = F.least(F.greatest(F.floor(16 * F.log2(_distance() + F.lit(2.0 ** -20))), F.lit(-320)), F.lit(960))
-        near = (rows.join(params, "key").withColumn("bucket", bucket.cast("int"))
+        near = (_with_params(rows, params).withColumn("bucket", bucket.cast("int"))
                 .groupBy("key", "start", "bucket").agg(*_moments()))
         last, params = params, stored(near.groupBy("key", "start").applyInPandas(_concentrate, _FIT), "mcd")
         discard(last)
