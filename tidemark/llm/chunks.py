@@ -71,6 +71,13 @@ def chunked(docs: DataFrame, carry: list[str], fold: Column | None = None) -> Da
     return stored(source.mapInArrow(_pack, schema), "chunks")
 
 
+def one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    """Rows of batches as dictionaries; only one at a time is copied out of its batch."""
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield batch.slice(i, 1).to_pylist()[0]
+
+
 def unpacked(chunk: dict) -> tuple[np.ndarray, np.ndarray]:
     """Text bytes and row offsets of a chunk row."""
     data = np.frombuffer(zstandard.ZstdDecompressor().decompress(chunk["payload"]), np.uint8)

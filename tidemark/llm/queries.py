@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import (bagminhash, bitplanes, bpe_transducer, chat, decontaminate, deleted_interpolation, hilbert,
-                          licenses, outliers, suffix_dedup)
+                          licenses, outliers, phrases, spelling, suffix_dedup, voronoi)
 from tidemark.llm.tables import documents, prepare, stored
 from tidemark.session import work_dir
 
@@ -73,6 +73,19 @@ def op10_schema_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_digests(stored(chat.format_records(chat.records(turns)), "chat"))
 
 
+def op11_voronoi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepare(spark)
+    return voronoi.top_products(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), F.col("vec_id") % 50 == 0, 5)
+
+
+def op12_era_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+def op13_reduced_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_deleted_interpolation": op1_deleted_interpolation,
     "op2_cgk_decontamination": op2_cgk_decontamination,
@@ -84,6 +97,52 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe_transducer": op8_bpe_transducer,
     "op9_bagminhash": op9_bagminhash,
     "op10_schema_chat": op10_schema_chat,
+    "op11_voronoi_topk": op11_voronoi_topk,
+    "op12_era_phrases": op12_era_phrases,
+    "op13_reduced_spelling": op13_reduced_spelling,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op11_voronoi_topk": """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= 5""",
+    "op12_era_phrases": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, doc, row_number() OVER () AS piece, p
+  FROM (SELECT lang, row_number() OVER () AS doc,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                            '[.,;:!?\x0A-\x0D]')) AS p FROM documents)),
+words AS (
+  SELECT lang, piece, unnest(ws) AS w, generate_subscripts(ws, 1) AS pos
+  FROM (SELECT lang, piece, regexp_extract_all(p, '[^\x20\x09]+') AS ws FROM pieces)),
+grams AS (
+  SELECT lang, w AS w1, lead(w) OVER s AS w2, lead(w, 2) OVER s AS w3, lead(w, 3) OVER s AS w4
+  FROM words WINDOW s AS (PARTITION BY piece ORDER BY pos)),
+f AS (
+  SELECT lang, [w1] AS ws, count(*) AS f FROM grams GROUP BY lang, w1 HAVING count(*) >= 30
+  UNION ALL SELECT lang, [w1, w2], count(*) FROM grams WHERE w2 IS NOT NULL GROUP BY lang, w1, w2 HAVING count(*) >= 30
+  UNION ALL SELECT lang, [w1, w2, w3], count(*) FROM grams WHERE w3 IS NOT NULL GROUP BY lang, w1, w2, w3 HAVING count(*) >= 30
+  UNION ALL SELECT lang, [w1, w2, w3, w4], count(*) FROM grams WHERE w4 IS NOT NULL GROUP BY lang, w1, w2, w3, w4 HAVING count(*) >= 30),
+cand AS (SELECT * FROM f WHERE len(ws) >= 2),
+cut AS (
+  SELECT c.lang, c.ws, c.f AS a, k, l.f AS l, r.f AS r, (2000000::HUGEINT * c.f) // (l.f + r.f) AS score
+  FROM (SELECT *, unnest(range(1, len(ws))) AS k FROM cand) c
+  JOIN f l ON l.lang = c.lang AND l.ws = c.ws[1:k] JOIN f r ON r.lang = c.lang AND r.ws = c.ws[k + 1:]),
+scored AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, ws ORDER BY score, k) = 1),
+inside AS (
+  SELECT lang, part, max(f) AS f FROM (
+    SELECT lang, f, unnest([ws[1:2], ws[2:3], ws[3:4], ws[1:3], ws[2:4]]) AS part, len(ws) AS n FROM cand WHERE len(ws) >= 3)
+  WHERE len(part) >= 2 AND len(part) < n GROUP BY lang, part),
+kept AS (SELECT s.* FROM scored s LEFT JOIN inside i ON i.lang = s.lang AND i.part = s.ws WHERE i.f IS NULL OR 100 * i.f < 80 * s.a),
+n AS (SELECT lang, count(*) AS n FROM words GROUP BY lang)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM (SELECT lang, array_to_string(ws, ' ') AS phrase, a, l, r, CAST(score AS BIGINT) AS score FROM kept) JOIN n USING (lang)
+QUALIFY rank <= 2000""",
+}
