@@ -8,7 +8,8 @@ The tree holds, for every word of the corpus, the suffix of at most
 2. The tree is cut into subtrees by word prefixes of variable length: a prefix
    goes on until its first word of at most ``PREFIX`` occurrences, so none but a
    whole suffix of the hottest words has more. Prefixes are dealt to groups of
-   about ``GROUP`` suffixes, the memory budget of one task.
+   about ``GROUP`` suffixes, the memory budget of one task; those that begin
+   with the same hot words go to no more groups than the rarest of these needs.
 3. Every chunk of text sends a group its distinct suffixes with counts. A group
    sorts them, which is its subtree in array form, and reads the count of each
    node from the totals of the leaves under it. Nodes above a prefix (words all
@@ -45,7 +46,9 @@ from tidemark.llm.tables import discard, pack_sorted, planes, stored, unpack_sor
 
 MIN_COUNT, MAX_WORDS, COVER, TOP, SCALE = 30, 4, 80, 2000, 2_000_000
 #: Suffixes of one group, and occurrences from which a word does not end a prefix.
-GROUP, PREFIX = 1 << 19, 1 << 17
+GROUP, PREFIX = 1 << 19, 1 << 19
+#: Low bits of a word's code: 0, or for hot words the power of 4 by which it passes ``PREFIX`` at most.
+HEAT = 3
 
 _BREAK = np.zeros(256, bool)
 _BREAK[list(b".,;:!?\n\x0b\x0c\r")] = True
@@ -131,7 +134,7 @@ _ANSWER_TYPES = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa
 def _number(buckets: int, min_count: int, prefix: int):
     """One range of keys: codes of every run's words (0: rare), and a row for each word that is not rare.
 
-    A code is twice the word's number, plus one for hot words.
+    A code is the word's number, and in the last ``HEAT`` bits how hot it is.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -146,9 +149,10 @@ def _number(buckets: int, min_count: int, prefix: int):
         bucket = get(rows[0], "bucket")
         common = total >= min_count
         number = (np.cumsum(common) - 1) * buckets + bucket + 1
-        if number[-1] >= 1 << 31:
-            raise OverflowError("more common words than a 31-bit number can name; raise min_count")
-        code = np.where(common, number * 2 + (total > prefix), 0).astype(np.uint32)
+        if number[-1] >= 1 << 32 - HEAT:
+            raise OverflowError("more common words than a 29-bit number can name; raise min_count")
+        heat = np.ceil(np.log2(np.maximum(total / prefix, 1)) / 2).astype(np.int64)
+        code = np.where(common, number << HEAT | np.minimum(heat, (1 << HEAT) - 1), 0).astype(np.uint32)
         unnamed, out = common.copy(), []
         for r, at in zip(rows, places, strict=True):
             out.append((bucket, get(r, "batch"), None, get(r, "n"), planes(code[at]), None, None))
@@ -212,22 +216,25 @@ def _suffixes(groups: int, max_words: int):
     return run
 
 
-def _hot(high: np.ndarray, low: np.ndarray) -> list[np.ndarray]:
-    """Whether the first 1, 2, 3 and 4 words are all hot."""
-    one, out = np.uint64(1), []
+def _heat(high: np.ndarray, low: np.ndarray) -> list[np.ndarray]:
+    """Least heat of the first 1, 2, 3 and 4 words; 0 where one of them is not hot."""
+    mask, out = np.uint64((1 << HEAT) - 1), []
     for half, shift in ((high, 32), (high, 0), (low, 32), (low, 0)):
-        flag = (half >> np.uint64(shift) & one).astype(bool)
-        out.append(flag & out[-1] if out else flag)
+        heat = half >> np.uint64(shift) & mask
+        out.append(np.minimum(heat, out[-1]) if out else heat)
     return out
 
 
 def _group(high: np.ndarray, low: np.ndarray, groups: int) -> np.ndarray:
     """Group of each suffix: by its prefix up to the first word that is not hot."""
-    hot = _hot(high, low)
-    top, bottom = np.uint64(0xFFFFFFFF00000000), np.uint64(0)
-    first = np.where(hot[0], high, high & top)
-    rest = np.where(hot[2], low, np.where(hot[1], low & top, bottom))
-    return (X.mix(X.mix(first) + rest) % np.uint64(groups)).astype(np.int64)
+    heat = _heat(high, low)
+    top, two, none = np.uint64(0xFFFFFFFF00000000), np.uint64(2), np.uint64(0)
+    first = X.mix(np.where(heat[0] > 0, high, high & top))
+    third, fourth = X.mix(low & top), X.mix(low)
+    # Behind two or three hot words the next one picks among as many groups as their rarest can fill.
+    first = first + np.where(heat[1] > 0, third % (np.uint64(1) << two * heat[1]), none)
+    first = first + np.where(heat[2] > 0, fourth % (np.uint64(1) << two * heat[2]), none)
+    return (first % np.uint64(groups)).astype(np.int64)
 
 
 _PHRASES = "words int, w1 long, w2 long, w3 long, w4 long, f long"
@@ -244,7 +251,7 @@ def _subtree(min_count: int):
         high, low, counts = (np.concatenate(p) for p in columns.values())
         order = np.lexsort((low, high))
         high, low, counts = high[order], low[order], counts[order].astype(np.int64)
-        hot, top = _hot(high, low), np.uint64(0xFFFFFFFF00000000)
+        heat, top = _heat(high, low), np.uint64(0xFFFFFFFF00000000)
         out = []
         for depth, left, right in ((2, high, np.zeros(1, np.uint64)), (3, high, low & top), (4, high, low)):
             new = np.ones(len(high), bool)
@@ -254,7 +261,7 @@ def _subtree(min_count: int):
             head = np.flatnonzero(new)
             total = np.add.reduceat(counts, head)
             there = np.ones(len(head), bool) if depth == 2 else ((low[head] >> np.uint64(32 if depth == 3 else 0)) & np.uint64(0xFFFFFFFF)) > 0
-            shared = hot[depth - 1][head] if depth < 4 else np.zeros(len(head), bool)
+            shared = heat[depth - 1][head] > 0 if depth < 4 else np.zeros(len(head), bool)
             keep = there & ((total >= min_count) | shared)
             at = head[keep]
             split = lambda half, shift: (half[at] >> np.uint64(shift) & np.uint64(0xFFFFFFFF)).astype(np.int64)
@@ -323,5 +330,6 @@ def collocations(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, co
                .withColumn("phrase", F.array_join(F.col("spelled.word"), " ")))
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), "phrase")
     n = docs.groupBy(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang")).agg(F.sum(F.regexp_count("text", F.lit(_WORD))).cast("long").alias("n"))
+    n = stored(n, "words")
     return (spelled.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= top).join(n, "lang")
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"))
