@@ -14,8 +14,11 @@ A long conversation is cut into segments of ``SEGMENT`` turn numbers, written
 one row each and read back in order, so no conversation is held whole.
 
 Defined cases: null text or role is empty; turns with equal numbers are
-ordered by role and text; a null ``conv_id`` is a conversation of its own; a
-record of an unknown layout keeps its row, with a null layout and no turns.
+ordered by role and text; a null turn number comes first; a null ``conv_id`` is
+a conversation of its own; a record of an unknown layout keeps its row, with a
+null layout and no turns; an empty table gives an empty result; other columns,
+whatever their names, are not read. A conversation's digest is one running hash,
+so its segments pass through one task, one at a time.
 """
 
 from __future__ import annotations
@@ -72,7 +75,8 @@ class Layout:
     """How one record layout becomes turns.
 
     ``before`` and ``after`` give (role, fields) turns whose non-empty fields
-    are joined by an empty line; ``each`` names (list, role field, text field).
+    are joined by an empty line; ``each`` names (list, role field, text field);
+    ``renames`` says that the roles are those of ``ROLES``.
     """
 
     name: str
@@ -81,6 +85,7 @@ class Layout:
     each: tuple[str, str, str] | None = None
     after: tuple[tuple[str, tuple[str, ...]], ...] = ()
     optional: tuple[str, ...] = field(default=())
+    renames: bool = False
 
     def turns(self, record: dict) -> Iterator[tuple[str, str]]:
         for role, fields in self.before:
@@ -90,7 +95,7 @@ class Layout:
             items, role, content = self.each
             for item in record.get(items) or []:
                 said = _text(item.get(role))
-                yield ROLES.get(said, said), _text(item.get(content))
+                yield (ROLES.get(said, said) if self.renames else said), _text(item.get(content))
         for role, fields in self.after:
             yield role, "\n\n".join(t for f in fields if (t := _text(record.get(f))))
 
@@ -108,7 +113,7 @@ LAYOUTS = (
     Layout("messages", ("messages[].role", "messages[].content"), before=(("system", ("system",)),),
            each=("messages", "role", "content"), optional=("system",)),
     Layout("conversations", ("conversations[].from", "conversations[].value"), before=(("system", ("system",)),),
-           each=("conversations", "from", "value"), optional=("system",)),
+           each=("conversations", "from", "value"), optional=("system",), renames=True),
     _pair("prompt", "completion"),
     _pair("prompt", "response"),
     _pair("question", "answer"),
@@ -164,7 +169,7 @@ def records(turns: DataFrame) -> DataFrame:
     """
     said = F.struct("turn", F.coalesce(F.col("role").cast("string"), F.lit("")).alias("role"),
                     F.coalesce(F.col("text").cast("string"), F.lit("")).alias("content"))
-    grouped = (turns.groupBy("conv_id", F.coalesce(F.floor(F.col("turn") / SEGMENT), F.lit(-1)).cast("long").alias("segment"))
+    grouped = (turns.groupBy("conv_id", F.coalesce(F.floor(F.col("turn") / SEGMENT), F.lit(-(1 << 62))).cast("long").alias("segment"))
                .agg(F.sort_array(F.collect_list(said)).alias("said")))
     roles, text = F.col("said.role"), F.col("said.content")
     messages = F.to_json(F.struct(F.transform("said", lambda t: F.struct(t["role"].alias("role"), t["content"].alias("content"))).alias("messages")))
