@@ -9,7 +9,9 @@ Parquet tables, so any file system that Spark writes to will do.
 
 Defined cases: a null text is empty and holds the end id only; a null
 ``doc_id`` comes first; rows that share a ``doc_id`` are all written, ordered
-by a hash of their text; an empty table gives empty tables.
+by a hash of their text; an empty table gives empty tables; a control string
+in a text becomes its own id, as in the library; other columns, whatever their
+names, are not read.
 """
 
 from __future__ import annotations
@@ -70,7 +72,8 @@ class PieceEncoder:
     A byte-level pre-tokenizer never spans a single space between two other
     characters, and the space belongs to the word behind it. So a text is cut
     before such spaces and each distinct piece goes through the tokenizer
-    once. Texts with other white space beside a space are encoded whole.
+    once. Texts with other white space beside a space are encoded whole, and so
+    are those that hold a control string (an added token), which is one token.
     A pre-token ends where a letter meets a sign, digit or line feed, and
     after a line feed between a visible character and a letter; pieces are cut
     there too, and a part of Latin letters goes to the library's merges directly.
@@ -89,6 +92,7 @@ class PieceEncoder:
         for letter in filter(str.isalpha, map(chr, range(0x250))):
             self.symbols |= zip(letter.encode(), level.pre_tokenize_str(letter)[0][0], strict=True)
         self.memo: dict[str, bytes] = {}
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
 
     def _ids(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -116,7 +120,7 @@ class PieceEncoder:
     def __call__(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         head, *pieces = text.split(" ")
-        if not pieces:
+        if not pieces or any(token in text for token in self.added):
             return self._ids(text)
         new = {p for p in pieces if p not in self.memo}
         if any(not p or p[0].isspace() or p[-1].isspace() for p in new) or head[-1:].isspace() or not head:
