@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 SLICE_BYTES = 1 << 20
 
@@ -45,16 +46,32 @@ def _radix_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+#: Bytes from which a span is hashed by itself.
+LONG_SPAN = 64
+
+
 class SpanHash:
-    """Hashes of any spans of one byte buffer, in constant time per span."""
+    """Hashes of any spans of one byte buffer, in constant time per span.
+
+    The sums are polynomials modulo 2**64, in which long texts of two letters
+    (Thue-Morse sequences) collide by construction. So spans above ``longest``
+    bytes are hashed one by one with XXH3.
+    """
 
-    def __init__(self, data: np.ndarray, table: np.ndarray = RAW):
+    def __init__(self, data: np.ndarray, table: np.ndarray = RAW, longest: int = LONG_SPAN):
+        self._data, self._lower, self._longest = data, table is LOWER, longest
         up, self._down = _radix_powers(len(data) + 1)
         self._sum = np.zeros(len(data) + 1, np.uint64)
         np.cumsum(table[data] * up[:len(data)], dtype=np.uint64, out=self._sum[1:])
 
     def __call__(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mix((self._sum[ends] - self._sum[starts]) * self._down[starts])
+        out = mix((self._sum[ends] - self._sum[starts]) * self._down[starts])
+        long = np.flatnonzero(ends - starts > self._longest)
+        if len(long):
+            text = self._data.tobytes()
+            text = text.lower() if self._lower else text  # bytes: A-Z only
+            out[long] = [xxhash.xxh3_64_intdigest(text[a:b]) for a, b in zip(starts[long].tolist(), ends[long].tolist(), strict=True)]
+        return out
 
     def rolling(self, size: int) -> np.ndarray:
         """Hashes of all spans of ``size`` bytes, by start."""
