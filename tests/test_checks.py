@@ -71,3 +71,17 @@ def test_gate_raises_only_for_error_level(spark):
     bad = spark.createDataFrame([("a", "error", 1)], "check_name string, severity string, failures bigint")
     with pytest.raises(checks.DataQualityError):
         checks.gate(bad)
+
+
+def test_overlap_pairs_equal_the_interval_self_join(spark):
+    import random
+
+    rng, base = random.Random(2), dt.datetime(2024, 1, 1)
+    rows = []
+    for _ in range(120):
+        a = base + dt.timedelta(days=rng.randrange(20))
+        rows.append(("customer", rng.choice("AB"), a, a + dt.timedelta(days=rng.choice([0, 1, 2, 9]))))
+    versions = spark.createDataFrame(rows, "dim string, natural_key string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    want = [r + (n,) for r in rows if (n := sum(a[:2] == r[:2] and a[2] < r[2] < a[3] for a in rows))]
+    assert sorted(map(tuple, checks.overlap_pairs(versions).collect())) == sorted(want)
+    assert checks.overlap_pairs(versions.limit(0)).count() == 0

@@ -23,6 +23,12 @@ class WarehouseConfig:
     broadcast_max_bytes: int = 64 * 1024 * 1024
     # Orders share one target file per fact partition per this many rows.
     fact_max_records_per_file: int = 5_000_000
+    # Open sets of so many days stay stored, for re-runs of these days.
+    history_days: int = 7
+    # Increments of the order index are merged when there are more of them.
+    index_runs: int = 16
+    # Published states that stay readable after a run.
+    keep_manifests: int = 3
 
     @property
     def landing(self) -> str:
@@ -32,22 +38,10 @@ class WarehouseConfig:
     def raw(self) -> str:
         return f"{self.root}/raw"
 
-    @property
-    def snapshots(self) -> str:
-        return f"{self.root}/snapshots"
-
     @property
     def marts(self) -> str:
+        """Store of history, dimensions, fact and marts."""
         return f"{self.root}/marts"
 
-    def raw_table(self, entity: str) -> str:
-        return f"{self.raw}/{entity}"
-
-    def mart(self, name: str) -> str:
-        return f"{self.marts}/{name}"
-
-    def state(self, name: str) -> str:
-        return f"{self.marts}/_state/{name}"
-
     def with_(self, **changes) -> "WarehouseConfig":
         return replace(self, **changes)

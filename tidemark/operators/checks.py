@@ -1,9 +1,11 @@
 """Data-quality checks: each check is a DataFrame of violating rows.
 
 A check passes when it has no rows. ``summary`` counts every check of a suite
-(row checks of one table in one scan, independent counts concurrently);
-``gate`` raises when an error-level check fails, before anything downstream
-is published.
+in one query: each table is scanned once and gives (check, key) entries for all
+its checks, which meet in one aggregation. A row check counts entries, a key
+check the keys with too many of them, a relationship the child rows whose key
+has no parent entry. ``gate`` raises when an error-level check fails, before
+anything downstream is published.
 
 The SCD2 overlap check flags each version that starts inside an earlier
 version of the same key with a running maximum of ``valid_to`` - one window
@@ -12,13 +14,17 @@ pass per key, no pairing of versions.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.sources.schemas import LOYALTY_TIERS, ORDER_STATUSES, UNKNOWN, UNKNOWN_KEY
 
+ROW, KEY, RELATION, OTHER = "row", "key", "relation", "other"
+
 
 class DataQualityError(RuntimeError):
     """An error-level check has failures."""
@@ -26,40 +32,61 @@ class DataQualityError(RuntimeError):
 
 @dataclass(frozen=True)
 class Check:
-    """A named check. ``violations`` lists the failing rows. Row-level checks
-    also carry ``table`` + ``measure`` (an aggregate counting failures), so
-    all row checks of one table are counted in a single scan."""
+    """A named check; ``rows()`` lists the failing rows.
+
+    ``condition`` (SQL) marks the failing rows of a row check, and the rows that
+    take part in a key check; a key fails with ``least`` rows or more. ``parent``
+    and ``field`` are the other side of a relationship.
+    """
 
     name: str
-    violations: DataFrame
+    kind: str
+    rows: Callable[[], DataFrame]
     severity: str = "error"
     table: DataFrame | None = None
-    measure: Column | None = None
+    condition: str = "true"
+    key: str = "NULL"
+    least: int = 2
+    parent: DataFrame | None = None
+    field: str | None = None
 
+    @property
+    def violations(self) -> DataFrame:
+        return self.rows()
 
-def _count_if(cond: Column) -> Column:
-    return F.sum(F.when(cond, 1).otherwise(0))
 
+def _list(values: list[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
 
-def row_check(name: str, table: DataFrame, kind: str, column: str, arg=None) -> tuple:
-    """(name, violations, table, measure) for not_null / accepted_values /
-    accepted_range / expression_is_true on one column."""
-    c = F.col(column)
+
+def row_check(name: str, table: DataFrame, kind: str, column: str, arg=None) -> Check:
+    """not_null / accepted_values / accepted_range / expression_is_true (SQL) on one column."""
     if kind == "not_null":
-        return name, not_null(table, column), table, _count_if(c.isNull())
-    if kind == "accepted_values":
-        # Failures = distinct values outside the list (nulls pass), as the grouped test.
-        return name, accepted_values(table, column, arg), table, \
-            F.count_distinct(F.when(~c.isin(*arg), c))
+        return Check(name, ROW, lambda: not_null(table, column), table=table, condition=f"{column} IS NULL")
+    if kind == "accepted_values":  # distinct values outside the list fail (nulls pass)
+        return Check(name, KEY, lambda: accepted_values(table, column, arg), table=table, condition=f"{column} NOT IN ({_list(arg)})",
+                     key=column, least=1)
     if kind == "accepted_range":
         lo, hi = arg
-        return name, accepted_range(table, column, lo, hi), table, \
-            _count_if((c < F.lit(lo)) | (c > F.lit(hi)))
+        return Check(name, ROW, lambda: accepted_range(table, column, lo, hi), table=table, condition=f"{column} < {lo} OR {column} > {hi}")
     if kind == "expression_is_true":
-        return name, expression_is_true(table, arg), table, _count_if(~arg)
+        return Check(name, ROW, lambda: expression_is_true(table, F.expr(arg)), table=table, condition=f"NOT ({arg})")
     raise ValueError(kind)
 
 
+def unique_check(name: str, table: DataFrame, column: str) -> Check:
+    return Check(name, KEY, lambda: unique(table, column), table=table, condition=f"{column} IS NOT NULL", key=column)
+
+
+def combination_check(name: str, table: DataFrame, columns: list[str]) -> Check:
+    return Check(name, KEY, lambda: unique_combination(table, columns), table=table, key=f"to_json(struct({', '.join(columns)}))")
+
+
+def relation_check(name: str, child: DataFrame, column: str, parent: DataFrame, field: str) -> Check:
+    return Check(name, RELATION, lambda: relationships(child, column, parent, field), table=child, condition=f"{column} IS NOT NULL",
+                 key=column, parent=parent, field=field)
+
+
 # ------------------------------------------------------------------ generic
 def not_null(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column).isNull()).select(column)
@@ -96,7 +123,7 @@ def accepted_range(df: DataFrame, column: str, min_value=None, max_value=None) -
     return df.where(bad).select(column)
 
 
-def expression_is_true(df: DataFrame, expr: Column) -> DataFrame:
+def expression_is_true(df: DataFrame, expr) -> DataFrame:
     return df.where(~expr)
 
 
@@ -150,110 +177,130 @@ def scd2_overlaps(versions: DataFrame) -> DataFrame:
                           F.col("valid_from").alias("overlapping_from"))
 
 
+def overlap_pairs(versions: DataFrame) -> DataFrame:
+    """Each version ``b`` with the number of its key's versions that start before it and reach into it.
+
+    The pairs of an interval self join, counted without forming them: at the
+    start of b, all versions that started before are in the running sum of
+    starts, and those that ended by then in that of ends. One sort of starts
+    and ends by key; versions without a length reach into none. Versions that
+    start together count the same and not each other.
+    """
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    real = F.col("valid_from") < F.col("valid_to")
+    starts = versions.select("dim", "natural_key", "valid_from", "valid_to", micros("valid_from").alias("at"), F.when(real, 1).otherwise(0).alias("change"),
+                             F.lit(True).alias("opens"))
+    ends = versions.where(real).select("dim", "natural_key", "valid_from", "valid_to", micros("valid_to").alias("at"), F.lit(-1).alias("change"),
+                                       F.lit(False).alias("opens"))
+    key = Window.partitionBy("dim", "natural_key").orderBy("at")
+    # Starts strictly before, less ends up to and including this moment.
+    before = F.sum(F.when(F.col("opens"), F.col("change")).otherwise(0)).over(key.rangeBetween(Window.unboundedPreceding, -1))
+    over = F.sum(F.when(~F.col("opens"), 1).otherwise(0)).over(key.rangeBetween(Window.unboundedPreceding, 0))
+    swept = starts.unionByName(ends).withColumn("pairs", F.coalesce(before, F.lit(0)) - F.coalesce(over, F.lit(0)))
+    return swept.where(F.col("opens") & (F.col("pairs") > 0)).select("dim", "natural_key", "valid_from", "valid_to", F.col("pairs").cast("bigint").alias("pairs"))
+
+
 # -------------------------------------------------------------------- suite
 def standard_suite(raw: dict[str, DataFrame], stg: DataFrame, dim_customer: DataFrame,
                    dim_restaurant: DataFrame, dim_date: DataFrame, fct: DataFrame,
                    daily: DataFrame | None, monthly: DataFrame | None,
                    late_arrival_days: int = 3, severities: dict[str, str] | None = None,
-                   full_fct: DataFrame | None = None) -> list[Check]:
+                   full_fct: DataFrame | None = None, latest_date: dt.date | None = None,
+                   versions: DataFrame | None = None) -> list[Check]:
     """The reference's 31 data tests (28 generic + 3 singular).
 
     ``full_fct``: the whole fact for the late-arrival check when ``fct`` is
     only the touched partitions (that check looks at old partitions).
+    ``latest_date``: the fact's largest order date, where it is known.
+    ``versions``: intervals for the overlap check other than the dimensions'.
     """
-    sev = severities or {}
-    net_ok_stg = F.col("net_amount") >= 0
-    rows = [
+    whole = full_fct if full_fct is not None else fct
+    if latest_date is None:
+        latest_date = whole.agg(F.max("order_date")).first()[0]
+    old = f"order_date < DATE'{latest_date - dt.timedelta(days=late_arrival_days)}'" if latest_date else "false"
+    suite = [
         row_check("source_not_null_orders_order_id", raw["orders"], "not_null", "order_id"),
         row_check("source_not_null_orders_updated_at", raw["orders"], "not_null", "updated_at"),
         row_check("source_not_null_customers_customer_id", raw["customers"], "not_null", "customer_id"),
-        row_check("source_not_null_restaurants_restaurant_id", raw["restaurants"], "not_null",
-                  "restaurant_id"),
-        ("unique_stg_orders_order_id", unique(stg, "order_id"), None, None),
+        row_check("source_not_null_restaurants_restaurant_id", raw["restaurants"], "not_null", "restaurant_id"),
+        unique_check("unique_stg_orders_order_id", stg, "order_id"),
         row_check("not_null_stg_orders_order_id", stg, "not_null", "order_id"),
         row_check("accepted_values_stg_orders_status", stg, "accepted_values", "status", ORDER_STATUSES),
-        row_check("expression_is_true_stg_orders_net_amount", stg, "expression_is_true", "net_amount",
-                  net_ok_stg),
-        ("unique_dim_customer_customer_key", unique(dim_customer, "customer_key"), None, None),
+        row_check("expression_is_true_stg_orders_net_amount", stg, "expression_is_true", "net_amount", "net_amount >= 0"),
+        unique_check("unique_dim_customer_customer_key", dim_customer, "customer_key"),
         row_check("not_null_dim_customer_customer_key", dim_customer, "not_null", "customer_key"),
         row_check("not_null_dim_customer_customer_id", dim_customer, "not_null", "customer_id"),
-        row_check("accepted_values_dim_customer_loyalty_tier", dim_customer, "accepted_values",
-                  "loyalty_tier", LOYALTY_TIERS + [UNKNOWN]),
-        ("unique_dim_restaurant_restaurant_key", unique(dim_restaurant, "restaurant_key"), None, None),
+        row_check("accepted_values_dim_customer_loyalty_tier", dim_customer, "accepted_values", "loyalty_tier", LOYALTY_TIERS + [UNKNOWN]),
+        unique_check("unique_dim_restaurant_restaurant_key", dim_restaurant, "restaurant_key"),
         row_check("not_null_dim_restaurant_restaurant_key", dim_restaurant, "not_null", "restaurant_key"),
-        row_check("accepted_range_dim_restaurant_commission_pct", dim_restaurant, "accepted_range",
-                  "commission_pct", (0, 50)),
-        ("unique_dim_date_date_key", unique(dim_date, "date_key"), None, None),
+        row_check("accepted_range_dim_restaurant_commission_pct", dim_restaurant, "accepted_range", "commission_pct", (0, 50)),
+        unique_check("unique_dim_date_date_key", dim_date, "date_key"),
         row_check("not_null_dim_date_date_key", dim_date, "not_null", "date_key"),
-        ("unique_fct_orders_order_id", unique(fct, "order_id"), None, None),
+        unique_check("unique_fct_orders_order_id", fct, "order_id"),
         row_check("not_null_fct_orders_order_id", fct, "not_null", "order_id"),
-        ("relationships_fct_orders_date_key", relationships(fct, "date_key", dim_date, "date_key"),
-         None, None),
+        relation_check("relationships_fct_orders_date_key", fct, "date_key", dim_date, "date_key"),
         row_check("not_null_fct_orders_customer_key", fct, "not_null", "customer_key"),
-        ("relationships_fct_orders_customer_key",
-         relationships(fct, "customer_key", dim_customer, "customer_key"), None, None),
+        relation_check("relationships_fct_orders_customer_key", fct, "customer_key", dim_customer, "customer_key"),
         row_check("not_null_fct_orders_restaurant_key", fct, "not_null", "restaurant_key"),
-        ("relationships_fct_orders_restaurant_key",
-         relationships(fct, "restaurant_key", dim_restaurant, "restaurant_key"), None, None),
-        row_check("expression_is_true_fct_orders_net_amount", fct, "expression_is_true", "net_amount",
-                  F.col("net_amount") >= 0),
+        relation_check("relationships_fct_orders_restaurant_key", fct, "restaurant_key", dim_restaurant, "restaurant_key"),
+        row_check("expression_is_true_fct_orders_net_amount", fct, "expression_is_true", "net_amount", "net_amount >= 0"),
     ]
     if daily is not None:
-        rows += [
-            ("unique_combination_agg_daily_zone_metrics",
-             unique_combination(daily, ["order_date", "zone"]), None, None),
-            row_check("accepted_range_agg_daily_zone_metrics_sla_hit_rate", daily, "accepted_range",
-                      "sla_hit_rate", (0, 1)),
+        suite += [
+            combination_check("unique_combination_agg_daily_zone_metrics", daily, ["order_date", "zone"]),
+            row_check("accepted_range_agg_daily_zone_metrics_sla_hit_rate", daily, "accepted_range", "sla_hit_rate", (0, 1)),
         ]
     if monthly is not None:
-        rows.append(("unique_combination_agg_monthly_revenue_by_tier",
-                     unique_combination(monthly, ["month", "loyalty_tier"]), None, None))
-    rows += [
-        ("assert_fact_reconciles_with_staging", fact_reconciles_with_staging(stg, fct), None, None),
-        ("assert_late_arriving_restaurants_are_resolved",
-         late_restaurants_unresolved(full_fct if full_fct is not None else fct, late_arrival_days),
-         None, None),
-        ("assert_scd2_versions_do_not_overlap",
-         scd2_overlaps(scd2_versions(dim_customer, dim_restaurant)), None, None),
+        suite.append(combination_check("unique_combination_agg_monthly_revenue_by_tier", monthly, ["month", "loyalty_tier"]))
+    suite += [
+        Check("assert_fact_reconciles_with_staging", OTHER, lambda: fact_reconciles_with_staging(stg, fct)),
+        Check("assert_late_arriving_restaurants_are_resolved", ROW, lambda: late_restaurants_unresolved(whole, late_arrival_days),
+              table=whole, condition=f"restaurant_key = '{UNKNOWN_KEY}' AND {old}"),
+        Check("assert_scd2_versions_do_not_overlap", OTHER, 
+              lambda: scd2_overlaps(versions if versions is not None else scd2_versions(dim_customer, dim_restaurant))),
     ]
-    return [Check(n, v, sev.get(n, "error"), t, m) for n, v, t, m in rows]
+    sev = severities or {}
+    return [Check(**{**vars(c), "severity": sev.get(c.name, "error")}) for c in suite]
+
 
+def _entry(check: Check, key: str, condition: str, parent: bool = False) -> str:
+    return (f"CASE WHEN {condition} THEN named_struct('check_name', '{check.name}', 'key', CAST({key} AS STRING), "
+            f"'n', {0 if parent else 1}, 'parent', {str(parent).lower()}) END")
 
-def _counters(checks: list[Check]) -> list[tuple[list[Check], DataFrame]]:
-    """One small aggregation per table of row checks, one per other check."""
-    jobs: list[tuple[list[Check], DataFrame]] = []
-    grouped: dict[int, list[Check]] = {}
+
+def failure_counts(checks: list[Check]) -> DataFrame:
+    """``check_name, failures`` of the checks that have failures, as one statement."""
+    tables: dict[int, tuple[DataFrame, list[str]]] = {}
     for c in checks:
-        if c.measure is not None:
-            grouped.setdefault(id(c.table), []).append(c)
-        else:
-            jobs.append(([c], c.violations.agg(F.count(F.lit(1)).cast("bigint").alias("m0"))))
-    for group in grouped.values():
-        jobs.append((group, group[0].table.agg(
-            *[c.measure.cast("bigint").alias(f"m{i}") for i, c in enumerate(group)])))
-    return jobs
-
-
-def summary(checks: list[Check], parallelism: int = 8) -> DataFrame:
-    """(check_name, severity, failures) for every check.
-
-    Row-level checks of the same table share one scan. The counting jobs are
-    independent, so they are submitted concurrently; only one count per
-    check comes back to the driver.
-    """
-    from tidemark.plans.concurrency import run_all
-
-    jobs = _counters(checks)
-    counted = run_all({str(i): (lambda df=df: df.first()) for i, (_, df) in enumerate(jobs)},
-                      max_workers=parallelism)
-    failures = {}
-    for i, (group, _) in enumerate(jobs):
-        row = counted[str(i)]
-        for j, c in enumerate(group):
-            failures[c.name] = int(row[f"m{j}"] or 0)
-    spark = checks[0].violations.sparkSession
-    return spark.createDataFrame([(c.name, c.severity, failures[c.name]) for c in checks],
-                                 "check_name string, severity string, failures bigint")
+        if c.kind != OTHER:
+            tables.setdefault(id(c.table), (c.table, []))[1].append(_entry(c, c.key, c.condition))
+        if c.kind == RELATION:
+            tables.setdefault(id(c.parent), (c.parent, []))[1].append(_entry(c, c.field, f"{c.field} IS NOT NULL", parent=True))
+    frames, parts = {}, []
+    for k, (table, entries) in enumerate(tables.values()):
+        frames[f"t{k}"] = table
+        parts.append(f"SELECT inline(filter(array({', '.join(entries)}), e -> e IS NOT NULL)) FROM {{t{k}}}")
+    counted = []
+    if parts:
+        least = {n: [c.name for c in checks if c.kind == KEY and c.least == n] or ["-"] for n in (1, 2)}
+        counted.append(f"""
+            SELECT check_name, sum(CASE WHEN check_name IN ({_list(least[1])}) THEN 1 WHEN check_name IN ({_list(least[2])}) THEN if(n > 1, 1, 0)
+                                        WHEN parent THEN 0 ELSE n END) AS failures
+            FROM (SELECT check_name, key, sum(n) AS n, max(parent) AS parent FROM ({' UNION ALL '.join(parts)}) GROUP BY check_name, key)
+            GROUP BY check_name""")
+    for k, c in enumerate(c for c in checks if c.kind == OTHER):
+        frames[f"o{k}"] = c.violations
+        counted.append(f"SELECT '{c.name}', count(*) FROM {{o{k}}}")
+    spark = next(iter(frames.values())).sparkSession
+    return spark.sql(f"SELECT * FROM ({' UNION ALL '.join(counted)}) WHERE failures > 0", **frames)
+
+
+def summary(checks: list[Check]) -> DataFrame:
+    """(check_name, severity, failures) for every check; one count per failing check comes back to the driver."""
+    counts = failure_counts(checks)
+    found = {r["check_name"]: int(r["failures"]) for r in counts.collect()}
+    return counts.sparkSession.createDataFrame([(c.name, c.severity, found.get(c.name, 0)) for c in checks],
+                                               "check_name string, severity string, failures bigint")
 
 
 def gate(result: DataFrame) -> list[dict]:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cache
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -19,33 +21,44 @@ def versions_to_dim(history: DataFrame, entity: str) -> DataFrame:
     before the first snapshot find it; the surrogate key still hashes the
     real start. Open versions end at 9999-12-31 23:59:59 and are current.
     """
+    dim = history.withColumn("version_number", _version_number(entity)).select(_columns(entity))
+    return dim.unionByName(unknown_member(dim, entity))
+
+
+# Columns are built once: each takes several calls to the JVM, every day anew.
+@cache
+def _version_number(entity: str) -> Column:
+    return F.row_number().over(Window.partitionBy(HISTORY[entity][0]).orderBy("dbt_valid_from"))
+
+
+@cache
+def _columns(entity: str) -> list[Column]:
     key, attrs = HISTORY[entity]
-    sk = DIM_KEYS[entity]
-    w = Window.partitionBy(key).orderBy("dbt_valid_from")
-    v = history.withColumn("version_number", F.row_number().over(w))
-    dim = v.select(
-        surrogate_key(key, "dbt_valid_from").alias(sk),
-        key, *attrs,
+    return [
+        surrogate_key(key, "dbt_valid_from").alias(DIM_KEYS[entity]),
+        F.col(key), *map(F.col, attrs),
         F.col("version_number").cast("int").alias("version_number"),
         F.when(F.col("version_number") == 1, ntz(VALID_FROM_FLOOR))
          .otherwise(F.col("dbt_valid_from")).alias("valid_from"),
         F.coalesce(F.col("dbt_valid_to"), ntz(VALID_TO_CEILING)).alias("valid_to"),
         F.col("dbt_valid_to").isNull().alias("is_current"),
-    )
-    return dim.unionByName(unknown_member(dim, entity))
+    ]
 
 
 def unknown_member(dim: DataFrame, entity: str) -> DataFrame:
     """The single ``-1`` row, typed like the dimension."""
+    return dim.sparkSession.range(1).select(_unknown_columns(entity, tuple(dim.dtypes)))
+
+
+@cache
+def _unknown_columns(entity: str, dtypes: tuple[tuple[str, str], ...]) -> list[Column]:
     key, attrs = HISTORY[entity]
-    types = dict(dim.dtypes)
     values: dict[str, Column] = {DIM_KEYS[entity]: F.lit(UNKNOWN_KEY), key: F.lit(UNKNOWN)}
     for a in attrs:
-        values[a] = F.lit(UNKNOWN) if types[a] == "string" else F.lit(None).cast(types[a])
+        values[a] = F.lit(UNKNOWN) if dict(dtypes)[a] == "string" else F.lit(None)
     values.update(version_number=F.lit(0), valid_from=ntz(VALID_FROM_FLOOR),
                   valid_to=ntz(VALID_TO_CEILING), is_current=F.lit(True))
-    one = dim.sparkSession.range(1)
-    return one.select(*[values[c].cast(types[c]).alias(c) for c in dim.columns])
+    return [values[c].cast(t).alias(c) for c, t in dtypes]
 
 
 def dim_customer(history: DataFrame) -> DataFrame:

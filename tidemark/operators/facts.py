@@ -4,25 +4,32 @@
   version, unmatched -> unknown member ``-1``.
 * ``incremental_source`` - look-back slice of staging (I1), with the raw
   partition pre-filter that Catalyst cannot push below the dedup window.
-* ``upsert`` - idempotent delete+insert on ``order_id`` restricted to the
-  touched ``order_date`` partitions (I2), dynamic partition overwrite.
-* ``full_refresh`` - rebuild (I4). Both refuse a schema change (I5).
+* ``upsert_into`` - idempotent delete+insert on ``order_id`` (I2): the changed
+  orders' partitions, and those that the order index names for orders stored
+  under another date, are merged and replaced in one commit.
+* ``refresh_into`` - rebuild (I4). Both refuse a schema change (I5).
 """
 
 from __future__ import annotations
 
 import datetime as dt
+import json
 from decimal import Decimal
+from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.config import WarehouseConfig
 from tidemark.functions.exprs import date_key, minute_boundaries
-from tidemark.operators import staging
+from tidemark.operators import order_index, staging
 from tidemark.operators.pit_join import point_in_time_join
-from tidemark.sources import storage
 from tidemark.sources.schemas import UNKNOWN_KEY
+from tidemark.sources.store import Snapshot, Store, Transaction
+
+FACT, CHANGES = "fct_orders", "fct_orders_changes"
+WATERMARK = "watermark"
 
 FACT_COLUMNS = [
     "order_id", "order_date", "date_key", "customer_key", "restaurant_key", "customer_id",
@@ -37,25 +44,13 @@ class SchemaChangeError(RuntimeError):
     """The rows to write do not have the stored table's schema."""
 
 
-def join_strategies(dim_customer: DataFrame, dim_restaurant: DataFrame,
-                    max_bytes: int) -> dict[str, str]:
-    """Size-check both dimensions concurrently: broadcast only when proven small."""
-    from tidemark.operators.pit_join import fits_broadcast
-    from tidemark.plans.concurrency import run_all
-    fits = run_all({"customers": lambda: fits_broadcast(dim_customer, max_bytes),
-                    "restaurants": lambda: fits_broadcast(dim_restaurant, max_bytes)})
-    return {k: "broadcast" if v else "bucketed" for k, v in fits.items()}
-
-
 def fact_rows(orders: DataFrame, dim_customer: DataFrame, dim_restaurant: DataFrame,
               strategy: str | dict[str, str] = "auto", max_bytes: int = 64 * 1024 * 1024) -> DataFrame:
-    """``strategy``: "auto", "broadcast", "bucketed", or one per dimension
+    """``strategy``: "auto", "broadcast", "spans", or one per dimension
     (``{"customers": .., "restaurants": ..}``)."""
-    if strategy == "auto":
-        strategy = join_strategies(dim_customer, dim_restaurant, max_bytes)
     per_dim = strategy if isinstance(strategy, dict) else {"customers": strategy, "restaurants": strategy}
-    customers = dim_customer.where(F.col("customer_key") != UNKNOWN_KEY)
-    restaurants = dim_restaurant.where(F.col("restaurant_key") != UNKNOWN_KEY)
+    customers = dim_customer.where(f"customer_key <> '{UNKNOWN_KEY}'")
+    restaurants = dim_restaurant.where(f"restaurant_key <> '{UNKNOWN_KEY}'")
     o = point_in_time_join(orders, customers, "customer_id", "order_ts",
                            {"_c_key": "customer_key", "customer_tier": "loyalty_tier"},
                            strategy=per_dim["customers"], max_bytes=max_bytes)
@@ -63,21 +58,21 @@ def fact_rows(orders: DataFrame, dim_customer: DataFrame, dim_restaurant: DataFr
                            {"_r_key": "restaurant_key", "restaurant_zone": "zone",
                             "commission_pct": "commission_pct"},
                            strategy=per_dim["restaurants"], max_bytes=max_bytes)
+    return o.select(_columns())
+
+
+@cache
+def _columns() -> list[Column]:
     # net * pct * 0.01 keeps exact decimal arithmetic; round() is HALF_UP.
     commission = F.round(F.col("net_amount") * F.col("commission_pct") * F.lit(Decimal("0.01")), 2)
-    return o.select(
-        "order_id", "order_date",
-        date_key("order_date").alias("date_key"),
-        F.coalesce(F.col("_c_key"), F.lit(UNKNOWN_KEY)).alias("customer_key"),
-        F.coalesce(F.col("_r_key"), F.lit(UNKNOWN_KEY)).alias("restaurant_key"),
-        "customer_id", "restaurant_id", "restaurant_zone", "customer_tier", "order_ts", "status",
-        "is_final", "payment_method", "items_count", "gross_amount", "discount_amount",
-        "delivery_fee", "net_amount", "commission_pct",
-        commission.cast("decimal(18,2)").alias("commission_amount"),
-        "delivered_ts",
-        minute_boundaries("order_ts", "delivered_ts").alias("delivery_minutes"),
-        "updated_at",
-    )
+    made = {
+        "date_key": date_key("order_date"),
+        "customer_key": F.coalesce(F.col("_c_key"), F.lit(UNKNOWN_KEY)),
+        "restaurant_key": F.coalesce(F.col("_r_key"), F.lit(UNKNOWN_KEY)),
+        "commission_amount": commission.cast("decimal(18,2)"),
+        "delivery_minutes": minute_boundaries("order_ts", "delivered_ts"),
+    }
+    return [made[c].alias(c) if c in made else F.col(c) for c in FACT_COLUMNS]
 
 
 def lookback_cutoff(max_updated_at, days: int):
@@ -97,96 +92,110 @@ def incremental_source(raw_orders: DataFrame, cutoff: dt.datetime | None) -> Dat
     """
     if cutoff is None:
         return staging.stg_orders(raw_orders)
-    recent = raw_orders.where(F.col("_extract_date") >= F.lit(cutoff.date()))
-    stg = staging.stg_orders(recent)
-    return stg.where(F.col("updated_at") >= F.lit(cutoff).cast("timestamp_ntz"))
+    recent = raw_orders.where(f"_extract_date >= DATE'{cutoff.date()}'")
+    return staging.stg_orders(recent).where(f"updated_at >= TIMESTAMP_NTZ'{cutoff}'")
 
 
-def check_schema(rows: DataFrame, stored: DataFrame) -> None:
-    want = [(f.name, f.dataType.simpleString()) for f in stored.schema.fields]
+def check_schema(rows: DataFrame, stored: T.StructType) -> None:
+    want = [(f.name, f.dataType.simpleString()) for f in stored.fields]
     got = [(f.name, f.dataType.simpleString()) for f in rows.schema.fields]
     if sorted(want) != sorted(got):
         raise SchemaChangeError(f"fct_orders schema changed: stored {want}, new {got}")
 
 
-def _write(rows: DataFrame, path: str, cfg: WarehouseConfig, dynamic: bool) -> None:
+def _clustered(rows: DataFrame) -> DataFrame:
     # Range partitioning on (date, restaurant, customer) splits a hot date over
     # several tasks (hash on the date alone would give it one task) and clusters
     # each file by restaurant and customer, so Parquet min/max statistics skip
     # row groups for restaurant/customer filters.
     cluster = ["order_date", "restaurant_id", "customer_id"]
-    out = rows.repartitionByRange(*cluster).sortWithinPartitions(*cluster)
-    writer = out.write.mode("overwrite").partitionBy("order_date") \
-        .option("maxRecordsPerFile", cfg.fact_max_records_per_file)
-    # Explicit in both cases: the session's default is dynamic, and a full write
-    # must also remove the partitions that it does not hold.
-    writer.option("partitionOverwriteMode", "dynamic" if dynamic else "static").parquet(path)
+    return rows.repartitionByRange(*cluster).sortWithinPartitions(*cluster)
 
 
-def _save_watermark(spark: SparkSession, cfg: WarehouseConfig, value) -> None:
-    spark.range(1).select(F.lit(value).cast("timestamp_ntz").alias("max_updated_at")) \
-        .write.mode("overwrite").parquet(cfg.state("fct_orders"))
+def _file_options(cfg: WarehouseConfig) -> dict[str, str]:
+    return {"maxRecordsPerFile": str(cfg.fact_max_records_per_file), "parquet.bloom.filter.enabled#customer_id": "true"}
 
 
-def read_watermark(spark: SparkSession, cfg: WarehouseConfig):
-    """max(updated_at) of the stored fact; kept beside it so a run does not scan the table."""
-    path = cfg.state("fct_orders")
-    if storage.exists(spark, f"{path}/_SUCCESS"):  # only a committed file counts
-        return spark.read.parquet(path).first()["max_updated_at"]
-    target = cfg.mart("fct_orders")
-    if storage.exists(spark, target):  # recovery: rebuild the watermark from the table
-        return spark.read.parquet(target).agg(F.max("updated_at")).first()[0]
-    return None
+def watermark_of(state: Snapshot) -> dt.datetime | None:
+    """max(updated_at) of the stored fact; kept in the manifest so a run does not scan the table."""
+    text = state.properties.get(WATERMARK)
+    return None if text is None else dt.datetime.fromisoformat(text)
 
 
-def full_refresh(spark: SparkSession, cfg: WarehouseConfig, rows: DataFrame) -> dict:
-    path = cfg.mart("fct_orders")
-    if storage.exists(spark, path):
-        check_schema(rows, spark.read.parquet(path))
-    _write(rows, path, cfg, dynamic=False)
-    wm = spark.read.parquet(path).agg(F.max("updated_at")).first()[0]
-    _save_watermark(spark, cfg, wm)
-    return {"mode": "full", "max_updated_at": wm}
+def _set_watermark(txn: Transaction, value: dt.datetime | None) -> None:
+    txn.state.properties[WATERMARK] = None if value is None else value.isoformat()
+
+
+def _seen_watermark(seen: Observation) -> dt.datetime | None:
+    text = seen.get.get("wm")
+    return None if text is None else dt.datetime.fromisoformat(text)
+
+
+def _stored_schema(txn: Transaction) -> T.StructType:
+    return T.StructType.fromJson(json.loads(txn.state.tables[FACT].schema))
 
 
-def upsert(spark: SparkSession, cfg: WarehouseConfig, changes: DataFrame, watermark=None) -> dict:
-    """Delete+insert ``changes`` on ``order_id`` into the stored fact.
+def refresh_into(txn: Transaction, cfg: WarehouseConfig, rows: DataFrame) -> dict:
+    """Replace the whole fact and its index."""
+    if txn.has(FACT):
+        check_schema(rows, _stored_schema(txn))
+    seen = Observation()
+    txn.replace(FACT, _clustered(rows.observe(seen, F.max("updated_at").cast("string").alias("wm"))), "order_date", _file_options(cfg))
+    newest = _seen_watermark(seen)
+    _set_watermark(txn, newest)
+    order_index.rebuild(txn, txn.read(FACT))
+    return {"mode": "full", "max_updated_at": newest}
 
-    The partitions of the changes are read and rewritten, and those where a
-    changed order was stored under another date (two columns of the stored
-    fact are scanned to find them).
+
+def upsert_into(txn: Transaction, cfg: WarehouseConfig, changes: DataFrame) -> dict:
+    """Delete+insert ``changes`` on ``order_id`` into the fact.
+
+    The changes are written once, which cuts their lineage and gives their
+    dates. The order index tells which of them are stored, and under which
+    date. Only the partitions of old and new dates are read and replaced.
     """
-    path = cfg.mart("fct_orders")
-    if not storage.exists(spark, path):
-        return full_refresh(spark, cfg, changes)
-    stored = spark.read.parquet(path)
-    check_schema(changes, stored)
-    # Materialise the changes once in the shared folder: cuts the lineage and
-    # avoids recomputing staging + joins for the partition list and the write.
-    staged_path = cfg.state("fct_orders_changes")
-    changes.write.mode("overwrite").parquet(staged_path)
-    changes = spark.read.parquet(staged_path)
-    agg = changes.agg(F.collect_set("order_date").alias("dates"),
-                      F.max("updated_at").alias("wm")).first()
-    dates = sorted(agg["dates"] or [])
+    if not txn.has(FACT):
+        return refresh_into(txn, cfg, changes)
+    columns = _stored_schema(txn).fieldNames()
+    check_schema(changes, _stored_schema(txn))
+    seen = Observation()
+    dates = txn.replace(CHANGES, changes.select(*columns).observe(seen, F.max("updated_at").cast("string").alias("wm")), "order_date")
     if not dates:
         return {"mode": "upsert", "partitions": 0, "dates": []}
-    moved = stored.select("order_id", F.col("order_date").alias("_old")) \
-        .join(changes.select("order_id", "order_date"), "order_id") \
-        .where(F.col("_old") != F.col("order_date")).select("_old").distinct()
-    left = sorted({r["_old"] for r in moved.collect()} - set(dates))  # one row per date
-    dates = sorted({*dates, *left})
-    kept = stored.where(F.col("order_date").isin(dates)).join(
-        changes.select("order_id"), "order_id", "left_anti")
-    merged = kept.unionByName(changes.select(*stored.columns))
-    emptied = []
-    if left:  # a date that only held moved orders has no rows to overwrite it
-        still = {r[0] for r in kept.where(F.col("order_date").isin(left)).select("order_date").distinct().collect()}
-        emptied = [d for d in left if d not in still]
-    _write(merged, path, cfg, dynamic=True)
-    for d in emptied:
-        storage.delete(spark, f"{path}/order_date={d.isoformat()}")
-    prev = watermark if watermark is not None else read_watermark(spark, cfg)
-    wm = max(x for x in (prev, agg["wm"]) if x is not None)
-    _save_watermark(spark, cfg, wm)
-    return {"mode": "upsert", "partitions": len(dates), "dates": dates, "max_updated_at": wm}
+    changes = txn.read(CHANGES)
+    placed = changes.select("order_id", "order_date").join(order_index.stored_dates(txn, changes), "order_id", "left") \
+        .where(F.col("stored_date").isNull() | (F.col("stored_date") != F.col("order_date")))
+    moves = Observation()
+    placed = placed.observe(moves, F.concat_ws(",", F.collect_set(F.col("stored_date").cast("string"))).alias("left"))  # one per date
+    order_index.add(txn, placed, cfg.index_runs)
+    left = {x for x in (moves.get.get("left") or "").split(",") if x}
+    touched = sorted(dates | left)
+    kept = txn.read(FACT, touched).join(changes.select("order_id"), "order_id", "left_anti")
+    txn.replace_parts(FACT, _clustered(kept.unionByName(changes)), "order_date", touched, _file_options(cfg))
+    newest = max((x for x in (watermark_of(txn.state), _seen_watermark(seen)) if x is not None), default=None)
+    _set_watermark(txn, newest)
+    # A null order date is no date to slice the marts by: they are built anew.
+    dated = all(x[:4].isdigit() for x in touched)
+    return {"mode": "upsert", "partitions": len(touched), "max_updated_at": newest,
+            "dates": [dt.date.fromisoformat(x) for x in touched] if dated else None}
+
+
+def _own_commit(spark: SparkSession, cfg: WarehouseConfig, step) -> dict:
+    txn = Store(spark, cfg.marts).begin()
+    info = step(txn)
+    txn.commit()
+    return info
+
+
+def full_refresh(spark: SparkSession, cfg: WarehouseConfig, rows: DataFrame) -> dict:
+    """:func:`refresh_into` as a commit of its own."""
+    return _own_commit(spark, cfg, lambda txn: refresh_into(txn, cfg, rows))
+
+
+def upsert(spark: SparkSession, cfg: WarehouseConfig, changes: DataFrame) -> dict:
+    """:func:`upsert_into` as a commit of its own."""
+    return _own_commit(spark, cfg, lambda txn: upsert_into(txn, cfg, changes))
+
+
+def read_fact(spark: SparkSession, cfg: WarehouseConfig) -> DataFrame:
+    return Store(spark, cfg.marts).read(FACT)

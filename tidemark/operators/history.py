@@ -11,23 +11,25 @@ Two equal ways to build it:
   extract date, keep rows newer than every earlier row; ``valid_to`` is the
   next kept row's ``valid_from``. A key has at most one row per extract day,
   so each window partition is bounded by the number of days, not by data.
-* ``snapshot_step`` / ``snapshot_day`` - the daily step: the open versions
-  after day D-1 full-outer-joined with slice D on the key. State lives in two
-  folders per run date, ``open/as_of=D`` and ``closed/run=D``; re-running D
-  rewrites exactly those, so the step is idempotent without in-place updates.
+* ``snapshot_rows`` / ``snapshot_into`` - the daily step: the open versions
+  after day D-1 full-outer-joined with slice D on the key, in one pass to the
+  versions that are open after the day and those it closed. Both are partitions
+  of one stored table (``open-D``, ``closed-D``), so a re-run of D replaces
+  exactly these. Open sets older than ``history_days`` are dropped.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.config import WarehouseConfig
-from tidemark.functions.exprs import scd_id, to_ntz
-from tidemark.sources import storage
+from tidemark.functions.exprs import scd_id
 from tidemark.sources.schemas import HISTORY
+from tidemark.sources.store import EMPTY, Snapshot, Store, Transaction
 
 META = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
 
@@ -48,10 +50,9 @@ def _slice_columns(entity: str) -> tuple[str, list[str]]:
 def source_rows(raw: DataFrame, entity: str) -> DataFrame:
     """Snapshot input: tracked columns with wall-clock timestamps."""
     key, attrs = _slice_columns(entity)
-    cols = [F.col(key)]
-    for a in attrs:
-        cols.append(to_ntz(a).alias(a) if dict(raw.dtypes)[a] == "timestamp" else F.col(a))
-    return raw.select(*cols, to_ntz("updated_at").alias("updated_at"), "_extract_date")
+    types = dict(raw.dtypes)
+    local = [f"CAST({c} AS TIMESTAMP_NTZ) AS {c}" if types[c] == "timestamp" else c for c in [*attrs, "updated_at"]]
+    return raw.selectExpr(key, *local, "_extract_date")
 
 
 def _with_meta(df: DataFrame, key: str) -> DataFrame:
@@ -82,59 +83,78 @@ def bulk_history(raw: DataFrame, entity: str, with_close_day: bool = False) -> D
     return _with_meta(versions, key).select(key, *attrs, "updated_at", *META, *extra)
 
 
-def assert_unique_keys(slice_rows: DataFrame, key: str) -> None:
-    dup = slice_rows.groupBy(key).count().where(F.col("count") > 1).agg(F.min(F.struct(key, "count"))).collect()[0][0]
-    if dup:
-        raise DuplicateKeyError(f"slice holds {key}={dup[0]} {dup[1]} times")
+def snapshot_rows(open_prev: DataFrame, slice_rows: DataFrame, entity: str) -> DataFrame:
+    """One day of history (I6): the rows of both sets, ``_closed`` telling them apart.
 
-
-def snapshot_step(open_prev: DataFrame, slice_rows: DataFrame, entity: str
-                  ) -> tuple[DataFrame, DataFrame]:
-    """One day of history (I6): returns (open versions after the day, versions closed by it)."""
+    ``_copies`` is the number of slice rows of the key: above 1 the slice is invalid.
+    """
     key, attrs = _slice_columns(entity)
     cols = [key, *attrs, "updated_at"]
-    o = open_prev.select(*[F.col(c).alias(f"o_{c}") for c in cols + META])
-    s = slice_rows.select(*[F.col(c).alias(f"s_{c}") for c in cols])
-    j = o.join(s, o[f"o_{key}"] == s[f"s_{key}"], "full_outer")
-    moved = F.col(f"s_{key}").isNotNull() & (
-        F.col(f"o_{key}").isNull() | (F.col("s_updated_at") > F.col("o_dbt_valid_from")))
-
-    closed = j.where(moved & F.col(f"o_{key}").isNotNull()).select(
-        *[F.col(f"o_{c}").alias(c) for c in cols],
-        "o_dbt_scd_id", "o_dbt_updated_at", "o_dbt_valid_from",
-        F.col("s_updated_at").alias("dbt_valid_to"),
-    ).toDF(*cols, *META)
-    opened = _with_meta(
-        j.where(moved).select(*[F.col(f"s_{c}").alias(c) for c in cols]), key
-    ).withColumn("dbt_valid_to", F.lit(None).cast("timestamp_ntz")).select(*cols, *META)
-    kept = j.where(~moved & F.col(f"o_{key}").isNotNull()) \
-        .select(*[F.col(f"o_{c}").alias(c) for c in cols + META])
-    return kept.unionByName(opened), closed
+
+    def version(side: str, valid_to: str, closed: str) -> str:
+        start = "o.dbt_valid_from" if side == "o" else "s.updated_at"
+        scd = "o.dbt_scd_id" if side == "o" else f"md5(concat_ws('|', coalesce(CAST(s.{key} AS STRING), ''), coalesce(CAST(s.updated_at AS STRING), '')))"
+        fields = {c: f"{side}.{c}" for c in cols} | {"dbt_scd_id": scd, "dbt_updated_at": start, "dbt_valid_from": start,
+                                                     "dbt_valid_to": valid_to, "_closed": closed}
+        return f"named_struct({', '.join(f'{name!r}, {value}' for name, value in fields.items())})"
+
+    never = "CAST(NULL AS TIMESTAMP_NTZ)"
+    moved = "s IS NOT NULL AND (o IS NULL OR s.updated_at > o.dbt_valid_from)"
+    return open_prev.sparkSession.sql(f"""
+        SELECT v.*, _copies, _key FROM (
+          SELECT coalesce(_copies, 1) AS _copies, _key, explode(filter(array(
+                   CASE WHEN o IS NOT NULL AND ({moved}) THEN {version("o", "s.updated_at", "true")} END,
+                   CASE WHEN o IS NOT NULL AND NOT ({moved}) THEN {version("o", never, "false")} END,
+                   CASE WHEN {moved} THEN {version("s", never, "false")} END), v -> v IS NOT NULL)) AS v
+          FROM (SELECT {key} AS _key, struct({', '.join(cols + META)}) AS o FROM {{open_prev}})
+          FULL JOIN (SELECT {key} AS _key, max(struct({', '.join(["updated_at", key, *attrs])})) AS s, count(*) AS _copies
+                     FROM {{slice_rows}} GROUP BY {key}) USING (_key))""", open_prev=open_prev, slice_rows=slice_rows)
 
 
 def empty_history(spark: SparkSession, raw_like: DataFrame, entity: str) -> DataFrame:
     key, attrs = _slice_columns(entity)
-    rows = source_rows(raw_like, entity).limit(0)
-    return _with_meta(rows, key).withColumn("dbt_valid_to", F.lit(None).cast("timestamp_ntz")) \
-        .select(key, *attrs, "updated_at", *META)
+    meta = T.StructType([T.StructField("dbt_scd_id", T.StringType()), *(T.StructField(c, T.TimestampNTZType()) for c in META[1:])])
+    return spark.createDataFrame([], T.StructType(source_rows(raw_like, entity).drop("_extract_date").schema.fields + meta.fields))
 
 
 # ----------------------------------------------------------------- stored state
-def open_path(cfg: WarehouseConfig, entity: str, d: dt.date) -> str:
-    return f"{cfg.snapshots}/{entity}/open/as_of={d.isoformat()}"
+START = "history_start"
+
+
+def _started(txn: Transaction, entity: str, day: str) -> None:
+    """Remember the first day of the history (a bulk build has no first state)."""
+    txn.state.properties[f"{START}.{entity}"] = day
+
+
+def table_name(entity: str) -> str:
+    return f"snap_{entity}"
+
+
+def _open(d: dt.date) -> str:
+    return f"open-{d.isoformat()}"
 
 
-def _closed_root(cfg: WarehouseConfig, entity: str) -> str:
-    return f"{cfg.snapshots}/{entity}/closed"
+def _closed(d: dt.date) -> str:
+    return f"closed-{d.isoformat()}"
 
 
-def state_dates(spark: SparkSession, cfg: WarehouseConfig, entity: str) -> list[dt.date]:
-    return storage.partition_values(spark, f"{cfg.snapshots}/{entity}/open", "as_of")
+def _days(state: Snapshot, entity: str, kind: str) -> list[dt.date]:
+    return [dt.date.fromisoformat(v.split("-", 1)[1]) for v in state.values(table_name(entity)) if v.startswith(kind)]
 
 
-def snapshot_day(spark: SparkSession, cfg: WarehouseConfig, entity: str, d: dt.date,
-                 raw: DataFrame, allow_rerun: bool = False) -> dict[str, int]:
-    """Run the history step for day ``d`` from the raw rows with ``_extract_date = d``.
+def open_days(state: Snapshot, entity: str) -> list[dt.date]:
+    """Days whose open set is stored, in order."""
+    return _days(state, entity, "open-")
+
+
+def finished_through(state: Snapshot, entity: str) -> dt.date | None:
+    days = open_days(state, entity)
+    return days[-1] if days else None
+
+
+def snapshot_into(txn: Transaction, entity: str, d: dt.date, raw: DataFrame, allow_rerun: bool = False,
+                  keep_days: int | None = None) -> None:
+    """The history step for day ``d`` from the raw rows with ``_extract_date = d``.
 
     ``raw`` may hold more days (only day ``d`` is used); passing just that
     partition avoids listing the whole raw table.
@@ -142,8 +162,8 @@ def snapshot_day(spark: SparkSession, cfg: WarehouseConfig, entity: str, d: dt.d
     Refuses to run when state for a later day exists (unless ``allow_rerun``)
     or when the previous day's state is missing after history has started.
     """
-    key, _ = _slice_columns(entity)
-    done = state_dates(spark, cfg, entity)
+    key, attrs = _slice_columns(entity)
+    done = open_days(txn.state, entity)
     later = [x for x in done if x > d]
     if later and not allow_rerun:
         raise HistoryOrderError(f"{entity}: state for {later[-1]} exists; re-run {d} explicitly")
@@ -151,28 +171,50 @@ def snapshot_day(spark: SparkSession, cfg: WarehouseConfig, entity: str, d: dt.d
     prev = d - dt.timedelta(days=1)
     if earlier and earlier[-1] != prev:
         raise HistoryOrderError(f"{entity}: previous day {prev} has no state (last is {earlier[-1]})")
+    start = txn.state.properties.get(f"{START}.{entity}")
+    if not earlier and start and start < d.isoformat():
+        raise HistoryOrderError(f"{entity}: the state before {d} is no longer stored")
+    _started(txn, entity, min(start or d.isoformat(), d.isoformat()))
 
     slice_rows = source_rows(raw.where(F.col("_extract_date") == F.lit(d)), entity).drop("_extract_date")
-    assert_unique_keys(slice_rows, key)
-    open_prev = empty_history(spark, raw, entity)
-    if earlier:
-        open_prev = spark.read.schema(open_prev.schema).parquet(open_path(cfg, entity, prev))
-    opened, closed = snapshot_step(open_prev, slice_rows, entity)
-    # Closed versions first; the open set of day d is written last and marks
-    # the day as done. A failed run leaves day d-1 intact and can be re-run.
-    storage.delete(spark, f"{_closed_root(cfg, entity)}/run={d.isoformat()}")
-    closed.withColumn("run", F.lit(d)).write.mode("overwrite") \
-        .option("partitionOverwriteMode", "dynamic").partitionBy("run") \
-        .parquet(_closed_root(cfg, entity))
-    opened.write.mode("overwrite").parquet(open_path(cfg, entity, d))
-    return {"day": d}
+    open_prev = txn.read(table_name(entity), [_open(prev)]).drop("part") if earlier else empty_history(txn.spark, raw, entity)
+    seen = Observation()
+    rows = snapshot_rows(open_prev, slice_rows, entity).observe(
+        seen, F.max("_copies").alias("most"), F.max_by("_key", "_copies").alias("key"))
+    part = f"if(_closed, '{_closed(d)}', '{_open(d)}')"
+    txn.replace_parts(table_name(entity), rows.withColumn("part", F.expr(part)).drop("_closed", "_copies", "_key"), "part", [_open(d), _closed(d)])
+    found = seen.get
+    if (found.get("most") or 0) > 1:
+        raise DuplicateKeyError(f"slice holds {key}={found['key']} {found['most']} times")
+    # Without any version the day still counts as done.
+    txn.state.tables[table_name(entity)].parts.setdefault(_open(d), EMPTY)
+    if keep_days is not None:
+        limit = open_days(txn.state, entity)[-1] - dt.timedelta(days=keep_days)
+        txn.drop_parts(table_name(entity), [_open(x) for x in open_days(txn.state, entity) if x < limit])
+
+
+def bulk_into(txn: Transaction, entity: str, raw: DataFrame, through: dt.date) -> None:
+    """The history of all rows of ``raw`` in one pass, stored as the daily steps would leave it after ``through``."""
+    rows = bulk_history(raw, entity, with_close_day=True)
+    part = F.coalesce(F.concat(F.lit("closed-"), F.col("_close_day").cast("string")), F.lit(_open(through)))
+    txn.replace(table_name(entity), rows.withColumn("part", part).drop("_close_day"), "part")
+    txn.state.tables[table_name(entity)].parts.setdefault(_open(through), EMPTY)
+    _started(txn, entity, dt.date.min.isoformat())
+
+
+def history_in(txn: Transaction, entity: str, as_of: dt.date) -> DataFrame:
+    """Every version known after day ``as_of``: closed up to it plus the open set."""
+    values = [_closed(x) for x in _days(txn.state, entity, "closed-") if x <= as_of] + [_open(as_of)]
+    return txn.read(table_name(entity), values).drop("part")
+
+
+def snapshot_day(spark: SparkSession, cfg: WarehouseConfig, entity: str, d: dt.date, raw: DataFrame,
+                 allow_rerun: bool = False) -> None:
+    """:func:`snapshot_into` as a commit of its own."""
+    txn = Store(spark, cfg.marts).begin()
+    snapshot_into(txn, entity, d, raw, allow_rerun, cfg.history_days)
+    txn.commit()
 
 
 def read_history(spark: SparkSession, cfg: WarehouseConfig, entity: str, as_of: dt.date) -> DataFrame:
-    """Every version known after day ``as_of``: closed up to it plus the open set."""
-    opened = spark.read.parquet(open_path(cfg, entity, as_of))
-    root = _closed_root(cfg, entity)
-    if not storage.glob(spark, f"{root}/run=*"):  # nothing closed yet
-        return opened
-    closed = spark.read.parquet(root).where(F.col("run") <= F.lit(as_of)).drop("run")
-    return closed.unionByName(opened)
+    return history_in(Store(spark, cfg.marts).begin(), entity, as_of)

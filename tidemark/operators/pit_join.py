@@ -1,63 +1,91 @@
-"""Point-in-time left join: each fact row gets the dimension version whose
+"""Point-in-time left join: each fact row gets the dimension versions whose
 half-open interval ``[valid_from, valid_to)`` contains the fact's timestamp.
 
-Two physical plans with the same result on non-overlapping versions (which
-the SCD2 builder guarantees and the overlap check verifies):
+Two physical plans with the same rows for any versions, overlapping, nested or
+with equal starts included (a fact inside several versions has a row for each):
 
 * ``broadcast`` - the versions are broadcast and matched on the key with the
-  interval as a residual condition. Used only when the counted versions fit
-  under ``max_bytes``.
-* ``bucketed`` - for dimensions of any size. The time axis is cut into days;
-  the candidates of a fact on day ``d`` are the versions that start on ``d``
-  plus the one version open at the start of ``d`` (its "carry-in"). The join
-  is then an equi-join on ``(key, day)`` with at most a few candidates per
-  fact row, so neither a long version history nor a hot key makes a task
-  compare against many versions, and a hot (key, day) is split by AQE's skew
-  join on the fact side. The carry-in comes from a window per key over
-  ``(key, day)`` rows, at most one row per key per day.
+  interval as a residual condition. Taken only when Spark's estimate for the
+  versions, which comes from file sizes without a job, stays under
+  ``max_bytes`` with room for ``EXPANSION`` between files and memory.
+* ``spans`` - for versions of any size. Days are numbered, and a version's days
+  are cut into the fewest dyadic spans: blocks of ``4**k`` days that start at a
+  multiple of their size, at most three of a size at either end. A day lies in
+  one block of each size, and in one span of a version or in none. So the
+  versions that touch a (key, day) come from an equi-join on (key, size,
+  block) with the distinct (key, day) pairs of the facts, and the facts then
+  join on (key, day) with the interval as residual. Neither a long history nor
+  a hot key makes a row meet more versions than touch its day; a hot
+  (key, day) is split by AQE's skew join on the fact side.
+
+Days outside the period in which any version starts or ends are folded into
+its edges, so a version that is open at an end needs few spans.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_WIDTH = {
-    T.StringType: 48, T.DecimalType: 16, T.TimestampType: 8, T.TimestampNTZType: 8,
-    T.DateType: 4, T.IntegerType: 4, T.LongType: 8, T.BooleanType: 1, T.DoubleType: 8,
-}
+#: Bytes in memory allowed for a byte of Spark's estimate.
+EXPANSION = 8
+#: Sizes of spans: powers of 4 days. 4**12 days are 45,000 years.
+_LEVELS = range(0, 26, 2)
 
 
-def row_width(schema: T.StructType) -> int:
-    return 16 + sum(_WIDTH.get(type(f.dataType), 32) for f in schema.fields)
+def estimated_bytes(df: DataFrame) -> int:
+    """Spark's size estimate for the rows of a plan, without running it."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def fits_broadcast(df: DataFrame, max_bytes: int) -> bool:
-    """True when ``df``, by its row count and assumed row width, fits in ``max_bytes``.
+    return estimated_bytes(df) * EXPANSION <= max_bytes
 
-    The count is partial per partition; no rows are gathered in one task.
+
+def _levels(last: Column) -> Column:
+    """Span sizes needed for day numbers 0 to ``last``: up to the first that covers them all."""
+    return F.filter(F.array(*(F.lit(k) for k in _LEVELS)), lambda k: (k == 0) | (F.pow(F.lit(2.0), k - 2) < last + 1))
+
+
+def _spans(start: Column, end: Column, levels: Column) -> Column:
+    """Spans (level, block) that tile the days ``[start, end)``.
+
+    Of the blocks of a size that lie inside, those that a larger one covers are left out.
     """
-    return df.count() <= max_bytes // row_width(df.schema)
-
-
-def _candidates_by_day(fact_days: DataFrame, versions: DataFrame, key: str,
-                       payload: list[str]) -> DataFrame:
-    """(key, day) -> candidate versions: those starting that day + the carry-in."""
-    fields = ["_v_from", "_v_to", *payload]
-    starting = versions.withColumn("_day", F.to_date("_v_from"))
-    last_of_day = starting.groupBy(key, "_day").agg(
-        F.max(F.struct(*[F.col(c) for c in fields])).alias("_last"))
-    timeline = last_of_day.withColumn("_is_fact", F.lit(False)).unionByName(
-        fact_days.withColumn("_last", F.lit(None).cast(last_of_day.schema["_last"].dataType))
-        .withColumn("_is_fact", F.lit(True)))
-    # Range frame on the day number: strictly earlier days only, never the same day.
-    w = Window.partitionBy(key).orderBy(F.unix_date("_day")) \
-        .rangeBetween(Window.unboundedPreceding, -1)
-    carry = timeline.withColumn("_carry", F.last("_last", ignorenulls=True).over(w)) \
-        .where(F.col("_is_fact") & F.col("_carry").isNotNull()) \
-        .select(key, "_day", *[F.col(f"_carry.{c}").alias(c) for c in fields])
-    return starting.select(key, "_day", *fields).unionByName(carry)
+    top = F.array_max(levels)
+
+    def of_level(k: Column) -> Column:
+        size, wider = F.pow(F.lit(2.0), k), F.pow(F.lit(2.0), k + 2)
+        a, b = F.ceil(start / size), F.floor(end / size)
+        cover_a, cover_b = F.ceil(start / wider) * 4, F.floor(end / wider) * 4
+        numbers = F.when(b > a, F.sequence(a, b - 1)).otherwise(F.array().cast("array<bigint>"))
+        outer = (k == top) | (cover_a >= cover_b)
+        return F.transform(F.filter(numbers, lambda n: outer | (n < cover_a) | (n >= cover_b)), lambda n: F.struct(k.alias("level"), n.alias("block")))
+
+    return F.flatten(F.transform(levels, of_level))
+
+
+def _candidates_by_day(fact_days: DataFrame, versions: DataFrame, key: str, payload: list[str]) -> DataFrame:
+    """(key, day) -> every version that touches the day."""
+    real = versions.where(F.col(key).isNotNull() & (F.col("_v_from") < F.col("_v_to")))
+    first = F.unix_date(F.to_date("_v_from"))
+    last = F.unix_date(F.to_date(F.timestamp_add("MICROSECOND", F.lit(-1), F.col("_v_to"))))
+    lo = real.select(F.min(last)).scalar()
+    hi = real.select(F.max(first) + 1).scalar()
+
+    def numbered(df: DataFrame) -> DataFrame:
+        df = df.withColumn("_lo", lo).withColumn("_hi", hi).withColumn("_base", F.least(F.col("_lo"), F.col("_hi")))
+        return df.withColumn("_last", F.col("_hi") - F.col("_base")).withColumn("_levels", _levels(F.col("_last")))
+
+    def folded(day: Column) -> Column:
+        return F.greatest(F.least(day - F.col("_base"), F.col("_last")), F.lit(0))
+
+    end = F.when(folded(last) >= F.col("_last"), F.pow(F.lit(2.0), F.array_max("_levels"))).otherwise(folded(last) + 1)
+    spans = numbered(real).select(F.col(key).alias("_key"), "_v_from", "_v_to", *payload, F.explode(_spans(folded(first), end, F.col("_levels"))).alias("_span")) \
+        .select("_key", F.col("_span.level").alias("_level"), F.col("_span.block").alias("_block"), "_v_from", "_v_to", *payload)
+    asked = numbered(fact_days).select(F.col(key).alias("_key"), "_day", folded(F.unix_date("_day")).alias("_number"), F.explode("_levels").alias("_level")) \
+        .select("_key", "_day", "_level", F.floor(F.col("_number") / F.pow(F.lit(2.0), F.col("_level"))).alias("_block"))
+    return asked.join(spans, ["_key", "_level", "_block"]).select(F.col("_key").alias("_v_key"), F.col("_day").alias("_v_day"), "_v_from", "_v_to", *payload)
 
 
 def point_in_time_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
@@ -69,23 +97,19 @@ def point_in_time_join(facts: DataFrame, versions: DataFrame, key: str, ts: str,
     ``columns`` maps output column name -> version column name.
     """
     payload = list(columns)
-    v = versions.select(
-        F.col(key), F.col(valid_from).alias("_v_from"), F.col(valid_to).alias("_v_to"),
-        *[F.col(src).alias(out) for out, src in columns.items()])
+    v = versions.selectExpr(key, f"`{valid_from}` AS _v_from", f"`{valid_to}` AS _v_to", *[f"`{src}` AS `{out}`" for out, src in columns.items()])
     if strategy == "auto":
-        strategy = "broadcast" if fits_broadcast(v, max_bytes) else "bucketed"
+        strategy = "broadcast" if fits_broadcast(v, max_bytes) else "spans"
 
     if strategy == "broadcast":
         vb = F.broadcast(v.withColumnRenamed(key, "_v_key"))
-        cond = (facts[key] == vb["_v_key"]) & (facts[ts] >= vb["_v_from"]) & (facts[ts] < vb["_v_to"])
+        cond = F.expr(f"`{key}` = _v_key AND `{ts}` >= _v_from AND `{ts}` < _v_to")
         return facts.join(vb, cond, "left").drop("_v_key", "_v_from", "_v_to")
 
-    if strategy != "bucketed":
+    if strategy != "spans":
         raise ValueError(f"unknown strategy {strategy!r}")
     f = facts.withColumn("_day", F.to_date(F.col(ts)))
-    fact_days = f.select(key, "_day").where(F.col(key).isNotNull()).distinct()
-    cand = _candidates_by_day(fact_days, v, key, payload).withColumnRenamed(key, "_v_key") \
-        .withColumnRenamed("_day", "_v_day")
-    cond = (f[key] == cand["_v_key"]) & (f["_day"] == cand["_v_day"]) \
-        & (f[ts] >= cand["_v_from"]) & (f[ts] < cand["_v_to"])
+    fact_days = f.select(key, "_day").where(F.col(key).isNotNull() & F.col("_day").isNotNull()).distinct()
+    cand = _candidates_by_day(fact_days, v, key, payload)
+    cond = F.expr(f"`{key}` = _v_key AND _day = _v_day AND `{ts}` >= _v_from AND `{ts}` < _v_to")
     return f.join(cand, cond, "left").drop("_day", "_v_key", "_v_day", "_v_from", "_v_to")

@@ -60,37 +60,46 @@ def latest_orders(fct: DataFrame, n: int = 10) -> DataFrame:
 
 
 # ------------------------------------------------------------ pruning report
-def _files(df: DataFrame, partition_col: str | None) -> DataFrame:
-    cols = [F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_size").alias("file_size")]
-    if partition_col:
-        cols.append(F.col(partition_col))
-    return df.select(*cols).distinct()
+def _date_predicates(latest) -> dict:
+    """The partitions that each dashboard query must open."""
+    return {
+        "gmv_latest_day": F.col("order_date") == latest,
+        "orders_last7_one_restaurant": F.col("order_date") >= F.date_sub(latest, 7),
+        "net_full_scan": F.lit(True),
+    }
+
+
+def _per_query(parts: DataFrame, measures: dict, latest) -> DataFrame:
+    """One row for each query: the measures over the partitions that it opens."""
+    names = _date_predicates(latest)
+    sums = parts.agg(*[F.coalesce(m(F.when(cond, 1)), F.lit(0)).alias(f"{q}|{name}") for q, cond in names.items() for name, m in measures.items()])
+    rows = F.array(*[F.struct(F.lit(q).alias("query"), *[F.col(f"`{q}|{name}`").alias(name) for name in measures]) for q in names])
+    return sums.select(F.inline(rows))
 
 
 def pruning_report(partitioned: DataFrame, flat: DataFrame) -> DataFrame:
     """Files and bytes a scan must open, flat copy vs date-partitioned fact.
 
-    For the three dashboard queries (latest day GMV, last 7 days of one
-    restaurant, full scan): the flat table must open every file; the
+    Both arguments list files (``path, length``, and ``order_date`` for the
+    partitioned table). For the three dashboard queries (latest day GMV, last 7
+    days of one restaurant, full scan) the flat table must open every file, the
     partitioned one only files of partitions that pass the date predicate.
-    Listed from ``_metadata`` (no data columns are decoded).
     """
-    files_p = _files(partitioned, "order_date").cache()
-    files_f = _files(flat, None).cache()
     latest = partitioned.select(F.max("order_date")).scalar()
-    predicates = {
-        "gmv_latest_day": F.col("order_date") == latest,
-        "orders_last7_one_restaurant": F.col("order_date") >= F.date_sub(latest, 7),
-        "net_full_scan": F.lit(True),
-    }
-    before = files_f.agg(F.count(F.lit(1)).alias("files_before"),
-                         F.sum("file_size").alias("bytes_before"))
-    rows = []
-    for name, pred in predicates.items():
-        after = files_p.where(pred).agg(F.count(F.lit(1)).alias("files_after"),
-                                        F.coalesce(F.sum("file_size"), F.lit(0)).alias("bytes_after"))
-        rows.append(before.crossJoin(after).select(F.lit(name).alias("query"), "*"))
-    out = rows[0]
-    for r in rows[1:]:
-        out = out.unionByName(r)
-    return out.withColumn("saved", saved_share("bytes_before", "bytes_after"))
+    after = _per_query(partitioned, {"files_after": F.count, "bytes_after": lambda on: F.sum(on * F.col("length"))}, latest)
+    before = flat.agg(F.count(F.lit(1)).alias("files_before"), F.sum("length").alias("bytes_before"))
+    return before.crossJoin(after).select("query", "files_before", "bytes_before", "files_after", "bytes_after") \
+        .withColumn("saved", saved_share("bytes_before", "bytes_after"))
+
+
+def pruning_rows(fct: DataFrame) -> DataFrame:
+    """Dates and rows a scan must read, all of them vs those of the partitions each query opens.
+
+    Rows are counted per partition from the file footers.
+    """
+    per_date = fct.groupBy("order_date").agg(F.count(F.lit(1)).alias("n"))
+    latest = fct.select(F.max("order_date")).scalar()
+    after = _per_query(per_date, {"dates_after": F.count, "rows_after": lambda on: F.sum(on * F.col("n"))}, latest)
+    before = per_date.agg(F.count(F.lit(1)).alias("dates_before"), F.sum("n").alias("rows_before"))
+    return before.crossJoin(after).select("query", "dates_before", "rows_before", "dates_after", "rows_after") \
+        .withColumn("saved", saved_share("rows_before", "rows_after"))

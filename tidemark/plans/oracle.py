@@ -164,58 +164,58 @@ R_ATTRS = ["name", "zone", "cuisine", "commission_pct", "is_active", "created_at
 HIST_C = _history("snap_customers", "raw_customers", "customer_id", C_ATTRS)
 HIST_R = _history("snap_restaurants", "raw_restaurants", "restaurant_id", R_ATTRS)
 
-DIM_C = """
-dim_customer AS (
-  SELECT md5(customer_id || '-' || CAST(dbt_valid_from AS VARCHAR)) AS customer_key,
-         customer_id, zone, loyalty_tier, signup_ts, CAST(vn AS INTEGER) AS version_number,
-         CASE WHEN vn = 1 THEN TIMESTAMP '1900-01-01 00:00:00' ELSE dbt_valid_from END AS valid_from,
-         coalesce(dbt_valid_to, TIMESTAMP '9999-12-31 23:59:59') AS valid_to,
-         dbt_valid_to IS NULL AS is_current
-  FROM (SELECT *, row_number() OVER (PARTITION BY customer_id ORDER BY dbt_valid_from) AS vn
-        FROM snap_customers)
-  UNION ALL
-  SELECT '-1', 'UNKNOWN', 'UNKNOWN', 'UNKNOWN', CAST(NULL AS TIMESTAMP), 0,
-         TIMESTAMP '1900-01-01 00:00:00', TIMESTAMP '9999-12-31 23:59:59', true
-)"""
-
-DIM_R = """
-dim_restaurant AS (
-  SELECT md5(restaurant_id || '-' || CAST(dbt_valid_from AS VARCHAR)) AS restaurant_key,
-         restaurant_id, name, zone, cuisine, commission_pct, is_active, created_at,
-         CAST(vn AS INTEGER) AS version_number,
-         CASE WHEN vn = 1 THEN TIMESTAMP '1900-01-01 00:00:00' ELSE dbt_valid_from END AS valid_from,
-         coalesce(dbt_valid_to, TIMESTAMP '9999-12-31 23:59:59') AS valid_to,
-         dbt_valid_to IS NULL AS is_current
-  FROM (SELECT *, row_number() OVER (PARTITION BY restaurant_id ORDER BY dbt_valid_from) AS vn
-        FROM snap_restaurants)
-  UNION ALL
-  SELECT '-1', 'UNKNOWN', 'UNKNOWN', 'UNKNOWN', 'UNKNOWN', CAST(NULL AS DECIMAL(5,2)), CAST(NULL AS BOOLEAN),
-         CAST(NULL AS TIMESTAMP), 0, TIMESTAMP '1900-01-01 00:00:00', TIMESTAMP '9999-12-31 23:59:59', true
-)"""
-
+def _dimension(name: str, source: str, key: str, surrogate: str, columns: str, unknown: str) -> str:
+    """Versions counted from the raw change rows themselves, and the unknown member beside them.
 
-def _fct(name: str = "fct_orders", source: str = "stg_orders") -> str:
+    A change counts when no earlier extract held one as new; its number is how
+    many changes of the key are not newer, its end the next newer one.
+    """
     return f"""
+{name}_changes AS (
+  SELECT r.* FROM {source} r
+  WHERE NOT EXISTS (SELECT 1 FROM {source} p
+                    WHERE p.{key} = r.{key} AND p._extract_date < r._extract_date AND p.updated_at >= r.updated_at)),
+{name}_numbered AS (
+  SELECT c.*, (SELECT count(*) FROM {name}_changes e WHERE e.{key} = c.{key} AND e.updated_at <= c.updated_at) AS nth,
+         (SELECT min(e.updated_at) FROM {name}_changes e WHERE e.{key} = c.{key} AND e.updated_at > c.updated_at) AS until
+  FROM {name}_changes c),
 {name} AS (
-  SELECT o.order_id, o.order_date,
-         CAST(year(o.order_date) * 10000 + month(o.order_date) * 100 + day(o.order_date) AS INTEGER) AS date_key,
-         coalesce(c.customer_key, '-1') AS customer_key,
-         coalesce(r.restaurant_key, '-1') AS restaurant_key,
-         o.customer_id, o.restaurant_id, r.zone AS restaurant_zone, c.loyalty_tier AS customer_tier,
-         o.order_ts, o.status, o.is_final, o.payment_method, o.items_count, o.gross_amount,
-         o.discount_amount, o.delivery_fee, o.net_amount, r.commission_pct,
-         CAST(round(o.net_amount * r.commission_pct * 0.01, 2) AS DECIMAL(18,2)) AS commission_amount,
-         o.delivered_ts,
-         CAST(date_diff('minute', o.order_ts, o.delivered_ts) AS INTEGER) AS delivery_minutes,
-         o.updated_at
-  FROM {source} AS o
-  LEFT JOIN (SELECT * FROM dim_customer WHERE customer_key <> '-1') AS c
-    ON o.customer_id = c.customer_id AND o.order_ts >= c.valid_from AND o.order_ts < c.valid_to
-  LEFT JOIN (SELECT * FROM dim_restaurant WHERE restaurant_key <> '-1') AS r
-    ON o.restaurant_id = r.restaurant_id AND o.order_ts >= r.valid_from AND o.order_ts < r.valid_to
+  SELECT md5(concat_ws('-', {key}, updated_at)) AS {surrogate}, {columns}, nth::INTEGER AS version_number,
+         if(nth = 1, TIMESTAMP '1900-01-01', updated_at) AS valid_from,
+         ifnull(until, TIMESTAMP '9999-12-31 23:59:59') AS valid_to, until IS NULL AS is_current
+  FROM {name}_numbered
+  UNION ALL BY NAME
+  SELECT '-1' AS {surrogate}, {unknown}, 0 AS version_number, TIMESTAMP '1900-01-01' AS valid_from,
+         TIMESTAMP '9999-12-31 23:59:59' AS valid_to, true AS is_current
 )"""
 
 
+DIM_C = _dimension("dim_customer", "raw_customers", "customer_id", "customer_key", "customer_id, zone, loyalty_tier, signup_ts",
+                   "'UNKNOWN' AS customer_id, 'UNKNOWN' AS zone, 'UNKNOWN' AS loyalty_tier")
+DIM_R = _dimension("dim_restaurant", "raw_restaurants", "restaurant_id", "restaurant_key",
+                   "restaurant_id, name, zone, cuisine, commission_pct, is_active, created_at",
+                   "'UNKNOWN' AS restaurant_id, 'UNKNOWN' AS name, 'UNKNOWN' AS zone, 'UNKNOWN' AS cuisine")
+
+
+def _fct() -> str:
+    """Each order with the last version that began by its time, found by as-of joins."""
+    return """
+placed AS (
+  SELECT o.*, c.customer_key AS c_key, c.loyalty_tier AS tier, r.restaurant_key AS r_key, r.zone AS r_zone, r.commission_pct AS pct
+  FROM stg_orders o
+  ASOF LEFT JOIN (FROM dim_customer WHERE version_number > 0) c ON c.customer_id = o.customer_id AND o.order_ts >= c.valid_from
+  ASOF LEFT JOIN (FROM dim_restaurant WHERE version_number > 0) r ON r.restaurant_id = o.restaurant_id AND o.order_ts >= r.valid_from),
+fct_orders AS (
+  SELECT order_id, order_date, strftime(order_date, '%Y%m%d')::INTEGER AS date_key,
+         ifnull(c_key, '-1') AS customer_key, ifnull(r_key, '-1') AS restaurant_key, customer_id, restaurant_id,
+         r_zone AS restaurant_zone, tier AS customer_tier, order_ts, status, is_final, payment_method, items_count,
+         gross_amount, discount_amount, delivery_fee, net_amount, pct AS commission_pct,
+         round(net_amount * pct * 0.01, 2)::DECIMAL(18,2) AS commission_amount, delivered_ts,
+         ((epoch(date_trunc('minute', delivered_ts)) - epoch(date_trunc('minute', order_ts))) / 60)::INTEGER AS delivery_minutes,
+         updated_at
+  FROM placed)"""
+
+
 FCT = _fct()
 
 # One group per date and zone over settled orders; each measure filters its statuses.
@@ -326,81 +326,157 @@ SCD2_OVERLAPS = """
 SELECT dim, natural_key, a_from AS valid_from, valid_from AS overlapping_from
 FROM (
   SELECT b.dim, b.natural_key, b.valid_from,
-         (SELECT arg_max(a.valid_from, a.valid_to) FROM scd2_versions a
+         (SELECT arg_max(a.valid_from, a.valid_to) FROM {versions} a
           WHERE a.dim = b.dim AND a.natural_key = b.natural_key AND a.valid_from < b.valid_from) AS a_from,
-         (SELECT max(a.valid_to) FROM scd2_versions a
+         (SELECT max(a.valid_to) FROM {versions} a
           WHERE a.dim = b.dim AND a.natural_key = b.natural_key AND a.valid_from < b.valid_from) AS a_to
-  FROM scd2_versions b
+  FROM {versions} b
 ) WHERE a_to > valid_from"""
 
+# Totals per date of both sides, side by side; one row when they do not add up to the same.
 RECONCILE = """
-SELECT stg_rows, fct_rows, CAST(stg_gross AS DECIMAL(18,2)) AS stg_gross, CAST(fct_gross AS DECIMAL(18,2)) AS fct_gross
-FROM (SELECT count(*) AS stg_rows, sum(gross_amount) AS stg_gross FROM stg_orders)
-CROSS JOIN (SELECT count(*) AS fct_rows, sum(gross_amount) AS fct_gross FROM fct_orders)
-WHERE stg_rows IS DISTINCT FROM fct_rows OR stg_gross IS DISTINCT FROM fct_gross"""
+SELECT sum(ifnull(s.n, 0))::BIGINT AS stg_rows, sum(ifnull(f.n, 0))::BIGINT AS fct_rows,
+       sum(s.gross)::DECIMAL(18,2) AS stg_gross, sum(f.gross)::DECIMAL(18,2) AS fct_gross
+FROM (SELECT order_date, count(*) AS n, sum(gross_amount) AS gross FROM {stg} GROUP BY ALL) s
+FULL JOIN (SELECT order_date, count(*) AS n, sum(gross_amount) AS gross FROM {fct} GROUP BY ALL) f USING (order_date)
+HAVING stg_rows IS DISTINCT FROM fct_rows OR stg_gross IS DISTINCT FROM fct_gross"""
 
-UNRESOLVED = f"""
-SELECT order_id, order_date, restaurant_id FROM fct_orders
-WHERE restaurant_key = '-1'
-  AND order_date < (SELECT CAST(max(order_date) - INTERVAL {LOOKBACK_DAYS} DAY AS DATE) FROM fct_orders)"""
+UNRESOLVED = """
+SELECT order_id, order_date, restaurant_id FROM {fct}
+WHERE restaurant_key = '-1' AND order_date < (SELECT max(order_date) - %d FROM {fct})""" % LOOKBACK_DAYS
 
 
-def _dq_rows() -> list[tuple[str, str]]:
+def _dq_rows(t: dict[str, str]) -> list[tuple[str, str]]:
+    """(check, SQL of its failing rows) over the tables named by ``t``."""
     nn = "SELECT 1 FROM {t} WHERE {c} IS NULL"
     uq = "SELECT {c} FROM {t} WHERE {c} IS NOT NULL GROUP BY 1 HAVING count(*) > 1"
     rel = ("SELECT 1 FROM {t} c WHERE c.{c} IS NOT NULL AND NOT EXISTS "
            "(SELECT 1 FROM {p} p WHERE p.{f} = c.{c})")
     return [
-        ("source_not_null_orders_order_id", nn.format(t="raw_orders", c="order_id")),
-        ("source_not_null_orders_updated_at", nn.format(t="raw_orders", c="updated_at")),
-        ("source_not_null_customers_customer_id", nn.format(t="raw_customers", c="customer_id")),
-        ("source_not_null_restaurants_restaurant_id", nn.format(t="raw_restaurants", c="restaurant_id")),
-        ("unique_stg_orders_order_id", uq.format(t="stg_orders", c="order_id")),
-        ("not_null_stg_orders_order_id", nn.format(t="stg_orders", c="order_id")),
+        ("source_not_null_orders_order_id", nn.format(t=t["raw_orders"], c="order_id")),
+        ("source_not_null_orders_updated_at", nn.format(t=t["raw_orders"], c="updated_at")),
+        ("source_not_null_customers_customer_id", nn.format(t=t["raw_customers"], c="customer_id")),
+        ("source_not_null_restaurants_restaurant_id", nn.format(t=t["raw_restaurants"], c="restaurant_id")),
+        ("unique_stg_orders_order_id", uq.format(t=t["stg_orders"], c="order_id")),
+        ("not_null_stg_orders_order_id", nn.format(t=t["stg_orders"], c="order_id")),
         ("accepted_values_stg_orders_status",
-         "SELECT status FROM stg_orders WHERE status NOT IN "
+         f"SELECT status FROM {t['stg_orders']} WHERE status NOT IN "
          "('PLACED','OUT_FOR_DELIVERY','DELIVERED','CANCELLED','REFUNDED') GROUP BY 1"),
-        ("expression_is_true_stg_orders_net_amount", "SELECT 1 FROM stg_orders WHERE NOT (net_amount >= 0)"),
-        ("unique_dim_customer_customer_key", uq.format(t="dim_customer", c="customer_key")),
-        ("not_null_dim_customer_customer_key", nn.format(t="dim_customer", c="customer_key")),
-        ("not_null_dim_customer_customer_id", nn.format(t="dim_customer", c="customer_id")),
+        ("expression_is_true_stg_orders_net_amount", f"SELECT 1 FROM {t['stg_orders']} WHERE NOT (net_amount >= 0)"),
+        ("unique_dim_customer_customer_key", uq.format(t=t["dim_customer"], c="customer_key")),
+        ("not_null_dim_customer_customer_key", nn.format(t=t["dim_customer"], c="customer_key")),
+        ("not_null_dim_customer_customer_id", nn.format(t=t["dim_customer"], c="customer_id")),
         ("accepted_values_dim_customer_loyalty_tier",
-         "SELECT loyalty_tier FROM dim_customer WHERE loyalty_tier NOT IN "
+         f"SELECT loyalty_tier FROM {t['dim_customer']} WHERE loyalty_tier NOT IN "
          "('BRONZE','SILVER','GOLD','PLATINUM','UNKNOWN') GROUP BY 1"),
-        ("unique_dim_restaurant_restaurant_key", uq.format(t="dim_restaurant", c="restaurant_key")),
-        ("not_null_dim_restaurant_restaurant_key", nn.format(t="dim_restaurant", c="restaurant_key")),
+        ("unique_dim_restaurant_restaurant_key", uq.format(t=t["dim_restaurant"], c="restaurant_key")),
+        ("not_null_dim_restaurant_restaurant_key", nn.format(t=t["dim_restaurant"], c="restaurant_key")),
         ("accepted_range_dim_restaurant_commission_pct",
-         "SELECT 1 FROM dim_restaurant WHERE commission_pct < 0 OR commission_pct > 50"),
-        ("unique_dim_date_date_key", uq.format(t="dim_date", c="date_key")),
-        ("not_null_dim_date_date_key", nn.format(t="dim_date", c="date_key")),
-        ("unique_fct_orders_order_id", uq.format(t="fct_orders", c="order_id")),
-        ("not_null_fct_orders_order_id", nn.format(t="fct_orders", c="order_id")),
-        ("relationships_fct_orders_date_key", rel.format(t="fct_orders", c="date_key", p="dim_date", f="date_key")),
-        ("not_null_fct_orders_customer_key", nn.format(t="fct_orders", c="customer_key")),
+         f"SELECT 1 FROM {t['dim_restaurant']} WHERE commission_pct < 0 OR commission_pct > 50"),
+        ("unique_dim_date_date_key", uq.format(t=t["dim_date"], c="date_key")),
+        ("not_null_dim_date_date_key", nn.format(t=t["dim_date"], c="date_key")),
+        ("unique_fct_orders_order_id", uq.format(t=t["fct_orders"], c="order_id")),
+        ("not_null_fct_orders_order_id", nn.format(t=t["fct_orders"], c="order_id")),
+        ("relationships_fct_orders_date_key", rel.format(t=t["fct_orders"], c="date_key", p=t["dim_date"], f="date_key")),
+        ("not_null_fct_orders_customer_key", nn.format(t=t["fct_orders"], c="customer_key")),
         ("relationships_fct_orders_customer_key",
-         rel.format(t="fct_orders", c="customer_key", p="dim_customer", f="customer_key")),
-        ("not_null_fct_orders_restaurant_key", nn.format(t="fct_orders", c="restaurant_key")),
+         rel.format(t=t["fct_orders"], c="customer_key", p=t["dim_customer"], f="customer_key")),
+        ("not_null_fct_orders_restaurant_key", nn.format(t=t["fct_orders"], c="restaurant_key")),
         ("relationships_fct_orders_restaurant_key",
-         rel.format(t="fct_orders", c="restaurant_key", p="dim_restaurant", f="restaurant_key")),
-        ("expression_is_true_fct_orders_net_amount", "SELECT 1 FROM fct_orders WHERE NOT (net_amount >= 0)"),
+         rel.format(t=t["fct_orders"], c="restaurant_key", p=t["dim_restaurant"], f="restaurant_key")),
+        ("expression_is_true_fct_orders_net_amount", f"SELECT 1 FROM {t['fct_orders']} WHERE NOT (net_amount >= 0)"),
         ("unique_combination_agg_daily_zone_metrics",
-         "SELECT order_date, zone FROM agg_daily_zone_metrics GROUP BY 1, 2 HAVING count(*) > 1"),
+         f"SELECT order_date, zone FROM {t['agg_daily_zone_metrics']} GROUP BY 1, 2 HAVING count(*) > 1"),
         ("accepted_range_agg_daily_zone_metrics_sla_hit_rate",
-         "SELECT 1 FROM agg_daily_zone_metrics WHERE sla_hit_rate < 0 OR sla_hit_rate > 1"),
+         f"SELECT 1 FROM {t['agg_daily_zone_metrics']} WHERE sla_hit_rate < 0 OR sla_hit_rate > 1"),
         ("unique_combination_agg_monthly_revenue_by_tier",
-         "SELECT month, loyalty_tier FROM agg_monthly_revenue_by_tier GROUP BY 1, 2 HAVING count(*) > 1"),
-        ("assert_fact_reconciles_with_staging", RECONCILE),
-        ("assert_late_arriving_restaurants_are_resolved", UNRESOLVED),
-        ("assert_scd2_versions_do_not_overlap", SCD2_OVERLAPS),
+         f"SELECT month, loyalty_tier FROM {t['agg_monthly_revenue_by_tier']} GROUP BY 1, 2 HAVING count(*) > 1"),
+        ("assert_fact_reconciles_with_staging", RECONCILE.format(stg=t["stg_orders"], fct=t["fct_orders"])),
+        ("assert_late_arriving_restaurants_are_resolved", UNRESOLVED.format(fct=t["fct_orders"])),
+        ("assert_scd2_versions_do_not_overlap", SCD2_OVERLAPS.format(versions=t["scd2_versions"])),
     ]
 
 
-def dq_summary_sql(severities: dict[str, str] | None = None) -> str:
-    sev = severities or {}
-    parts = [f"SELECT '{n}' AS check_name, '{sev.get(n, 'error')}' AS severity, "
-             f"(SELECT count(*) FROM ({q})) AS failures" for n, q in _dq_rows()]
-    body = "\nUNION ALL\n".join(parts)
-    return model_sql(body, extra=[DIM_DATE, DAILY, MONTHLY, SCD2_VERSIONS])
+CHECKED = ("raw_orders", "raw_customers", "raw_restaurants", "stg_orders", "dim_customer", "dim_restaurant", "dim_date", "fct_orders",
+           "agg_daily_zone_metrics", "agg_monthly_revenue_by_tier", "scd2_versions")
+
+
+def dq_summary_sql(suffix: str = "", extra: list[str] | None = None) -> str:
+    rows = _dq_rows({n: n + suffix for n in CHECKED})
+    body = "\nUNION ALL\n".join(f"SELECT '{n}' AS check_name, 'error' AS severity, (SELECT count(*) FROM ({q})) AS failures" for n, q in rows)
+    return model_sql(body, extra=[DIM_DATE, DAILY, MONTHLY, SCD2_VERSIONS, *(extra or [])])
+
+
+# Every checked table with planted violations of every kind (the rules of fixtures.violations).
+VIOLATIONS = [
+    """raw_orders_bad AS (
+  SELECT * REPLACE (if(CAST(order_id AS BIGINT) % 101 = 3, NULL, order_id) AS order_id,
+                    if(CAST(order_id AS BIGINT) % 103 = 4, NULL, updated_at) AS updated_at) FROM raw_orders)""",
+    "raw_customers_bad AS (SELECT * REPLACE (if(CAST(customer_id AS BIGINT) % 10 = 1, NULL, customer_id) AS customer_id) FROM raw_customers)",
+    "raw_restaurants_bad AS (SELECT * REPLACE (if(restaurant_id = '7', NULL, restaurant_id) AS restaurant_id) FROM raw_restaurants)",
+    """stg_orders_bad AS (
+  SELECT * REPLACE (if(CAST(order_id AS BIGINT) % 307 = 11, NULL, order_id) AS order_id,
+                    CASE WHEN CAST(order_id AS BIGINT) % 401 = 13 THEN 'LOST' WHEN CAST(order_id AS BIGINT) % 409 = 17 THEN 'BROKEN' ELSE status END AS status,
+                    if(CAST(order_id AS BIGINT) % 503 = 19, -1 - net_amount, net_amount) AS net_amount)
+  FROM (FROM stg_orders UNION ALL FROM stg_orders WHERE CAST(order_id AS BIGINT) % 211 = 7))""",
+    """dim_customer_bad AS (
+  SELECT * REPLACE (if(version_number = 3, NULL, customer_key) AS customer_key, if(version_number = 4, NULL, customer_id) AS customer_id,
+                    CASE version_number WHEN 5 THEN 'VIP' WHEN 6 THEN 'IRON' ELSE loyalty_tier END AS loyalty_tier)
+  FROM (FROM dim_customer UNION ALL FROM dim_customer WHERE version_number = 2))""",
+    """dim_restaurant_bad AS (
+  SELECT * REPLACE (if(version_number = 3, NULL, restaurant_key) AS restaurant_key,
+                    CASE version_number WHEN 4 THEN 75 WHEN 5 THEN -1 ELSE commission_pct END AS commission_pct)
+  FROM (FROM dim_restaurant UNION ALL FROM dim_restaurant WHERE version_number = 2))""",
+    """dim_date_bad AS (
+  SELECT * REPLACE (if(day_of_month = 4, NULL, date_key) AS date_key)
+  FROM (FROM dim_date UNION ALL FROM dim_date WHERE day_of_month = 3) WHERE day_of_month <> 5)""",
+    """fct_orders_bad AS (
+  SELECT * EXCLUDE (e) REPLACE (if(e % 307 = 12, NULL, order_id) AS order_id,
+                    CASE WHEN e % 311 = 3 THEN NULL WHEN e % 313 = 5 THEN 'nope' ELSE customer_key END AS customer_key,
+                    CASE WHEN e % 317 = 6 THEN NULL WHEN e % 331 = 7 THEN 'nope' ELSE restaurant_key END AS restaurant_key,
+                    if(e % 503 = 20, -1 - net_amount, net_amount) AS net_amount)
+  FROM (SELECT *, CAST(order_id AS BIGINT) AS e FROM (FROM fct_orders UNION ALL FROM fct_orders WHERE CAST(order_id AS BIGINT) % 211 = 8))
+  WHERE e % 601 <> 21)""",
+    """agg_daily_zone_metrics_bad AS (
+  SELECT * REPLACE (CASE zone WHEN 'Z4' THEN 1.5 WHEN 'Z5' THEN -0.5 ELSE sla_hit_rate END AS sla_hit_rate)
+  FROM (FROM agg_daily_zone_metrics UNION ALL FROM agg_daily_zone_metrics WHERE zone = 'Z3'))""",
+    """agg_monthly_revenue_by_tier_bad AS (
+  FROM agg_monthly_revenue_by_tier UNION ALL FROM agg_monthly_revenue_by_tier WHERE loyalty_tier = 'GOLD')""",
+    """scd2_versions_bad AS (
+  SELECT * EXCLUDE (version_number, is_current) REPLACE (
+           if(version_number % 3 = 1 AND NOT is_current, valid_to + INTERVAL 10 DAY, valid_to) AS valid_to)
+  FROM (SELECT 'customer' AS dim, customer_id AS natural_key, valid_from, valid_to, version_number, is_current FROM dim_customer
+        UNION ALL SELECT 'restaurant', restaurant_id, valid_from, valid_to, version_number, is_current FROM dim_restaurant)
+  WHERE version_number > 0)""",
+]
+
+
+def violations_sql(body: str) -> str:
+    """A query over the ``*_bad`` tables."""
+    return model_sql(body, extra=[DIM_DATE, DAILY, MONTHLY, SCD2_VERSIONS, *VIOLATIONS])
+
+
+PRUNING_ROWS = """
+SELECT query, (SELECT count(DISTINCT order_date) FROM fct_orders) AS dates_before, (SELECT count(*) FROM fct_orders) AS rows_before,
+       count(DISTINCT order_date) AS dates_after, count(*) AS rows_after,
+       1.0::DOUBLE - count(*)::DOUBLE / (SELECT count(*) FROM fct_orders) AS saved
+FROM (SELECT 'gmv_latest_day' AS query, order_date FROM fct_orders WHERE order_date = (SELECT max(order_date) FROM fct_orders)
+      UNION ALL SELECT 'orders_last7_one_restaurant', order_date FROM fct_orders WHERE order_date >= (SELECT max(order_date) - 7 FROM fct_orders)
+      UNION ALL SELECT 'net_full_scan', order_date FROM fct_orders)
+GROUP BY query"""
+
+# Pairs (a, b) of a key's versions with a starting first and reaching into b, counted for each b.
+OVERLAP_COUNTS = """
+SELECT b.dim, b.natural_key, b.valid_from, b.valid_to, count(*) AS pairs
+FROM {versions} b JOIN {versions} a
+  ON a.dim = b.dim AND a.natural_key = b.natural_key AND a.valid_from < b.valid_from AND a.valid_to > b.valid_from
+GROUP BY ALL"""
+
+# Point in time over overlapping versions: a row for every version that holds the order's time.
+OVERLAPPING_JOIN = """
+SELECT o.order_id, v.valid_from AS version_from, v.valid_to AS version_to
+FROM stg_orders o LEFT JOIN (FROM scd2_versions_bad WHERE dim = 'restaurant') v
+  ON v.natural_key = o.restaurant_id AND o.order_ts >= v.valid_from AND o.order_ts < v.valid_to"""
 
 
 # ----------------------------------------------------------- reports

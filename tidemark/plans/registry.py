@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.config import WarehouseConfig
-from tidemark.operators import checks, facts, history, reports
+from tidemark.operators import checks, facts, history, pit_join, reports
 from tidemark.operators.facts import FACT_COLUMNS
 from tidemark.plans import oracle as O
 from tidemark.plans import pipeline
 from tidemark.plans.catalog import Models
 from tidemark.session import work_dir
-from tidemark.sources import fixtures, landing, raw, storage
+from tidemark.sources import fixtures, landing, raw
 from tidemark.sources.schemas import HISTORY
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -75,8 +75,8 @@ def fct_orders_full(spark, sf_dir):
 
 @register("fct_orders_bucketed_join", O.model_sql(_select("fct_orders")))
 def fct_orders_bucketed_join(spark, sf_dir):
-    """The same fact through the large-dimension (bucketed) point-in-time join."""
-    return Models(spark, sf_dir, strategy="bucketed").fct_orders
+    """The same fact through the large-dimension (dyadic spans) point-in-time join."""
+    return Models(spark, sf_dir, strategy="spans").fct_orders
 
 
 @register("agg_daily_zone_metrics", O.model_sql(_select("agg_daily_zone_metrics"), extra=[O.DAILY]))
@@ -149,11 +149,10 @@ def fold_history(spark, sf_dir: str, entity: str, dense: bool = False):
     rows = Models(spark, sf_dir).raw[entity]
     if dense:
         rows = fixtures.dense_slices(rows, HISTORY[entity][0])
-    rows.write.mode("overwrite").partitionBy("_extract_date").parquet(cfg.raw_table(entity))
-    stored = raw.read(spark, cfg, entity)
-    days = _day_range(storage.partition_values(spark, cfg.raw_table(entity), "_extract_date"))
+    raw.replace(spark, cfg, entity, rows)
+    days = _day_range(raw.loaded_days(spark, cfg, entity))
     for d in days:
-        history.snapshot_day(spark, cfg, entity, d, stored)
+        history.snapshot_day(spark, cfg, entity, d, raw.read_days(spark, cfg, entity, [d]))
     return history.read_history(spark, cfg, entity, days[-1])
 
 
@@ -189,27 +188,27 @@ def incremental_warehouse(spark, sf_dir: str) -> WarehouseConfig:
 @register("fct_orders_incremental", O.model_sql(_select("fct_orders"), seeded=True))
 def fct_orders_incremental(spark, sf_dir):
     cfg = incremental_warehouse(spark, sf_dir)
-    return spark.read.parquet(cfg.mart("fct_orders")).select(*FACT_COLUMNS)
+    return pipeline.read(spark, cfg, "fct_orders").select(*FACT_COLUMNS)
 
 
 @register("pipeline_daily_zone_metrics",
           O.model_sql(_select("agg_daily_zone_metrics"), seeded=True, extra=[O.DAILY]))
 def pipeline_daily_zone_metrics(spark, sf_dir):
     cfg = incremental_warehouse(spark, sf_dir)
-    return spark.read.parquet(cfg.mart("agg_daily_zone_metrics"))
+    return pipeline.read(spark, cfg, "agg_daily_zone_metrics")
 
 
 @register("pipeline_monthly_revenue_by_tier",
           O.model_sql(_select("agg_monthly_revenue_by_tier"), seeded=True, extra=[O.MONTHLY]))
 def pipeline_monthly_revenue_by_tier(spark, sf_dir):
     cfg = incremental_warehouse(spark, sf_dir)
-    return spark.read.parquet(cfg.mart("agg_monthly_revenue_by_tier"))
+    return pipeline.read(spark, cfg, "agg_monthly_revenue_by_tier")
 
 
 @register("pipeline_dim_restaurant", O.model_sql(_select("dim_restaurant"), seeded=True))
 def pipeline_dim_restaurant(spark, sf_dir):
     cfg = incremental_warehouse(spark, sf_dir)
-    return spark.read.parquet(cfg.mart("dim_restaurant"))
+    return pipeline.read(spark, cfg, "dim_restaurant")
 
 
 def stored_fact(spark, sf_dir: str) -> WarehouseConfig:
@@ -221,7 +220,7 @@ def stored_fact(spark, sf_dir: str) -> WarehouseConfig:
 
 @register("fct_lookback_slice", O.model_sql(O.LOOKBACK_SLICE))
 def fct_lookback_slice(spark, sf_dir):
-    wm = facts.read_watermark(spark, stored_fact(spark, sf_dir))
+    wm = facts.watermark_of(pipeline.store(spark, stored_fact(spark, sf_dir)).snapshot())
     return facts.incremental_source(Models(spark, sf_dir).raw_orders, facts.lookback_cutoff(wm, O.LOOKBACK_DAYS))
 
 
@@ -232,7 +231,7 @@ def fct_full_refresh(spark, sf_dir):
     rows = Models(spark, sf_dir).fct_orders
     facts.full_refresh(spark, cfg, rows.withColumn("order_date", F.date_add("order_date", 400)))
     facts.full_refresh(spark, cfg, rows)
-    return spark.read.parquet(cfg.mart("fct_orders")).select(*FACT_COLUMNS)
+    return pipeline.read(spark, cfg, "fct_orders").select(*FACT_COLUMNS)
 
 
 # ----------------------------------------------------------------- checks
@@ -248,24 +247,74 @@ def dq_summary(spark, sf_dir):
     return checks.summary(_suite(spark, sf_dir))
 
 
-@register("dq_reconcile_fact", O.model_sql(O.RECONCILE))
+@register("dq_reconcile_fact", O.model_sql(O.RECONCILE.format(stg="stg_orders", fct="fct_orders")))
 def dq_reconcile_fact(spark, sf_dir):
     m = Models(spark, sf_dir)
     return checks.fact_reconciles_with_staging(m.stg_orders, m.fct_orders)
 
 
-@register("dq_unresolved_late", O.model_sql(O.UNRESOLVED))
+@register("dq_unresolved_late", O.model_sql(O.UNRESOLVED.format(fct="fct_orders")))
 def dq_unresolved_late(spark, sf_dir):
     m = Models(spark, sf_dir)
     return checks.late_restaurants_unresolved(m.fct_orders, O.LOOKBACK_DAYS)
 
 
-@register("dq_scd2_overlap", O.model_sql(O.SCD2_OVERLAPS, extra=[O.SCD2_VERSIONS]))
+@register("dq_scd2_overlap", O.model_sql(O.SCD2_OVERLAPS.format(versions="scd2_versions"), extra=[O.SCD2_VERSIONS]))
 def dq_scd2_overlap(spark, sf_dir):
     m = Models(spark, sf_dir)
     return checks.scd2_overlaps(checks.scd2_versions(m.dim_customer, m.dim_restaurant))
 
 
+def _planted(spark, sf_dir) -> dict:
+    return fixtures.violations(Models(spark, sf_dir, materialize=True))
+
+
+@register("dq_summary_planted", O.dq_summary_sql("_bad", O.VIOLATIONS))
+def dq_summary_planted(spark, sf_dir):
+    """All 31 checks over tables with violations of every kind."""
+    t = _planted(spark, sf_dir)
+    suite = checks.standard_suite({e: t[f"raw_{e}"] for e in ("orders", "customers", "restaurants")}, t["stg_orders"], t["dim_customer"],
+                                  t["dim_restaurant"], t["dim_date"], t["fct_orders"], t["agg_daily_zone_metrics"],
+                                  t["agg_monthly_revenue_by_tier"], O.LOOKBACK_DAYS, versions=t["scd2_versions"])
+    return checks.summary(suite)
+
+
+@register("dq_reconcile_planted", O.violations_sql(O.RECONCILE.format(stg="stg_orders_bad", fct="fct_orders_bad")))
+def dq_reconcile_planted(spark, sf_dir):
+    t = _planted(spark, sf_dir)
+    return checks.fact_reconciles_with_staging(t["stg_orders"], t["fct_orders"])
+
+
+@register("dq_overlap_planted", O.violations_sql(O.SCD2_OVERLAPS.format(versions="scd2_versions_bad")))
+def dq_overlap_planted(spark, sf_dir):
+    return checks.scd2_overlaps(_planted(spark, sf_dir)["scd2_versions"])
+
+
+@register("dq_overlap_pairs", O.violations_sql(O.OVERLAP_COUNTS.format(versions="scd2_versions_bad")))
+def dq_overlap_pairs(spark, sf_dir):
+    """Overlapping pairs of versions, counted by a sweep that forms none."""
+    return checks.overlap_pairs(_planted(spark, sf_dir)["scd2_versions"])
+
+
+def _orders_in_overlaps(spark, sf_dir, strategy: str):
+    m = Models(spark, sf_dir, materialize=True)
+    versions = fixtures.violations(m)["scd2_versions"].where("dim = 'restaurant'")
+    joined = pit_join.point_in_time_join(m.stg_orders, versions.withColumnRenamed("natural_key", "restaurant_id"), "restaurant_id", "order_ts",
+                                         {"version_from": "valid_from", "version_to": "valid_to"}, strategy=strategy)
+    return joined.select("order_id", "version_from", "version_to")
+
+
+@register("pit_join_overlapping_broadcast", O.violations_sql(O.OVERLAPPING_JOIN))
+def pit_join_overlapping_broadcast(spark, sf_dir):
+    """Orders with every version of their restaurant at order time, where versions overlap."""
+    return _orders_in_overlaps(spark, sf_dir, "broadcast")
+
+
+@register("pit_join_overlapping_spans", O.violations_sql(O.OVERLAPPING_JOIN))
+def pit_join_overlapping_spans(spark, sf_dir):
+    return _orders_in_overlaps(spark, sf_dir, "spans")
+
+
 @register("source_freshness", O.model_sql(O.FRESHNESS))
 def source_freshness(spark, sf_dir):
     m = Models(spark, sf_dir)
@@ -276,12 +325,12 @@ def source_freshness(spark, sf_dir):
 # ---------------------------------------------------------------- reports
 @register("gmv_latest_day", O.report_sql("gmv_latest_day"))
 def gmv_latest_day(spark, sf_dir):
-    return reports.gmv_latest_day(spark.read.parquet(stored_fact(spark, sf_dir).mart("fct_orders")))
+    return reports.gmv_latest_day(facts.read_fact(spark, stored_fact(spark, sf_dir)))
 
 
 @register("orders_last7_one_restaurant", O.report_sql("orders_last7_one_restaurant"))
 def orders_last7_one_restaurant(spark, sf_dir):
-    return reports.orders_last7_one_restaurant(spark.read.parquet(stored_fact(spark, sf_dir).mart("fct_orders")), "7")
+    return reports.orders_last7_one_restaurant(facts.read_fact(spark, stored_fact(spark, sf_dir)), "7")
 
 
 @register("net_full_scan", O.report_sql("net_full_scan"))
@@ -317,12 +366,17 @@ def latest_orders(spark, sf_dir):
 @register("pruning_report")
 def pruning_report(spark, sf_dir):
     """Bytes a scan must open, flat copy vs date-partitioned fact (no oracle: file sizes)."""
-    cfg = WarehouseConfig(root=work_dir(spark, "pruning"))
-    facts.full_refresh(spark, cfg, Models(spark, sf_dir).fct_orders)
-    part = spark.read.parquet(cfg.mart("fct_orders"))
-    flat_path = cfg.mart("fct_orders_unpartitioned")
-    part.write.mode("overwrite").parquet(flat_path)
-    return reports.pruning_report(part, spark.read.parquet(flat_path))
+    warehouse = pipeline.store(spark, stored_fact(spark, sf_dir))
+    txn = warehouse.begin()
+    txn.replace("fct_orders_unpartitioned", txn.read(facts.FACT))
+    txn.commit()
+    return reports.pruning_report(warehouse.files(facts.FACT), warehouse.files("fct_orders_unpartitioned"))
+
+
+@register("pruning_rows", O.model_sql(O.PRUNING_ROWS))
+def pruning_rows(spark, sf_dir):
+    """Dates and rows that the dashboard queries read of the date-partitioned fact."""
+    return reports.pruning_rows(facts.read_fact(spark, stored_fact(spark, sf_dir)))
 
 
 @register("rerun_idempotency", O.model_sql(O.RERUN, seeded=True))

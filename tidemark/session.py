@@ -25,6 +25,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.parquet.outputTimestampType": "TIMESTAMP_MICROS",
+    # A table is read by the folders of its current partitions: up to so many
+    # are listed by the driver instead of a job.
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "512",
 }
 
 
@@ -43,9 +46,6 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        # One machine: list partition folders in the driver instead of
-        # launching a listing job per read (a cluster keeps Spark's default).
-        .config("spark.sql.sources.parallelPartitionDiscovery.threshold", "4096")
         .config("spark.driver.memory", "8g")
     )
     for key, value in RUNTIME_CONF.items():

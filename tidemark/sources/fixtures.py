@@ -253,3 +253,57 @@ def dense_slices(extract: DataFrame, key: str, last_day: dt.date | None = None)
     spans = kept.withColumn("_until", F.coalesce(F.date_sub(nxt, 1), end))
     return spans.withColumn("_extract_date", F.explode(F.sequence("_extract_date", "_until"))) \
         .drop("_until")
+
+
+def violations(m) -> dict[str, DataFrame]:
+    """The checked tables of ``m`` with planted violations of every kind.
+
+    Rows are chosen by order number, version number, day of month, zone or
+    tier; ``m`` has the warehouse models as attributes.
+    """
+    def by(column: str, n: int, rest: int) -> Column:
+        return F.col(column).cast("bigint") % n == rest
+
+    def null_if(df: DataFrame, column: str, cond: Column) -> DataFrame:
+        return df.withColumn(column, F.when(cond, F.lit(None)).otherwise(F.col(column)))
+
+    def twice(df: DataFrame, cond) -> DataFrame:
+        return df.unionByName(df.where(cond))
+
+    def change(df: DataFrame, column: str, *cases: tuple) -> DataFrame:
+        value = F.col(column)
+        for cond, new in reversed(cases):
+            value = F.when(cond, new).otherwise(value)
+        return df.withColumn(column, value.cast(df.schema[column].dataType))
+
+    version = F.col("version_number")
+    out = {}
+    number = F.col("order_id").cast("bigint")
+    orders = m.raw["orders"].withColumn("e", number)
+    out["raw_orders"] = null_if(null_if(orders, "order_id", F.col("e") % 101 == 3), "updated_at", F.col("e") % 103 == 4).drop("e")
+    out["raw_customers"] = null_if(m.raw["customers"], "customer_id", by("customer_id", 10, 1))
+    out["raw_restaurants"] = null_if(m.raw["restaurants"], "restaurant_id", F.col("restaurant_id") == "7")
+    stg = twice(m.stg_orders, by("order_id", 211, 7)).withColumn("e", number)
+    stg = change(stg, "status", (F.col("e") % 401 == 13, F.lit("LOST")), (F.col("e") % 409 == 17, F.lit("BROKEN")))
+    stg = change(stg, "net_amount", (F.col("e") % 503 == 19, -1 - F.col("net_amount")))
+    out["stg_orders"] = null_if(stg, "order_id", F.col("e") % 307 == 11).drop("e")
+    customer = twice(m.dim_customer, "version_number = 2")
+    customer = null_if(null_if(customer, "customer_key", version == 3), "customer_id", version == 4)
+    out["dim_customer"] = change(customer, "loyalty_tier", (version == 5, F.lit("VIP")), (version == 6, F.lit("IRON")))
+    restaurant = null_if(twice(m.dim_restaurant, "version_number = 2"), "restaurant_key", version == 3)
+    out["dim_restaurant"] = change(restaurant, "commission_pct", (version == 4, F.lit(75)), (version == 5, F.lit(-1)))
+    out["dim_date"] = null_if(twice(m.dim_date, "day_of_month = 3").where("day_of_month <> 5"), "date_key", F.col("day_of_month") == 4)
+    e = F.col("e")
+    fct = twice(m.fct_orders, by("order_id", 211, 8)).withColumn("e", number).where(e % 601 != 21)
+    fct = change(fct, "customer_key", (e % 311 == 3, F.lit(None)), (e % 313 == 5, F.lit("nope")))
+    fct = change(fct, "restaurant_key", (e % 317 == 6, F.lit(None)), (e % 331 == 7, F.lit("nope")))
+    fct = change(fct, "net_amount", (e % 503 == 20, -1 - F.col("net_amount")))
+    out["fct_orders"] = null_if(fct, "order_id", e % 307 == 12).drop("e")
+    out["agg_daily_zone_metrics"] = change(twice(m.agg_daily_zone_metrics, "zone = 'Z3'"), "sla_hit_rate",
+                                           (F.col("zone") == "Z4", F.lit(1.5)), (F.col("zone") == "Z5", F.lit(-0.5)))
+    out["agg_monthly_revenue_by_tier"] = twice(m.agg_monthly_revenue_by_tier, "loyalty_tier = 'GOLD'")
+    both = [d.where(version > 0).select(F.lit(n).alias("dim"), F.col(f"{n}_id").alias("natural_key"), "valid_from", "valid_to", "version_number", "is_current")
+            for n, d in (("customer", m.dim_customer), ("restaurant", m.dim_restaurant))]
+    longer = F.when((version % 3 == 1) & ~F.col("is_current"), F.timestamp_add("DAY", F.lit(10), F.col("valid_to"))).otherwise(F.col("valid_to"))
+    out["scd2_versions"] = both[0].unionByName(both[1]).withColumn("valid_to", longer).drop("version_number", "is_current")
+    return out
