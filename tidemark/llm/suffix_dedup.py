@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import text as X
-from tidemark.llm.chunks import NO_ID, bucket_bits, chunked, cuts, unpacked
+from tidemark.llm.chunks import NO_ID, bucket_bits, chunked, cuts, one_by_one, unpacked
 from tidemark.llm.tables import discard, pack_sorted, planes, stored, unpack_sorted, unplaned
 
 LENGTH = 100
@@ -50,7 +50,7 @@ def stretches(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
     found: list[tuple[np.ndarray, ...]] = []
     for i, j in X.slices(offsets, CACHE_BYTES):
         base = offsets[i]
-        spans = X.SpanHash(data[base:offsets[j]])
+        spans = X.SpanHash(data[base:offsets[j]], longest=2 * LENGTH)  # a stretch is shorter
         grams = spans.rolling(ANCHOR)
         if not len(grams):
             continue
@@ -190,19 +190,18 @@ def _publish(bits: int):
     """Per shard: a run of distinct stretches and one of distinct anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk in batch.to_pylist():
-                data, offsets = unpacked(chunk)
-                s = stretches(data, offsets)
-                keys, at = first_of(s["text"])
-                rows = list(_runs(STRETCH, chunk["batch"], keys, bits, _owners(s["first"][at], chunk, offsets)))
-                order = np.lexsort((s["text"], s["anchor"]))
-                anchor, text = s["anchor"][order], s["text"][order]
-                head = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1]))) if len(anchor) else np.zeros(0, np.int64)
-                tail = np.append(head[1:], len(anchor))[:len(head)] - 1
-                # The order of stretch hashes only has to tell one from several.
-                rows += _runs(ANCHORS, chunk["batch"], anchor[head], bits, text[head] >> np.uint64(16), (text[tail] >> np.uint64(16)) - (text[head] >> np.uint64(16)))
-                yield _batch(rows, _RUN_TYPES, _RUN)
+        for chunk in one_by_one(batches):
+            data, offsets = unpacked(chunk)
+            s = stretches(data, offsets)
+            keys, at = first_of(s["text"])
+            rows = list(_runs(STRETCH, chunk["batch"], keys, bits, _owners(s["first"][at], chunk, offsets)))
+            order = np.lexsort((s["text"], s["anchor"]))
+            anchor, text = s["anchor"][order], s["text"][order]
+            head = np.flatnonzero(np.concatenate(([True], anchor[1:] != anchor[:-1]))) if len(anchor) else np.zeros(0, np.int64)
+            tail = np.append(head[1:], len(anchor))[:len(head)] - 1
+            # The order of stretch hashes only has to tell one from several.
+            rows += _runs(ANCHORS, chunk["batch"], anchor[head], bits, text[head] >> np.uint64(16), (text[tail] >> np.uint64(16)) - (text[head] >> np.uint64(16)))
+            yield _batch(rows, _RUN_TYPES, _RUN)
 
     return run
 
@@ -260,7 +259,7 @@ def _window_flags(first: np.ndarray, last: np.ndarray, size: int) -> np.ndarray:
     change = np.zeros(size + 1, np.int32)
     np.add.at(change, first, 1)
     np.add.at(change, last + 1, -1)
-    return np.cumsum(change)[:-1] > 0
+    return np.cumsum(change, dtype=np.int32)[:-1] > 0
 
 
 def window_classes(data: np.ndarray, windows: np.ndarray) -> np.ndarray:
@@ -282,25 +281,25 @@ def _sort_windows(bits: int):
     """Per shard: a run of window classes, and the flags of their first windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for chunk in batch.to_pylist():
-                data, offsets = unpacked(chunk)
-                s = stretches(data, offsets)
-                _, compare = _candidates(s, chunk)
-                windows = _window_flags(s["first"][compare], s["last"][compare], len(data))
-                first = window_classes(data, windows)
-                flags = np.zeros(len(data), bool)
-                flags[first] = True
-                keys, at = first_of(_fingerprints(data, first))
-                rows = list(_runs(CLASS, chunk["batch"], keys, bits, _owners(first[at], chunk, offsets)))
-                rows.append((FIRST, 0, chunk["batch"], int(windows.sum()), np.packbits(flags[windows]).tobytes(), b""))
-                yield _batch(rows, _RUN_TYPES, _RUN)
+        for chunk in one_by_one(batches):
+            data, offsets = unpacked(chunk)
+            s = stretches(data, offsets)
+            _, compare = _candidates(s, chunk)
+            windows = _window_flags(s["first"][compare], s["last"][compare], len(data))
+            del s
+            first = window_classes(data, windows)
+            flags = np.zeros(len(data), bool)
+            flags[first] = True
+            keys, at = first_of(_fingerprints(data, first))
+            rows = list(_runs(CLASS, chunk["batch"], keys, bits, _owners(first[at], chunk, offsets)))
+            rows.append((FIRST, 0, chunk["batch"], int(windows.sum()), np.packbits(flags[windows]).tobytes(), b""))
+            yield _batch(rows, _RUN_TYPES, _RUN)
 
     return run
 
 
 def _fingerprints(data: np.ndarray, positions: np.ndarray) -> np.ndarray:
-    return X.SpanHash(data)(positions, positions + LENGTH) if len(positions) else np.zeros(0, np.uint64)
+    return X.SpanHash(data, longest=LENGTH)(positions, positions + LENGTH) if len(positions) else np.zeros(0, np.uint64)
 
 
 def removed_bytes(chunk: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -319,7 +318,7 @@ def removed_bytes(chunk: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndar
 def _finish():
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for k, chunk in enumerate(batch.select(["batch", "doc_ids", "lengths", "payload", "answers"]).to_pylist()):
+            for k, chunk in enumerate(one_by_one([batch.select(["batch", "doc_ids", "lengths", "payload", "answers"])])):
                 data, offsets = unpacked(chunk)
                 gone = removed_bytes(chunk, data, offsets)
                 start = gone.copy()

@@ -29,6 +29,7 @@ def discard(*tables: DataFrame) -> None:
 def prepare(spark: SparkSession) -> None:
     """Keep Arrow batches small, so that long texts do not add up in one batch."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
