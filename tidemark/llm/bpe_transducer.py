@@ -4,13 +4,23 @@ A token boundary depends on the text behind it only through chains of merges
 of falling rank. :func:`sufficient_lookahead` computes from the merge list the
 longest such chain in bytes. So the transducer keeps a short buffer, encodes
 it, and emits every token that ends at least that far before the buffer's end:
-those tokens are final whatever follows. Memory does not grow with the word.
+those tokens are final whatever follows.
+
+A word's end settles all its tokens. So words that fit into the buffer need no
+lookahead, and :class:`Lanes` merges many of them side by side: in each step
+every word makes its merge of lowest rank. Longer words stream. Texts are read
+in blocks cut at white space; the distinct new words of a block are encoded
+together and kept in a memo of two generations, so frequent words stay.
 
 Decoding feeds the tokens' bytes to an incremental byte-to-text machine that
 holds at most one unfinished character.
 
+Memory: beside the text itself a block of ``BLOCK_CHARS`` and the memo, for
+words and texts of any length.
+
 Defined cases: null and empty texts have no tokens; white space is dropped;
-repeated rows are encoded one by one; an empty table gives an empty result.
+repeated rows are encoded one by one; an empty table gives an empty result;
+other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -21,21 +31,31 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from dataclasses import dataclass, field
+from functools import lru_cache
+from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK = 64
-MEMO = 120_000
+#: Entries of each of the memo's two generations, and the longest piece in it.
+MEMO = 90_000
 LONGEST_MEMO = 64
+#: Characters of a block of text, and tokens or characters of a piece that goes to the digests in parts.
+BLOCK_CHARS = 1 << 20
+LONG = 4096
 WORD_END = "</w>"
 
 #: The white space that the normaliser folds, and the
 #: pre-tokenizer's pattern (from the tokenizer's file).
 _BLANK = re.compile("[\t-\r \x85\xa0  -     　]+")
 
+_CUT = re.compile("[ \t\n\r]")
+
 
 def byte_alphabet() -> list[str]:
     """The printable character that stands for each byte in a byte-level vocabulary."""
@@ -105,6 +125,53 @@ class Transducer:
         yield from self.merged(held)
 
 
+class Lanes:
+    """Merges of many short words at once, one word a lane."""
+
+    NEVER = np.int32(1 << 30)
+
+    def __init__(self, vocab: dict[str, int], merges: list[tuple[str, str]], alphabet: list[str]):
+        self.plain = np.array([vocab[c] for c in alphabet], np.int64)
+        self.final = np.array([vocab[c + WORD_END] for c in alphabet], np.int64)
+        pairs = np.array([vocab[a] << 32 | vocab[b] for a, b in merges], np.int64)
+        order = np.argsort(pairs, kind="stable")
+        self.pairs, self.rank_of = pairs[order], order.astype(np.int32)
+        self.result = np.array([vocab[a + b] for a, b in merges], np.int64)
+
+    def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pair = left << 32 | right
+        at = np.minimum(np.searchsorted(self.pairs, pair), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == pair, self.rank_of[at], self.NEVER)
+
+    def encode(self, words: list[bytes]) -> list[list[int]]:
+        """Token ids of each word (not empty), lowest rank first, left to right."""
+        out: list[list[int]] = [[]] * len(words)
+        lengths = np.array([len(w) for w in words])
+        for length in np.unique(lengths).tolist():
+            row = np.flatnonzero(lengths == length)
+            raw = np.frombuffer(b"".join([words[i] for i in row]), np.uint8).reshape(-1, length)
+            tokens = np.concatenate((self.plain[raw[:, :-1]], self.final[raw[:, -1:]]), axis=1)
+            ranks = self._ranks(tokens[:, :-1], tokens[:, 1:])
+            while len(row):
+                width = tokens.shape[1]
+                k = ranks.argmin(axis=1) if width > 1 else np.zeros(len(row), np.int64)
+                best = ranks[np.arange(len(row)), k] if width > 1 else np.full(len(row), self.NEVER)
+                done = best == self.NEVER
+                for i, ids in zip(row[done].tolist(), tokens[done].tolist(), strict=True):
+                    out[i] = ids
+                row, tokens, ranks, k, best = row[~done], tokens[~done], ranks[~done], k[~done], best[~done]
+                if not len(row):
+                    break
+                lane, at = np.arange(len(row)), k[:, None]
+                tokens[lane, k] = self.result[best]
+                tokens = np.where(np.arange(width - 1) > at, tokens[:, 1:], tokens[:, :-1])
+                ranks = np.where(np.arange(width - 2) >= at, ranks[:, 1:], ranks[:, :-1])
+                for near in (k - 1, k):  # the two pairs that hold the new token
+                    has = np.flatnonzero((near >= 0) & (near < width - 2))
+                    ranks[has, near[has]] = self._ranks(tokens[has, near[has]], tokens[has, near[has] + 1])
+        return out
+
+
 class Decoder:
     """Bytes of tokens to text, one token at a time."""
 
@@ -118,6 +185,19 @@ class Decoder:
         return self.machine.decode(b"", True)
 
 
+@dataclass
+class Memo:
+    """Decimal ids and decoded tokens by piece."""
+
+    ids: dict[str | int, bytes] = field(default_factory=dict)
+    decoded: dict[str | int, bytes] = field(default_factory=dict)
+
+    def forget(self, pieces: Iterable[str | int]) -> None:
+        for p in pieces:
+            self.ids.pop(p, None)
+            self.decoded.pop(p, None)
+
+
 class WordTokenizer:
     """A tokenizer file with BPE and word ends: text to ids and back.
 
@@ -138,9 +218,12 @@ class WordTokenizer:
         back = {c: b for b, c in enumerate(self.alphabet)}
         self.bytes_of = {i: bytes(back[c] for c in t.removesuffix(WORD_END)) + b" " * t.endswith(WORD_END) for t, i in self.vocab.items()}
         self.bytes_of |= {i: t.encode() for t, i in self.special.items()}
-        self.decoder = Decoder(self.surface_of)
-        self.memo: dict[str, tuple[bytes, bytes]] = {}
-        self.word_memo: dict[str, tuple[bytes, bytes]] = {}
+        size = max(self.surface_of) + 1
+        self.decimal = [b"%d" % i for i in range(size)]
+        self.shown_as = [self.surface_of.get(i, b"") for i in range(size)]
+        self.lanes = Lanes(self.vocab, list(self.transducer.ranks), self.alphabet)
+        self.widest = self.transducer.block + self.transducer.lookahead
+        self.young, self.old = Memo(), Memo()
 
     def _symbols(self, word: str) -> Iterator[str]:
         """Byte symbols of a pre-token, the last one with the word end."""
@@ -149,27 +232,45 @@ class WordTokenizer:
             yield self.alphabet[b]
         yield self.alphabet[raw[-1]] + WORD_END
 
-    def _word(self, word: str) -> tuple[bytes, bytes]:
-        got = self.word_memo.get(word)
-        if got is None:
-            got = self._shown([self.vocab[t] for t in self.transducer.encode(self._symbols(word))])
-            if len(word) <= LONGEST_MEMO:
-                if len(self.word_memo) >= MEMO:
-                    self.word_memo.clear()
-                self.word_memo[word] = got
-        return got
-
-    def _piece(self, piece: str) -> tuple[bytes, bytes]:
-        """What a run without white space becomes; a run of letters is one pre-token."""
-        if piece.isalpha():
-            return self._word(piece)
-        shown = [self._word(w) for w in self.words.findall(piece)]
-        return b" ".join(s[0] for s in shown), b" ".join(s[1] for s in shown)
-
-    def _shown(self, ids: Iterable[int]) -> tuple[bytes, bytes]:
+    def _shown(self, ids: list[int]) -> tuple[bytes, bytes]:
         """Decimal ids, and the decoded tokens, each joined by spaces."""
-        ids, feed = list(ids), self.decoder.feed
-        return b" ".join([b"%d" % i for i in ids]), " ".join([feed(i) for i in ids]).encode()
+        return b" ".join(map(self.decimal.__getitem__, ids)), b" ".join(map(self.shown_as.__getitem__, ids))
+
+    def _stream(self, words: Iterable[str]) -> Iterator[list[int]]:
+        """Ids of words of any length, at most ``LONG`` at a time."""
+        held: list[int] = []
+        for word in words:
+            for token in self.transducer.encode(self._symbols(word)):
+                held.append(self.vocab[token])
+                if len(held) == LONG:
+                    yield held
+                    held = []
+        yield held
+
+    def _learn(self, pieces: list[str]) -> set[str | int]:
+        """Add new pieces (runs without white space) and their words; a run of letters is one pre-token.
+
+        Returns those that are too long to be kept.
+        """
+        mixed = {p: self.words.findall(p) for p in pieces if not p.isalpha()}
+        ids, decoded = self.young.ids, self.young.decoded
+        words = list({*filter(str.isalpha, pieces), *chain.from_iterable(mixed.values())} - ids.keys())
+        raw = [w.encode() for w in words]
+        wide = [k for k, r in enumerate(raw) if len(r) > self.widest]
+        for k in wide:
+            raw[k] = b"-"  # goes by the stream below
+        tokens = self.lanes.encode(raw)
+        for k in wide:
+            tokens[k] = [i for part in self._stream([words[k]]) for i in part]
+        decimal, shown_as = self.decimal.__getitem__, self.shown_as.__getitem__
+        for word, t in zip(words, tokens, strict=True):
+            if len(t) == 1:
+                ids[word], decoded[word] = decimal(t[0]), shown_as(t[0])
+            else:
+                ids[word], decoded[word] = b" ".join(map(decimal, t)), b" ".join(map(shown_as, t))
+        for p, ws in mixed.items():
+            ids[p], decoded[p] = b" ".join([ids[w] for w in ws]), b" ".join([decoded[w] for w in ws])
+        return {p for p in chain(words, mixed) if len(p) > LONGEST_MEMO}
 
     def _normal(self, text: str) -> str:
         if not text.isascii():
@@ -181,39 +282,97 @@ class WordTokenizer:
             return [p for p in _BLANK.split(text) if p]
         return text.split()
 
-    def parts(self, text: str) -> Iterator[list[tuple[bytes, bytes]]]:
-        """(ids, surface) of the pieces of a text, in order."""
-        for k, part in enumerate(self.split_special.split(text) if "<|" in text else [text]):
-            if k % 2:
-                yield [self._shown([self.special[part]])]
-                continue
-            pieces = self._pieces(self._normal(part))
-            new = {p for p in pieces if p not in self.memo}
-            if len(self.memo) + len(new) > MEMO:
-                self.memo.clear()
-                new = set(pieces)
-            long = {}
-            for p in new:
-                (self.memo if len(p) <= LONGEST_MEMO else long)[p] = self._piece(p)
-            yield [self.memo[p] if p in self.memo else long[p] for p in pieces] if long else [self.memo[p] for p in pieces]
+    def _blocks(self, text: str) -> Iterator[list[str | int]]:
+        """Pieces and special ids of blocks of a text, which end at white space."""
+        at = 0
+        while at < len(text):
+            end = len(text)
+            if end - at > BLOCK_CHARS and (cut := _CUT.search(text, at + BLOCK_CHARS)):
+                end = cut.end()
+            block, at = text[at:end], end
+            out: list[str | int] = []
+            for k, part in enumerate(self.split_special.split(block) if "<|" in block else [block]):
+                out += [self.special[part]] if k % 2 else self._pieces(self._normal(part))
+            yield out
+
+    def _remember(self, pieces: set[str | int]) -> set[str | int]:
+        """Bring what the pieces become into the young memo; pieces over ``LONG`` stay out.
+
+        Returns the pieces to forget after use.
+        """
+        if len(self.young.ids) > MEMO:
+            self.old, self.young = self.young, Memo()
+        new = pieces - self.young.ids.keys()
+        for p in new & self.old.ids.keys():
+            self.young.ids[p], self.young.decoded[p] = self.old.ids[p], self.old.decoded[p]
+        new -= self.young.ids.keys()
+        special = {p for p in new if isinstance(p, int)}
+        for p in special:
+            self.young.ids[p], self.young.decoded[p] = self._shown([p])
+        new -= special
+        return self._learn([p for p in new if len(p) <= LONG])
+
+    def _parts(self, block: list[str | int]) -> Iterator[tuple[bytes, bytes]]:
+        """Ids and decoded tokens of a block of remembered pieces; of pieces over ``LONG`` in parts."""
+        known = self.young
+        try:
+            ids = list(map(known.ids.__getitem__, block))
+        except KeyError:
+            ids = []
+        if ids and all(ids):
+            yield b" ".join(ids), b" ".join(map(known.decoded.__getitem__, block))
+            return
+        for p in block:
+            if p in known.ids:
+                yield known.ids[p], known.decoded[p]
+            else:
+                yield from map(self._shown, self._stream(m.group() for m in self.words.finditer(p)))
+
+    def digests(self, texts: Iterable[str]) -> Iterator[tuple[int, str, str]]:
+        """(number of tokens, hash of the ids, hash of the decoded text) of each text."""
+        waiting: list[list[str | int] | None] = []  # blocks; None ends a text
+        held, open_ = 0, Digest()
+
+        def flush() -> Iterator[tuple[int, str, str]]:
+            nonlocal open_
+            passing = self._remember(set().union(*filter(None, waiting)))
+            for block in waiting:
+                if block is None:
+                    yield open_.result()
+                    open_ = Digest()
+                else:
+                    for ids, decoded in self._parts(block):
+                        open_.add(ids, decoded)
+            waiting.clear()
+            self.young.forget(passing)
+
+        for text in texts:
+            for block in self._blocks(text):
+                waiting.append(block)
+                held += len(block)
+                if held > BLOCK_CHARS // 8:
+                    yield from flush()
+                    held = 0
+            waiting.append(None)
+            held += 1
+        yield from flush()
 
     def digest(self, text: str) -> tuple[int, str, str]:
-        """(number of tokens, hash of the ids, hash of the decoded text)."""
-        ids, decoded, n, gap = hashlib.sha256(), hashlib.sha256(), 0, b""
-        for part in self.parts(text):
-            shown = b" ".join(p[0] for p in part if p[0])
-            if shown:
-                ids.update(gap + shown)
-                decoded.update(gap + b" ".join(p[1] for p in part if p[0]))
-                n, gap = n + shown.count(b" ") + 1, b" "
-        return n, ids.hexdigest(), decoded.hexdigest()
+        return next(self.digests([text]))
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for part in self.parts(text) for p in part for i in p[0].split()]
+        out: list[int] = []
+        for block in self._blocks(text):
+            passing = self._remember(set(block))
+            for ids, _ in self._parts(block):
+                out += map(int, ids.split())
+            self.young.forget(passing)
+        return out
 
     def decode(self, ids: Iterable[int]) -> str:
         """Tokens joined by spaces, as a file without a decoder says."""
-        return self._shown(ids)[1].decode()
+        feed = Decoder(self.surface_of).feed
+        return " ".join([feed(i) for i in ids])
 
     def plain(self, ids: Iterable[int]) -> str:
         """The normalised text, words separated by single spaces."""
@@ -221,11 +380,33 @@ class WordTokenizer:
         return ("".join(map(decoder.feed, ids)) + decoder.close()).rstrip(" ")
 
 
+class Digest:
+    """Hashes of ids and decoded tokens that come piece by piece."""
+
+    def __init__(self):
+        self.ids, self.decoded, self.n, self.gap = hashlib.sha256(), hashlib.sha256(), 0, b""
+
+    def add(self, ids: bytes, decoded: bytes) -> None:
+        if ids:
+            self.ids.update(self.gap + ids)
+            self.decoded.update(self.gap + decoded)
+            self.n, self.gap = self.n + ids.count(b" ") + 1, b" "
+
+    def result(self) -> tuple[int, str, str]:
+        return self.n, self.ids.hexdigest(), self.decoded.hexdigest()
+
+
+@lru_cache(maxsize=1)
+def word_tokenizer(path: str) -> WordTokenizer:
+    """One tokenizer for each worker process, so that tasks share its memo."""
+    return WordTokenizer(path)
+
+
 def _digests(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokenizer = WordTokenizer(path)
+        tokenizer = word_tokenizer(path)
         for batch in batches:
-            found = [tokenizer.digest(t.as_py() or "") for t in batch.column("text")]
+            found = list(tokenizer.digests(t.as_py() or "" for t in batch.column("text")))
             n, ids, decoded = zip(*found, strict=True) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(decoded, pa.string())],
