@@ -14,6 +14,7 @@ from tidemark.operators.facts import FACT_COLUMNS
 from tidemark.plans import oracle as O
 from tidemark.plans import pipeline
 from tidemark.plans.catalog import Models
+from tidemark.plans.concurrency import run_all
 from tidemark.session import work_dir
 from tidemark.sources import fixtures, landing, raw
 from tidemark.sources.schemas import HISTORY
@@ -109,12 +110,10 @@ def land_fixtures(spark, sf_dir: str, seeded: bool, name: str) -> WarehouseConfi
     """Land every derived extract day of ``sf_dir`` (all entities land every day)."""
     cfg = WarehouseConfig(root=work_dir(spark, name))
     ex = fixtures.extracts(Models(spark, sf_dir, seeded).events, seeded)
-    days = set()
-    for df in ex.values():
-        days |= {r[0] for r in df.select("_extract_date").distinct().collect()}  # one row per day
-    all_days = _day_range(sorted(days))
-    for entity, df in ex.items():
-        landing.write_extracts(spark, cfg, entity, df, days=all_days)
+    landed = run_all({e: (lambda e=e, df=df: landing.write_extracts(spark, cfg, e, df)) for e, df in ex.items()})
+    for entity, days in landed.items():
+        for d in set(_day_range(sorted({d for of in landed.values() for d in of}))) - set(days):
+            landing.mark(spark, cfg, entity, d)  # landed empty
     return cfg
 
 
