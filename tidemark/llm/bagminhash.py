@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import text as X
 from tidemark.llm.components import components
-from tidemark.llm.tables import discard, pack_sorted, stored, unpack_sorted
+from tidemark.llm.tables import discard, lean, pack_sorted, stored, unpack_sorted
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -236,7 +236,7 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``doc_id, node`` of every document, and ``node, label`` of linked texts."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.md5(F.encode(text, "UTF-8"))).alias("node"))
-    signed = stored(keyed.mapInArrow(_signed, "doc_id long, node binary, words long, bands array<long>, registers binary"), "signatures")
+    signed = stored(keyed.mapInArrow(lean(_signed), "doc_id long, node binary, words long, bands array<long>, registers binary"), "signatures")
 
     # One row per distinct text with words, and the document that lends it.
     texts = stored(signed.where("words > 0").groupBy("node")
@@ -248,7 +248,7 @@ def near_duplicates(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     star = crowd.where("node != least").select(F.col("least").alias("u"), F.col("node").alias("v")).distinct()
     wanted = texts.select("node", "doc_id").join(crowd.select("node").distinct(), "node")
     lent = keyed.join(wanted, (keyed["node"] == wanted["node"]) & keyed["doc_id"].eqNullSafe(wanted["doc_id"]), "left_semi")
-    sets = stored(lent.select("node", "text").mapInArrow(_sets, "node binary, elements binary")
+    sets = stored(lent.select("node", "text").mapInArrow(lean(_sets), "node binary, elements binary")
                   .groupBy("node").agg(F.first("elements").alias("elements")), "elements")
     links = stored(_verified(_likely(star, texts), sets), "links")
 
@@ -285,7 +285,7 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose exact multiset overlap reaches the threshold."""
     return (pairs.join(sets.select(F.col("node").alias("v"), F.col("elements").alias("v_elements")), "v")
             .join(sets.select(F.col("node").alias("u"), F.col("elements").alias("u_elements")), "u")
-            .mapInArrow(_verify, "u binary, v binary"))
+            .mapInArrow(lean(_verify), "u binary, v binary"))
 
 
 def classes(docs: DataFrame) -> DataFrame:

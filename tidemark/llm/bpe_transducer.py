@@ -41,6 +41,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.tables import lean
+
 BLOCK = 64
 #: Entries of each of the memo's two generations, and the longest piece in it.
 MEMO = 90_000
@@ -418,4 +420,4 @@ def _digests(path: str):
 def token_digests(docs: DataFrame, tokenizer_path: str) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` of every whole text."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_digests(tokenizer_path), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")
+    return rows.mapInArrow(lean(_digests(tokenizer_path)), "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string")

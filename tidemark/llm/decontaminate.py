@@ -30,6 +30,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+
+from tidemark.llm.tables import lean
 from pyspark.sql import types as T
 
 from tidemark.llm import text as X
@@ -272,7 +274,7 @@ def item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int | None, str | N
 def _matched(docs: DataFrame, carry: list[str], items: list[tuple[int | None, str | None]]) -> DataFrame:
     source = docs.select(F.struct(*(F.col(f"`{c}`") for c in carry)).alias("row"), F.col("text").cast("string").alias("text"))
     match = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("edits", T.IntegerType()), T.StructField("item_bytes", T.IntegerType())]))
-    return source.mapInArrow(_search(items), T.StructType([source.schema["row"], T.StructField("matches", match)]))
+    return source.mapInArrow(lean(_search(items)), T.StructType([source.schema["row"], T.StructField("matches", match)]))
 
 
 def contaminations(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

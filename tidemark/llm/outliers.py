@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import text as X
-from tidemark.llm.tables import discard, stored
+from tidemark.llm.tables import discard, lean, stored
 
 #: Characters counted as symbols.
 SYMBOLS = b"#*$%&|<>"
@@ -134,7 +134,7 @@ def statistics(docs: DataFrame, carry: list[str]) -> DataFrame:
     values = (F.log(n), F.log(F.greatest(F.col("word_chars"), F.lit(1)) / n), F.log(1 + 20 * F.col("n_symbols") / n),
               F.log(1 + 20 * F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1))), F.col("n_repeat_words") / n,
               F.log(F.greatest(F.col("n_run"), F.lit(1))))
-    return (source.mapInArrow(_measure, schema).withColumn("base_failed", failed)
+    return (source.mapInArrow(lean(_measure), schema).withColumn("base_failed", failed)
             .withColumns({f"x{k}": v for k, v in enumerate(values)}))
 
 

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm import text as X
 from tidemark.llm.chunks import NO_ID, bucket_bits, chunked, cuts, one_by_one, unpacked
-from tidemark.llm.tables import discard, pack_sorted, planes, stored, unpack_sorted, unplaned
+from tidemark.llm.tables import discard, lean, pack_sorted, planes, stored, unpack_sorted, unplaned
 
 LENGTH = 100
 ANCHOR = 24
@@ -344,9 +344,9 @@ def remove_repeats(docs: DataFrame, carry: list[str]) -> DataFrame:
     bits = bucket_bits(chunks, bytes_per_entry=39)
     merged = lambda runs: runs.groupBy("kind", "bucket").applyInArrow(_merge, _BITS)
     plain = chunks.select("batch", "doc_ids", "lengths", "payload")
-    first = stored(merged(plain.mapInArrow(_publish(bits), _RUN)), "answers")
+    first = stored(merged(plain.mapInArrow(lean(_publish(bits)), _RUN)), "answers")
     answered = lambda a: a.groupBy("batch").agg(F.collect_list(F.struct("kind", "bucket", "n", "bits")).alias("answers"))
-    runs = stored(plain.join(answered(first), "batch", "left").mapInArrow(_sort_windows(bits), _RUN), "windows")
+    runs = stored(plain.join(answered(first), "batch", "left").mapInArrow(lean(_sort_windows(bits)), _RUN), "windows")
     flags = runs.where(F.col("kind") == FIRST).select("kind", "bucket", "batch", "n", F.col("keys").alias("bits"))
     second = stored(merged(runs.where(F.col("kind") == CLASS)).union(flags), "answers")
     discard(runs)
@@ -354,7 +354,7 @@ def remove_repeats(docs: DataFrame, carry: list[str]) -> DataFrame:
                            *(T.StructField(n, T.LongType()) for n in ("n_bytes", "n_removed", "n_spans")),
                            T.StructField("kept_sha256", T.StringType()), T.StructField("kept_text", T.StringType())])
     return (chunks.select("batch", "doc_ids", "lengths", "rows", "payload").join(answered(first.union(second)), "batch", "left")
-            .mapInArrow(_finish(), schema))
+            .mapInArrow(lean(_finish()), schema))
 
 
 def dedup_documents(docs: DataFrame) -> DataFrame:

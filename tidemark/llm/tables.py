@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
+
 import numpy as np
+import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +42,31 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def release() -> None:
+    """Give freed memory of this worker process back to the system."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except OSError:  # another C library
+        pass
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``, giving memory back at its end.
+
+    Workers stay alive between tasks, several for each core; what they keep
+    adds up beside the executor's heap.
+    """
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return task
+
+
 def planes(values: np.ndarray) -> bytes:
     """Compress fixed-size integers plane by plane (all first bytes, all second ...)."""
     raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.dtype.itemsize)

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
