@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from tidemark.sources.schemas import LOYALTY_TIERS, ORDER_STATUSES, UNKNOWN, UNKNOWN_KEY
 
-ROW, KEY, RELATION, OTHER = "row", "key", "relation", "other"
+ROW, KEY, RELATION, BALANCE, OTHER = "row", "key", "relation", "balance", "other"
 
 
 class DataQualityError(RuntimeError):
@@ -36,7 +36,8 @@ class Check:
 
     ``condition`` (SQL) marks the failing rows of a row check, and the rows that
     take part in a key check; a key fails with ``least`` rows or more. ``parent``
-    and ``field`` are the other side of a relationship.
+    and ``field`` are the other side of a relationship; of a balance they are the
+    other table and the amount that must add up to the same on both sides.
     """
 
     name: str
@@ -253,7 +254,8 @@ def standard_suite(raw: dict[str, DataFrame], stg: DataFrame, dim_customer: Data
     if monthly is not None:
         suite.append(combination_check("unique_combination_agg_monthly_revenue_by_tier", monthly, ["month", "loyalty_tier"]))
     suite += [
-        Check("assert_fact_reconciles_with_staging", OTHER, lambda: fact_reconciles_with_staging(stg, fct)),
+        Check("assert_fact_reconciles_with_staging", BALANCE, lambda: fact_reconciles_with_staging(stg, fct), table=stg, parent=fct,
+              field="gross_amount"),
         Check("assert_late_arriving_restaurants_are_resolved", ROW, lambda: late_restaurants_unresolved(whole, late_arrival_days),
               table=whole, condition=f"restaurant_key = '{UNKNOWN_KEY}' AND {old}"),
         Check("assert_scd2_versions_do_not_overlap", OTHER, 
@@ -263,19 +265,26 @@ def standard_suite(raw: dict[str, DataFrame], stg: DataFrame, dim_customer: Data
     return [Check(**{**vars(c), "severity": sev.get(c.name, "error")}) for c in suite]
 
 
-def _entry(check: Check, key: str, condition: str, parent: bool = False) -> str:
-    return (f"CASE WHEN {condition} THEN named_struct('check_name', '{check.name}', 'key', CAST({key} AS STRING), "
-            f"'n', {0 if parent else 1}, 'parent', {str(parent).lower()}) END")
+def _entry(check: Check, key: str, condition: str, n: int = 1, parent: bool = False, amount: str = "0") -> str:
+    return (f"CASE WHEN {condition} THEN named_struct('check_name', '{check.name}', 'key', CAST({key} AS STRING), 'n', {n}, "
+            f"'parent', {str(parent).lower()}, 'amount', CAST({amount} AS DECIMAL(28,2))) END")
 
 
 def failure_counts(checks: list[Check]) -> DataFrame:
     """``check_name, failures`` of the checks that have failures, as one statement."""
     tables: dict[int, tuple[DataFrame, list[str]]] = {}
+
+    def add(table: DataFrame, entry: str) -> None:
+        tables.setdefault(id(table), (table, []))[1].append(entry)
+
     for c in checks:
-        if c.kind != OTHER:
-            tables.setdefault(id(c.table), (c.table, []))[1].append(_entry(c, c.key, c.condition))
+        if c.kind in (ROW, KEY, RELATION):
+            add(c.table, _entry(c, c.key, c.condition))
         if c.kind == RELATION:
-            tables.setdefault(id(c.parent), (c.parent, []))[1].append(_entry(c, c.field, f"{c.field} IS NOT NULL", parent=True))
+            add(c.parent, _entry(c, c.field, f"{c.field} IS NOT NULL", 0, True))
+        if c.kind == BALANCE:
+            add(c.table, _entry(c, "NULL", "true", 1, False, f"coalesce({c.field}, 0)"))
+            add(c.parent, _entry(c, "NULL", "true", -1, False, f"-coalesce({c.field}, 0)"))
     frames, parts = {}, []
     for k, (table, entries) in enumerate(tables.values()):
         frames[f"t{k}"] = table
@@ -283,10 +292,12 @@ def failure_counts(checks: list[Check]) -> DataFrame:
     counted = []
     if parts:
         least = {n: [c.name for c in checks if c.kind == KEY and c.least == n] or ["-"] for n in (1, 2)}
+        balances = [c.name for c in checks if c.kind == BALANCE] or ["-"]
         counted.append(f"""
             SELECT check_name, sum(CASE WHEN check_name IN ({_list(least[1])}) THEN 1 WHEN check_name IN ({_list(least[2])}) THEN if(n > 1, 1, 0)
+                                        WHEN check_name IN ({_list(balances)}) THEN if(n <> 0 OR amount <> 0, 1, 0)
                                         WHEN parent THEN 0 ELSE n END) AS failures
-            FROM (SELECT check_name, key, sum(n) AS n, max(parent) AS parent FROM ({' UNION ALL '.join(parts)}) GROUP BY check_name, key)
+            FROM (SELECT check_name, key, sum(n) AS n, max(parent) AS parent, sum(amount) AS amount FROM ({' UNION ALL '.join(parts)}) GROUP BY check_name, key)
             GROUP BY check_name""")
     for k, c in enumerate(c for c in checks if c.kind == OTHER):
         frames[f"o{k}"] = c.violations
