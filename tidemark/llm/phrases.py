@@ -47,6 +47,8 @@ from tidemark.llm.tables import discard, pack_sorted, planes, stored, unpack_sor
 MIN_COUNT, MAX_WORDS, COVER, TOP, SCALE = 30, 4, 80, 2000, 2_000_000
 #: Suffixes of one group, and occurrences from which a word does not end a prefix.
 GROUP, PREFIX = 1 << 19, 1 << 19
+#: Phrases that one task ranks before the last ranking.
+RANKED = 100_000
 #: Low bits of a word's code: 0, or for hot words the power of 4 by which it passes ``PREFIX`` at most.
 HEAT = 3
 
@@ -322,8 +324,13 @@ def collocations(docs: DataFrame, top: int = TOP, min_count: int = MIN_COUNT, co
 
     # Words are looked up for those that can be among the first only; ties stay in.
     langs = scored.join(names.select(F.col("code").alias("w1"), "lang"), "w1")
-    leaders = (langs.withColumn("place", F.rank().over(Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc())))
-               .where(F.col("place") <= top).drop("place"))
+    # A language's first are the first of its parts' first, so no task ranks all its candidates.
+    parts = max(16, counts.count() // RANKED)
+    leaders = langs.withColumn("part", F.pmod(F.xxhash64(*_W), F.lit(parts)))
+    for keys in (["lang", "part"], ["lang"]):
+        place = F.rank().over(Window.partitionBy(*keys).orderBy(F.col("score").desc(), F.col("a").desc()))
+        leaders = leaders.withColumn("place", place).where(F.col("place") <= top).drop("place")
+    leaders = leaders.drop("part")
     spelled = (leaders.select("*", F.posexplode(F.slice(F.array(*_W), F.lit(1), F.col("words"))).alias("pos", "code"))
                .join(names.select("code", "word"), "code")
                .groupBy("lang", *_W, "a", "l", "r", "score").agg(F.sort_array(F.collect_list(F.struct("pos", "word"))).alias("spelled"))
