@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm import text as X
 from tidemark.llm.chunks import NO_ID, bucket_bits, chunked, cuts, one_by_one, unpacked
-from tidemark.llm.tables import discard, lean, pack_sorted, planes, stored, unpack_sorted, unplaned
+from tidemark.llm.tables import discard, lean, pack_sorted, planes, stored, sweep, unpack_sorted, unplaned
 
 LENGTH = 100
 ANCHOR = 24
@@ -347,6 +347,7 @@ def remove_repeats(docs: DataFrame, carry: list[str]) -> DataFrame:
     first = stored(merged(plain.mapInArrow(lean(_publish(bits)), _RUN)), "answers")
     answered = lambda a: a.groupBy("batch").agg(F.collect_list(F.struct("kind", "bucket", "n", "bits")).alias("answers"))
     runs = stored(plain.join(answered(first), "batch", "left").mapInArrow(lean(_sort_windows(bits)), _RUN), "windows")
+    sweep(docs.sparkSession)  # the shuffles of the first exchange
     flags = runs.where(F.col("kind") == FIRST).select("kind", "bucket", "batch", "n", F.col("keys").alias("bits"))
     second = stored(merged(runs.where(F.col("kind") == CLASS)).union(flags), "answers")
     discard(runs)

@@ -31,6 +31,12 @@ def discard(*tables: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps: it does once their plans are garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def prepare(spark: SparkSession) -> None:
     """Keep Arrow batches small, so that long texts do not add up in one batch."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
