@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import bagminhash, bpe_transducer, decontaminate, outliers, suffix_dedup
 from tidemark.llm.queries import vocabulary
-from tidemark.llm.tables import documents, prepare, stored
+from tidemark.llm.tables import documents, prepare, stored, sweep
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,6 +25,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     prepare(spark)
+    sweep(spark)  # near-dedup shuffles the most
     return suffix_dedup.dedup_documents(docs)
 
 
