@@ -85,3 +85,17 @@ def test_overlap_pairs_equal_the_interval_self_join(spark):
     want = [r + (n,) for r in rows if (n := sum(a[:2] == r[:2] and a[2] < r[2] < a[3] for a in rows))]
     assert sorted(map(tuple, checks.overlap_pairs(versions).collect())) == sorted(want)
     assert checks.overlap_pairs(versions.limit(0)).count() == 0
+
+
+def test_counts_compile_to_plans_without_interpreted_lambdas(spark, models):
+    """Entries of a check were filtered by a lambda function, row by row (daily runs at 60 times sf0.1)."""
+    fct = spark.createDataFrame([("1", "a", Decimal("2.00")), ("1", None, Decimal("3.00")), (None, "b", None)],
+                                "order_id string, customer_key string, gross_amount decimal(10,2)")
+    dim = spark.createDataFrame([("a",), ("a",)], "customer_key string")
+    suite = [checks.unique_check("twice", fct, "order_id"), checks.row_check("no_key", fct, "not_null", "customer_key"),
+             checks.relation_check("lost", fct, "customer_key", dim, "customer_key"),
+             checks.Check("balance", checks.BALANCE, lambda: None, table=fct, parent=fct.limit(2), field="gross_amount"),
+             checks.Check("even", checks.BALANCE, lambda: None, table=fct, parent=fct, field="gross_amount")]
+    counts = checks.failure_counts(suite)
+    assert "lambda" not in counts._jdf.queryExecution().optimizedPlan().toString()
+    assert {r["check_name"]: r["failures"] for r in counts.collect()} == {"twice": 1, "no_key": 1, "lost": 1, "balance": 1}

@@ -187,3 +187,23 @@ def test_joins_agree_on_overlapping_nested_and_equal_versions(spark):
                for s in ("broadcast", "spans")}
         assert got["broadcast"] == got["spans"] and len(got["spans"]) > 400
         assert pit_join.point_in_time_join(f, v.limit(0), "key", "ts", {"v": "v"}, strategy="spans").where("v IS NULL").count() == 202
+
+
+def test_spans_tile_every_interval_without_interpreted_lambdas(spark):
+    """Spans were cut by nested lambda functions, row by row (38 of 95 task seconds of a day's changes)."""
+    from tidemark.operators import pit_join
+
+    days = 40  # 0 to 39: sizes up to 64
+    frame = spark.range(days).selectExpr("id AS _start").crossJoin(spark.range(1, days + 1).selectExpr("id AS _end")).where("_start < _end")
+    top = pit_join._top(F.lit(days - 1))
+    cut = pit_join._spans(frame.withColumn("_top", top))
+    assert "lambda" not in cut._jdf.queryExecution().optimizedPlan().toString()
+    tiles: dict = {}
+    for r in cut.collect():
+        first = r["_block"] << r["_level"]
+        tiles.setdefault((r["_start"], r["_end"]), []).append((first, first + (1 << r["_level"])))
+    assert len(tiles) == days * (days + 1) // 2
+    for (start, end), spans in tiles.items():
+        spans.sort()
+        assert spans[0][0] == start and spans[-1][1] == end
+        assert all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
