@@ -207,3 +207,17 @@ def test_spans_tile_every_interval_without_interpreted_lambdas(spark):
         spans.sort()
         assert spans[0][0] == start and spans[-1][1] == end
         assert all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
+
+
+def test_full_refresh_computes_its_rows_once(spark, cfg):
+    """Range partitioning reads its input for the bounds and again for the rows: the fact was computed for both."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = Models(spark, SF_SMALL).fct_orders.localCheckpoint()
+    facts.full_refresh(spark, cfg, rows.mapInArrow(counted, rows.schema))
+    assert seen.value == rows.count() == facts.read_fact(spark, cfg).count()
