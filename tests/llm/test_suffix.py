@@ -3,6 +3,7 @@
 import hashlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 
@@ -103,3 +104,24 @@ def test_chunks_keep_every_row(spark, monkeypatch):
         assert c["doc_ids"] == sorted(c["doc_ids"]) and [r["doc_id"] for r in c["rows"]] == c["doc_ids"]
         got += [(i, data[a:b].tobytes().decode()) for i, a, b in zip(c["doc_ids"], offsets, offsets[1:])]
     assert sorted(got) == sorted(rows)
+
+
+def test_workers_give_memory_back_after_each_task_and_group(spark, monkeypatch):
+    """Only some steps did: idle workers of the others added up beside the executor's heap (pipeline, op1)."""
+    from tidemark.llm import deleted_interpolation, tables
+
+    group = tables.lean_groups(lambda table: table)
+    freed = []
+    monkeypatch.setattr(tables, "release", lambda: freed.append(1))
+    assert group(pa.table({"a": [1]})).num_rows == 1 and freed == [1]
+    made = []
+    for module in (S, deleted_interpolation):
+        for name in ("lean", "lean_groups"):
+            wrap = getattr(tables, name)
+            monkeypatch.setattr(module, name, lambda run, wrap=wrap, name=name: made.append((name, run.__qualname__.split(".")[0])) or wrap(run))
+    docs = spark.createDataFrame([(1, "one two"), (2, "one two three"), (10, None)], "doc_id long, text string")
+    tables.prepare(spark)
+    assert deleted_interpolation.score_documents(docs).count() == 3
+    assert S.remove_repeats(docs, ["doc_id"]).count() == 3
+    assert {("lean", n) for n in ("_publish", "_held_out_cells", "_score", "_sort_windows", "_finish")} \
+        | {("lean_groups", "_sum_range"), ("lean_groups", "_merge")} <= set(made)

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import text as X
 from tidemark.llm.chunks import bucket_bits, chunked, cuts, one_by_one, unpacked
-from tidemark.llm.tables import pack_sorted, planes, stored, unpack_sorted, unplaned
+from tidemark.llm.tables import lean, lean_groups, pack_sorted, planes, stored, unpack_sorted, unplaned
 
 HELD_OUT, TRAINING, DELETED = range(3)
 UNIGRAM, BIGRAM = range(2)
@@ -220,7 +220,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     width = min(64, -(-(((size["bytes"] or 0) // 4 + 1).bit_length() + 24) // 8) * 8)
     bits = bucket_bits(chunks, bytes_per_entry=7, entries=1 << 20)
     plain = chunks.select("batch", "fold", "doc_ids", "lengths", "payload")
-    answers = stored(plain.mapInArrow(_publish(bits, width), _RUN).groupBy("kind", "bucket").applyInArrow(_sum_range, _ANSWER), "counts")
+    answers = stored(plain.mapInArrow(lean(_publish(bits, width)), _RUN).groupBy("kind", "bucket").applyInArrow(lean_groups(_sum_range), _ANSWER), "counts")
     # Totals: one row for each key range.
     totals = (answers.where((F.col("kind") == UNIGRAM) & F.col("batch").isNull())
               .agg(F.sum("types").alias("v"), F.sum("tokens").alias("n"), F.sum("deleted_tokens").alias("d")).first())
@@ -228,7 +228,7 @@ def score_documents(docs: DataFrame) -> DataFrame:
     replies = (answers.where(F.col("batch").isNotNull()).groupBy("batch")
                .agg(F.collect_list(F.struct("kind", "bucket", "counts", "deleted")).alias("answers")))
     cells = (plain.where(F.col("fold") == DELETED).join(replies, "batch")
-             .mapInArrow(_held_out_cells(width, starts, deleted_starts, n - deleted), _CELLS)
+             .mapInArrow(lean(_held_out_cells(width, starts, deleted_starts, n - deleted)), _CELLS)
              .groupBy("bucket", "cell2", "cell1").agg(*(F.sum(c).alias(c) for c in ("weight", "sum2", "sum1"))))
     weights = mixture_weights(stored(cells, "cells"), 1 / (v + 1))
-    return plain.join(replies, "batch", "left").mapInArrow(_score(width, starts, n, v, weights), _SCORES)
+    return plain.join(replies, "batch", "left").mapInArrow(lean(_score(width, starts, n, v, weights)), _SCORES)

@@ -34,7 +34,7 @@ from pyspark.sql import types as T
 
 from tidemark.llm import text as X
 from tidemark.llm.chunks import NO_ID, bucket_bits, chunked, cuts, one_by_one, unpacked
-from tidemark.llm.tables import discard, lean, pack_sorted, planes, stored, sweep, unpack_sorted, unplaned
+from tidemark.llm.tables import discard, lean, lean_groups, pack_sorted, planes, stored, sweep, unpack_sorted, unplaned
 
 LENGTH = 100
 ANCHOR = 24
@@ -342,7 +342,7 @@ def remove_repeats(docs: DataFrame, carry: list[str]) -> DataFrame:
     """``row`` (the carried columns), digests of what is kept, and ``kept_text``."""
     chunks = chunked(docs, carry)
     bits = bucket_bits(chunks, bytes_per_entry=39)
-    merged = lambda runs: runs.groupBy("kind", "bucket").applyInArrow(_merge, _BITS)
+    merged = lambda runs: runs.groupBy("kind", "bucket").applyInArrow(lean_groups(_merge), _BITS)
     plain = chunks.select("batch", "doc_ids", "lengths", "payload")
     first = stored(merged(plain.mapInArrow(lean(_publish(bits)), _RUN)), "answers")
     answered = lambda a: a.groupBy("batch").agg(F.collect_list(F.struct("kind", "bucket", "n", "bits")).alias("answers"))

@@ -73,6 +73,17 @@ def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
     return task
 
 
+def lean_groups(run: Callable[[pa.Table], pa.Table]):
+    """``run`` for ``applyInArrow``, giving memory back after each group."""
+    def group(table: pa.Table) -> pa.Table:
+        try:
+            return run(table)
+        finally:
+            release()
+
+    return group
+
+
 def planes(values: np.ndarray) -> bytes:
     """Compress fixed-size integers plane by plane (all first bytes, all second ...)."""
     raw = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.dtype.itemsize)
