@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidemark.llm import bagminhash, bitplanes, bpe_transducer, chat, deleted_interpolation, outliers, queries
@@ -38,6 +39,57 @@ def test_texts_with_control_strings_equal_the_library(name):
         assert encode(text) == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_texts_encoded_together_equal_the_library(monkeypatch):
+    library, draw = tokenizer("byte_bpe_50k.json"), random.Random(7)
+    parts = [*"ab'st\u00e9 \u00f8\n.,1-\u0301\u00aa\u0416\u00c0\u6f22\t\u00d7\r\0\u024f\u0250\v\f\x1c\x1f\x7f\u0085\u00a0\u1680\u180e\u2003\u2028\u3000\u2019\u3042\U0001f600",
+             "<|endoftext|>", "<|", "endoftext|>", "'s", "'re", " '", "  ", "\n\n", " the", "ing"]
+    encoders = [bitplanes.PieceEncoder(queries.vocabulary("byte_bpe_50k.json")) for _ in range(2)]
+    assert encoders[0].between is not None
+    encoders[1].between = None  # a vocabulary whose merges take every byte
+    monkeypatch.setattr(bitplanes, "MEMO", 300)
+    for _ in range(60):
+        texts = [None if draw.random() < 0.05 else "".join(draw.choice(parts) for _ in range(draw.randrange(16))) for _ in range(100)]
+        for encoder in encoders:
+            ids, offsets = encoder.many(pa.array(texts, pa.string()))
+            assert offsets[-1] == len(ids) and len(encoder.memo) <= 300
+            for k, text in enumerate(texts):
+                assert ids[offsets[k]:offsets[k + 1]].tolist() == library.encode(text or "", add_special_tokens=False).ids, repr(text)
+
+
+def test_distinct_words_go_to_the_library_once_and_together():
+    class Counted:
+        def __init__(self, inner):
+            self.inner, self.calls, self.chars = inner, 0, 0
+
+        def encode_batch_fast(self, texts, **options):
+            self.calls, self.chars = self.calls + 1, self.chars + sum(map(len, texts))
+            return self.inner.encode_batch_fast(texts, **options)
+
+    library, draw = tokenizer("byte_bpe_50k.json"), random.Random(8)
+    words = sorted({"".join(draw.choice("abcdeinrst\u00e9") for _ in range(8)) for _ in range(4000)})
+    texts = [" ".join(draw.choices(words, k=400)) + ",\n" for _ in range(100)]
+    encoder = bitplanes.PieceEncoder(queries.vocabulary("byte_bpe_50k.json"))
+    encoder.merges, encoder.tokenizer = Counted(encoder.merges), Counted(encoder.tokenizer)
+    encoder.tokenizer.model = encoder.tokenizer.inner.model
+    for _ in range(2):  # the second time all is known
+        ids, offsets = encoder.many(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(offsets, offsets[1:])] == [library.encode(t).ids for t in texts]
+        assert encoder.merges.calls <= 20 and encoder.merges.chars <= 12 * (len(words) + len(texts))
+        assert encoder.tokenizer.calls == 1
+
+
+def test_units_of_text_keep_every_row_in_order(monkeypatch):
+    monkeypatch.setattr(bitplanes, "UNIT_BYTES", 10)
+    texts = ["abc", None, "", "d" * 25, "efghi", "jklmno", "", None]
+    batches = [pa.RecordBatch.from_arrays([pa.array(range(i, i + len(part)), pa.int64()), pa.array(part, pa.string())], names=["doc_id", "text"])
+               for i, part in ((0, texts[:3]), (3, texts[3:7]), (7, texts[7:]), (8, []))]
+    units = list(bitplanes._units(iter(batches)))
+    assert [i for ids, _ in units for i in ids] == list(range(8))
+    assert [t for _, column in units for t in column.to_pylist()] == texts
+    assert all(len(column) == 1 or sum(len(t or "") for t in column.to_pylist()) <= 10 for _, column in units)
+    assert list(bitplanes._units(iter([]))) == []
+
+
 def test_side_by_side_merges_equal_one_word_at_a_time():
     machine = bpe_transducer.WordTokenizer(queries.vocabulary("word_bpe_49k.json"))
     draw = random.Random(3)

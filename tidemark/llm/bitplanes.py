@@ -17,11 +17,10 @@ names, are not read.
 from __future__ import annotations
 
 import os
-import re
 import zlib
-from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +29,24 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import text as X
 
 BLOCK = 1 << 16
 END_ID = 0
+#: Pieces in the memo, and the bytes of the longest one.
 MEMO = 500_000
-_LETTER = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
-_LETTERS = re.compile(f"[{_LETTER}]+")
-_CUT = re.compile(rf"(?<=[{_LETTER}])(?=[\n!-@\[-`{{-~])|(?<=[!-~{_LETTER[6:]}]\n)(?=[{_LETTER}])")
+LONGEST_MEMO = 256
+#: Text that is cut at once, and pieces that go to the library at once.
+UNIT_BYTES = 4 << 20
+GROUP_BYTES = 4096
+NO_TOKEN = 0xFFFFFFFF
+
+_GAP, _UNSURE, _LETTER, _SIGN = 1, 2, 4, 8
+_KIND = np.zeros(256, np.uint8)
+_KIND[33:127] = _SIGN
+_KIND[[*range(65, 91), *range(97, 123)]] = _LETTER
+_KIND[[*range(9, 14), 32]] = _GAP
+_KIND[28:32] = _UNSURE  # white space to some
 
 BLOCKS = ("part int, block int, first long, n_ids int, width int, doc_from long, doc_ids array<long>, "
           "lengths array<int>, plane_ends array<int>, payload binary")
@@ -66,17 +76,65 @@ def unpack_block(n: int, ends: list[int], payload: bytes) -> np.ndarray:
     return np.ascontiguousarray(octets.T).view("<u4").reshape(-1)
 
 
+def _letters(data: np.ndarray) -> np.ndarray:
+    """Flags of the bytes of Latin letters: A-Z, a-z, U+00C0 to U+024F without the signs U+00D7 and U+00F7."""
+    flags = (_KIND[data] & _LETTER).astype(bool)
+    lead = np.flatnonzero((data[:-1] >= 0xC3) & (data[:-1] <= 0xC9))
+    if len(lead):
+        first, second = data[lead], data[lead + 1]
+        fits = (second & 0xC0 == 0x80) & ~((first == 0xC3) & ((second == 0x97) | (second == 0xB7))) & ~((first == 0xC9) & (second > 0x8F))
+        flags[lead[fits]] = flags[lead[fits] + 1] = True
+    return flags
+
+
+def _solid(data: np.ndarray) -> np.ndarray:
+    """Flags of the bytes of characters that are no white space by any reading."""
+    flags = ~(_KIND[data] & (_GAP | _UNSURE)).astype(bool)
+    lead = np.flatnonzero((data == 0xC2) | (data >= 0xE1) & (data <= 0xE3))
+    if len(lead):
+        a, b, c = data[lead], *(data[np.minimum(lead + k, len(data) - 1)] for k in (1, 2))
+        two = (a == 0xC2) & ((b == 0x85) | (b == 0xA0))
+        three = ((a == 0xE1) & ((b == 0x9A) & (c == 0x80) | (b == 0xA0) & (c == 0x8E))
+                 | (a == 0xE2) & ((b == 0x80) & ((c <= 0x8F) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF)) | (b == 0x81) & (c == 0x9F))
+                 | (a == 0xE3) & (b == 0x80) & (c == 0x80))
+        for blank, size in ((two, 2), (three, 3)):
+            for k in range(size):
+                flags[np.minimum(lead[blank] + k, len(data) - 1)] = False
+    return flags
+
+
+def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Flags of the bytes before which texts (``offsets``) may be cut: see :class:`PieceEncoder`."""
+    kind, letter, solid = _KIND[data], _letters(data), _solid(data)
+    gap, sign, space, quote = (kind & _GAP).astype(bool), (kind & _SIGN).astype(bool), data == 32, data == 39
+    begin = offsets[:-1][offsets[:-1] < len(data)]
+    ahead = solid.copy()  # whether the next byte of the same text is solid
+    ahead[begin] = False
+    ahead[:-1], ahead[-1] = ahead[1:], False
+    alone = gap & ~space & ahead
+    cut = gap & ahead
+    cut[1:] |= alone[:-1] | gap[1:] & solid[:-1] | letter[:-1] & sign[1:] | (sign & ~quote)[:-1] & letter[1:]
+    cut[begin] = True
+    return cut
+
+
 class PieceEncoder:
     """A byte-level tokenizer's ids of whole texts, with a bounded memo of pieces.
 
-    A byte-level pre-tokenizer never spans a single space between two other
-    characters, and the space belongs to the word behind it. So a text is cut
-    before such spaces and each distinct piece goes through the tokenizer
-    once. Texts with other white space beside a space are encoded whole, and so
-    are those that hold a control string (an added token), which is one token.
-    A pre-token ends where a letter meets a sign, digit or line feed, and
-    after a line feed between a visible character and a letter; pieces are cut
-    there too, and a part of Latin letters goes to the library's merges directly.
+    The pre-tokenizer scans from left to right and never looks back, so a text may
+    be cut where a pre-token ends whatever the rest is, and where the left part
+    alone would end alike:
+
+    - between a visible character and white space,
+    - before the last white space in front of a visible character, and behind
+      it unless it is a space (a space belongs to what follows),
+    - between a Latin letter and an ASCII sign or digit, both ways, but not
+      between an apostrophe and a letter (``'s`` is one pre-token).
+
+    Many texts are cut at once and each distinct piece goes through the library
+    once. A piece of Latin letters is one pre-token and goes to the library's
+    merges directly, many side by side: between them stands a byte that
+    no merge takes. Texts that hold a control string (an added token) stay whole.
     """
 
     def __init__(self, path: str):
@@ -85,52 +143,90 @@ class PieceEncoder:
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_padding()  # of batches
+        self.merges = Tokenizer(self.tokenizer.model)  # without pre-tokenizer and added tokens
+        self.memo: dict[bytes, bytes] = {}
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # The symbols of all bytes that begin or continue a Latin letter, of the space, and of control characters.
         level = ByteLevel(add_prefix_space=False, use_regex=False)
-        self.space = level.pre_tokenize_str(" ")[0][0]
-        # The symbol of each byte of a letter (``_LETTER`` has one or two bytes a letter).
-        self.symbols: dict[int, str] = {}
-        for letter in filter(str.isalpha, map(chr, range(0x250))):
-            self.symbols |= zip(letter.encode(), level.pre_tokenize_str(letter)[0][0], strict=True)
-        self.memo: dict[str, bytes] = {}
-        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-
-    def _ids(self, text: str) -> bytes:
-        return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
-
-    def _part(self, part: str, space: str) -> bytes:
-        """Ids of one part of a piece; a run of letters is one pre-token."""
-        key = part if space else " " + part  # no piece has a space
-        got = self.memo.get(key)
-        if got is None:
-            if _LETTERS.fullmatch(part):
-                symbols = self.space * len(space) + part.encode().decode("latin-1").translate(self.symbols)
-                got = array("I", [t.id for t in self.tokenizer.model.tokenize(symbols)]).tobytes()
-            else:
-                got = self._ids(space + part)
-            self.memo[key] = got
-        return got
-
-    def _word(self, piece: str) -> bytes:
-        """Ids of a space and a piece."""
-        if piece.isascii() and piece.isalpha():
-            return self._part(piece, " ")
-        first, *more = _CUT.split(piece)
-        return self._part(first, " ") + b"".join([self._part(part, "") for part in more])
+        self.symbols = np.zeros(256, "<u4")
+        for char in map(chr, range(0x250)):
+            for byte, symbol in zip(char.encode(), level.pre_tokenize_str(char)[0][0], strict=True):
+                self.symbols[byte] = ord(symbol)
+        merged = set().union(*(t for t in self.tokenizer.get_vocab() if len(t) > 1))
+        free = [byte for byte in range(32) if (symbol := chr(self.symbols[byte])) not in merged and self.tokenizer.model.token_to_id(symbol) is not None]
+        self.between = free[0] if free else None
+
+    def _merged(self, words: list[bytes]) -> Iterator[bytes]:
+        """Ids of pieces of Latin letters, with or without a space in front."""
+        mark = NO_TOKEN if self.between is None else self.tokenizer.model.token_to_id(chr(self.symbols[self.between]))
+        joint = b"" if self.between is None else bytes([self.between])
+        offsets = np.concatenate(([0], np.cumsum([len(w) + 1 for w in words])))
+        for i, j in X.slices(offsets, 1 if self.between is None else GROUP_BYTES):
+            text = self.symbols[np.frombuffer(joint.join(words[i:j]), np.uint8)].tobytes().decode("utf-32-le")
+            ids = np.array([*self.merges.encode_batch_fast([text], add_special_tokens=False)[0].ids, mark], "<u4")
+            raw, at = ids.tobytes(), 0
+            for end in (4 * np.flatnonzero(ids == mark)).tolist():
+                yield raw[at:end]
+                at = end + 4
+
+    def _encoded(self, pieces: list[bytes]) -> Iterator[bytes]:
+        """Ids of any pieces."""
+        for i, j in X.slices(np.concatenate(([0], np.cumsum([len(p) for p in pieces]))), GROUP_BYTES):
+            for e in self.tokenizer.encode_batch_fast([p.decode() for p in pieces[i:j]], add_special_tokens=False):
+                yield np.array(e.ids, "<u4").tobytes()
+
+    def _learned(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        """Ids of new pieces."""
+        data = np.frombuffer(b"".join(pieces), np.uint8)
+        offsets = np.concatenate(([0], np.cumsum([len(p) for p in pieces])))
+        letter = _letters(data)
+        fits = letter.copy()
+        fits[offsets[:-1]] |= data[offsets[:-1]] == 32
+        whole = (X.per_row(~fits, offsets) == 0) & (X.per_row(letter, offsets) > 0)
+        words = [p for p, w in zip(pieces, whole.tolist(), strict=True) if w]
+        others = [p for p, w in zip(pieces, whole.tolist(), strict=True) if not w]
+        return dict(zip(words, self._merged(words), strict=True)) | dict(zip(others, self._encoded(others), strict=True))
+
+    def _ids_of(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of distinct pieces, from the memo or learned."""
+        found = list(map(self.memo.get, pieces))
+        new = [p for p, ids in zip(pieces, found, strict=True) if ids is None]
+        if new:
+            learned = self._learned(new)
+            found = [learned[p] if ids is None else ids for p, ids in zip(pieces, found, strict=True)]
+            if len(self.memo) + len(new) > MEMO:
+                self.memo, learned = {}, dict(islice(zip(pieces, found, strict=True), MEMO))  # frequent pieces are among them
+            self.memo |= {p: ids for p, ids in learned.items() if len(p) <= LONGEST_MEMO}
+        return found
+
+    def many(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts (null: empty), one after the other, and the texts' offsets in them."""
+        data, offsets = X.text_bytes(texts)
+        if not len(data):
+            return np.zeros(0, "<u4"), np.zeros(len(texts) + 1, np.int64)
+        cut, raw = _cuts(data, offsets), data.tobytes()
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                row = int(np.searchsorted(offsets, at, "right"))  # the text ends at offsets[row]
+                cut[offsets[row - 1] + 1:offsets[row]] = False
+                at = raw.find(token, int(offsets[row]))
+        starts = np.flatnonzero(cut)
+        spans = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(raw)])
+        spans = spans.dictionary_encode()
+        ids = self._ids_of(spans.dictionary.to_numpy(zero_copy_only=False).tolist())
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        codes = spans.indices.to_numpy()
+        ends = np.concatenate(([0], np.cumsum(sizes[codes])))
+        # Each piece's ids are copied from its first place among the distinct pieces' ids.
+        shift = (np.cumsum(sizes) - sizes)[codes] - ends[:-1]
+        out = np.frombuffer(b"".join(ids), "<u4")[np.repeat(shift, sizes[codes]) + np.arange(ends[-1])]
+        return out, ends[np.searchsorted(starts, offsets)]
 
     def __call__(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        head, *pieces = text.split(" ")
-        if not pieces or any(token in text for token in self.added):
-            return self._ids(text)
-        new = {p for p in pieces if p not in self.memo}
-        if any(not p or p[0].isspace() or p[-1].isspace() for p in new) or head[-1:].isspace() or not head:
-            return self._ids(text)
-        if len(self.memo) + 3 * len(new) > MEMO:
-            self.memo.clear()
-            new = set(pieces)
-        for p in new:
-            self.memo[p] = self._word(p)
-        return self._ids(head) + b"".join(map(self.memo.__getitem__, pieces))
+        return self.many(pa.array([text]))[0].tobytes()
 
 
 @lru_cache(maxsize=1)
@@ -139,10 +235,31 @@ def piece_encoder(path: str) -> PieceEncoder:
     return PieceEncoder(path)
 
 
+def _units(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int | None], pa.Array]]:
+    """Document ids and texts, about ``UNIT_BYTES`` of text at a time (one text at least)."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+
+    def unit() -> tuple[list[int | None], pa.Array]:
+        return [i for b in held for i in b.column("doc_id").to_pylist()], pa.concat_arrays([b.column("text") for b in held])
+
+    for batch in batches:
+        _, offsets = X.text_bytes(batch.column("text"))
+        for i, j in X.slices(offsets, UNIT_BYTES):
+            n = int(offsets[j] - offsets[i])
+            if held and size + n > UNIT_BYTES:
+                yield unit()
+                held, size = [], 0
+            held.append(batch.slice(i, j - i))
+            size += n
+    if held:
+        yield unit()
+
+
 def _writer(tokenizer_path: str, block: int):
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part = piece_encoder(tokenizer_path), TaskContext.get().partitionId()
-        end = np.array([END_ID], "<u4").tobytes()
+        encoder, part = piece_encoder(tokenizer_path), TaskContext.get().partitionId()
+        end = np.array([END_ID], "<u4")
         held: list[np.ndarray] = []  # ids of the open block
         docs: list[int | None] = []
         lengths: list[int] = []
@@ -156,9 +273,10 @@ def _writer(tokenizer_path: str, block: int):
                      pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary())
             return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(row.values(), types, strict=True)], names=list(row))
 
-        for batch in batches:
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True):
-                ids = np.frombuffer(encode(text.as_py() or "") + end, "<u4")
+        for doc_ids, texts in _units(batches):
+            found, offsets = encoder.many(texts)
+            for doc_id, i, j in zip(doc_ids, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
+                ids = np.append(found[i:j], end)
                 while len(ids):
                     take = ids[:block - n]
                     if not n:
