@@ -37,7 +37,7 @@ END_ID = 0
 MEMO = 500_000
 LONGEST_MEMO = 256
 #: Text that is cut at once, and pieces that go to the library at once.
-UNIT_BYTES = 4 << 20
+UNIT_BYTES = 2 << 20
 GROUP_BYTES = 4096
 NO_TOKEN = 0xFFFFFFFF
 
@@ -215,14 +215,10 @@ class PieceEncoder:
         starts = np.flatnonzero(cut)
         spans = pa.Array.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(raw)])
         spans = spans.dictionary_encode()
-        ids = self._ids_of(spans.dictionary.to_numpy(zero_copy_only=False).tolist())
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        codes = spans.indices.to_numpy()
-        ends = np.concatenate(([0], np.cumsum(sizes[codes])))
-        # Each piece's ids are copied from its first place among the distinct pieces' ids.
-        shift = (np.cumsum(sizes) - sizes)[codes] - ends[:-1]
-        out = np.frombuffer(b"".join(ids), "<u4")[np.repeat(shift, sizes[codes]) + np.arange(ends[-1])]
-        return out, ends[np.searchsorted(starts, offsets)]
+        ids = pa.array(self._ids_of(spans.dictionary.to_numpy(zero_copy_only=False).tolist()), pa.large_binary())
+        _, ends, out = ids.take(spans.indices).buffers()
+        ends = np.frombuffer(ends, np.int64, len(starts) + 1) // 4
+        return np.frombuffer(out, "<u4", ends[-1]), ends[np.searchsorted(starts, offsets)]
 
     def __call__(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
