@@ -125,3 +125,32 @@ def test_workers_give_memory_back_after_each_task_and_group(spark, monkeypatch):
     assert S.remove_repeats(docs, ["doc_id"]).count() == 3
     assert {("lean", n) for n in ("_publish", "_held_out_cells", "_score", "_sort_windows", "_finish")} \
         | {("lean_groups", "_sum_range"), ("lean_groups", "_merge")} <= set(made)
+
+
+def test_anchors_fill_the_key_ranges_evenly():
+    """Least hashes are small: the first of 64 ranges had two thirds of the anchors, at any size (pipeline, op6)."""
+    data = np.random.default_rng(3).integers(97, 123, 300_000).astype(np.uint8)
+    s = S.stretches(data, np.array([0, 200_000, 300_000]))
+    assert len(s["anchor"]) > 5000
+    for column in ("anchor", "text"):
+        assert np.bincount((s[column] >> np.uint64(58)).astype(np.int64)).max() < 2 * len(s[column]) / 64
+
+
+def test_windows_are_hashed_by_bounded_stretches_of_the_text(monkeypatch):
+    """A worker hashed the whole shard at once and kept the powers for it."""
+    data = np.random.default_rng(4).integers(97, 100, 3 * S.CACHE_BYTES).astype(np.uint8)
+    at = np.concatenate((np.arange(0, len(data) - S.LENGTH, 977), [len(data) - S.LENGTH]))
+    want = S.X.SpanHash(data, longest=S.LENGTH)(at, at + S.LENGTH)
+    sizes, whole = [], S.X.SpanHash
+    monkeypatch.setattr(S.X, "SpanHash", lambda part, **kw: sizes.append(len(part)) or whole(part, **kw))
+    assert (S._fingerprints(data, at) == want).all() and len(S._fingerprints(data, at[:0])) == 0
+    assert len(sizes) == 3 and max(sizes) <= S.CACHE_BYTES + S.LENGTH
+
+
+def test_chunk_files_have_row_groups_of_bounded_size(spark):
+    """All rows of a file were in one row group and one page, which goes whole through the codec's buffers."""
+    letters = np.random.default_rng(5).integers(97, 123, (12, 1 << 20)).astype(np.uint8)
+    docs = spark.createDataFrame([(k, t.tobytes().decode()) for k, t in enumerate(letters)], "doc_id long, text string").coalesce(1)
+    packed = chunks.chunked(docs, ["doc_id", "text"])
+    groups = [pq.ParquetFile(f.removeprefix("file:")).metadata.num_row_groups for f in packed.inputFiles()]
+    assert sum(groups) > 1 and sum(len(r["doc_ids"]) for r in packed.select("doc_ids").collect()) == 12

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm import text as X
-from tidemark.llm.tables import lean, stored
+from tidemark.llm.tables import LARGE_ROWS, lean, stored
 
 CHUNK_BYTES = 4 << 20
 NO_ID = -(1 << 63)
@@ -68,7 +68,7 @@ def chunked(docs: DataFrame, carry: list[str], fold: Column | None = None) -> Da
     schema = T.StructType([T.StructField("batch", T.LongType()), T.StructField("fold", T.IntegerType()), T.StructField("n_bytes", T.LongType()),
                            T.StructField("doc_ids", T.ArrayType(T.LongType())), T.StructField("lengths", T.ArrayType(T.LongType())),
                            T.StructField("rows", T.ArrayType(source.schema["row"].dataType)), T.StructField("payload", T.BinaryType())])
-    return stored(source.mapInArrow(lean(_pack), schema), "chunks")
+    return stored(source.mapInArrow(lean(_pack), schema), "chunks", LARGE_ROWS)
 
 
 def one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:

@@ -76,7 +76,8 @@ def stretches(data: np.ndarray, offsets: np.ndarray) -> dict[str, np.ndarray]:
         new |= X.members(at, starts)
         head = np.flatnonzero(new)
         a, b = at[head], at[np.append(head[1:], len(at)) - 1]
-        found.append((a + base, b + base, grams[anchor[head]], spans(a, b + LENGTH)))
+        # Least hashes are small numbers; mixed again (one to one) they fill the key ranges evenly.
+        found.append((a + base, b + base, X.mix(grams[anchor[head]]), spans(a, b + LENGTH)))
     columns = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.zeros(0, np.int64)] * 2 + [np.zeros(0, np.uint64)] * 2
     return dict(zip(("first", "last", "anchor", "text"), columns, strict=True))
 
@@ -255,11 +256,11 @@ def _candidates(s: dict[str, np.ndarray], chunk: dict) -> tuple[np.ndarray, np.n
 
 
 def _window_flags(first: np.ndarray, last: np.ndarray, size: int) -> np.ndarray:
-    """Flags of the positions in any [first, last]."""
-    change = np.zeros(size + 1, np.int32)
+    """Flags of the positions in any [first, last]; at most ``2 * LENGTH`` of them meet in one."""
+    change = np.zeros(size + 1, np.int16)
     np.add.at(change, first, 1)
     np.add.at(change, last + 1, -1)
-    return np.cumsum(change, dtype=np.int32)[:-1] > 0
+    return np.cumsum(change, dtype=np.int16, out=change)[:-1] > 0
 
 
 def window_classes(data: np.ndarray, windows: np.ndarray) -> np.ndarray:
@@ -299,7 +300,15 @@ def _sort_windows(bits: int):
 
 
 def _fingerprints(data: np.ndarray, positions: np.ndarray) -> np.ndarray:
-    return X.SpanHash(data, longest=LENGTH)(positions, positions + LENGTH) if len(positions) else np.zeros(0, np.uint64)
+    """Hashes of the windows at ascending positions, a stretch of the text at a time."""
+    out, i = np.empty(len(positions), np.uint64), 0
+    while i < len(positions):
+        base = int(positions[i])
+        j = int(np.searchsorted(positions, base + CACHE_BYTES))
+        at = positions[i:j] - base
+        out[i:j] = X.SpanHash(data[base:base + int(at[-1]) + LENGTH], longest=LENGTH)(at, at + LENGTH)
+        i = j
+    return out
 
 
 def removed_bytes(chunk: dict, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:

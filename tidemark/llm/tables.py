@@ -14,10 +14,16 @@ from pyspark.sql import DataFrame, SparkSession
 from tidemark.session import work_dir
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+#: Parquet looks at the size of pages and row groups every hundred rows. Where rows
+#: have megabytes that is every one: a page goes whole through the codec's direct
+#: buffers, which executors keep, and a row group through the heap.
+LARGE_ROWS = {"parquet.block.size": str(16 << 20), "parquet.page.size.row.check.min": "1"}
+
+
+def stored(df: DataFrame, name: str, options: dict[str, str] | None = None) -> DataFrame:
     """``df`` written under ``spark.checkpoint.dir`` and read back: cuts lineage."""
     path = work_dir(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.options(**(options or {})).parquet(path)
     table = df.sparkSession.read.schema(df.schema).parquet(path)
     table.stored_at = path
     return table
